@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import quality_rules, secret_scan
+from tidemark.llm import ngram_join, quality_rules, secret_scan
 from tidemark.llm.shared import table
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(table(spark, sf_dir, "documents"))
 
@@ -20,7 +24,7 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_secret_scans, op5_quality_rules)}
+    return {f.__name__: f for f in (op1_ngram_jaccard_join, op4_secret_scans, op5_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
