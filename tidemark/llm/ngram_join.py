@@ -82,7 +82,7 @@ def _slots(shingles: np.ndarray) -> np.ndarray:
 
 
 def profile(docs: DataFrame, how: Join) -> DataFrame:
-    """Documents (kind 0): doc_id, n_shingles, class. Parts of the table of n-gram counts (kind 1): chunk, counts."""
+    """Documents (kind 0): doc_id, row hash, n_shingles, class. Parts of the table of n-gram counts (kind 1): chunk, counts."""
 
     def run(batches):
         counts, seen = np.zeros(1 << _SLOT_BITS, np.uint32), set()
@@ -92,14 +92,14 @@ def profile(docs: DataFrame, how: Join) -> DataFrame:
             if fresh:
                 counts += np.bincount(_slots(np.concatenate(fresh)), minlength=len(counts)).astype(np.uint32)
             k = len(sets)
-            ids = batch.column(batch.schema.get_field_index("doc_id")).slice(part.start, k)
-            yield pa.RecordBatch.from_arrays([pa.array([0] * k, pa.int32()), ids, pa.array([len(s) for s in sets], pa.int64()), pa.array(classes, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names=["kind", "doc_id", "n_shingles", "cid", "chunk", "counts"])
+            ids, rows = (batch.column(batch.schema.get_field_index(c)).slice(part.start, k) for c in ("doc_id", "row"))
+            yield pa.RecordBatch.from_arrays([pa.array([0] * k, pa.int32()), ids, rows, pa.array([len(s) for s in sets], pa.int64()), pa.array(classes, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names=["kind", "doc_id", "row", "n_shingles", "cid", "chunk", "counts"])
         if seen:
             parts = [(i, zlib.compress(c.tobytes(), 1)) for i, c in enumerate(np.split(counts, _CHUNKS)) if c.any()]
             k = len(parts)
-            yield pa.RecordBatch.from_arrays([pa.array([1] * k, pa.int32()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.array([i for i, _ in parts], pa.int32()), pa.array([c for _, c in parts], pa.binary())], names=["kind", "doc_id", "n_shingles", "cid", "chunk", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.array([1] * k, pa.int32()), *(pa.nulls(k, pa.int64()) for _ in range(4)), pa.array([i for i, _ in parts], pa.int32()), pa.array([c for _, c in parts], pa.binary())], names=["kind", "doc_id", "row", "n_shingles", "cid", "chunk", "counts"])
 
-    return docs.mapInArrow(run, "kind int, doc_id long, n_shingles long, cid long, chunk int, counts binary")
+    return docs.mapInArrow(run, "kind int, doc_id long, row long, n_shingles long, cid long, chunk int, counts binary")
 
 
 def rarity(parts: DataFrame) -> np.ndarray:
@@ -297,12 +297,12 @@ def across(columns: DataFrame, counted: DataFrame, roots: DataFrame, how: Join)
 
 
 def classes(df: DataFrame, how: Join = Join()) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n_shingles, cid) of each row of (doc_id, text); (node, root) of the classes linked to others."""
+    """(doc_id, row, n_shingles, cid) of each row of (doc_id, text), `row` being a hash of its text; (node, root) of the classes linked to others."""
     spark = df.sparkSession
     bounded_batches(spark)
-    docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("row"))
     profiled = written(profile(docs, how), "profile")
-    rows = profiled.where("kind = 0").select("doc_id", "n_shingles", "cid")
+    rows = profiled.where("kind = 0").select("doc_id", "row", "n_shingles", "cid")
     table = rarity(profiled.where("kind = 1"))
     total = rows.agg(F.sum(F.floor(F.col("n_shingles") * (100 - how.percent) / 100) + 1)).first()[0] or 0
     blocks = max(spark.sparkContext.defaultParallelism, -(-total // how.block_entries))
@@ -331,3 +331,18 @@ def components(df: DataFrame, how: Join = Join()) -> DataFrame:
     rooted = least.join(roots, least["cid"] == roots["node"], "left").select("cid", "least", F.coalesce("root", "cid").alias("root"))
     named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("cid", "component_id")
     return rows.join(named, "cid", "left").select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def deduplicated(df: DataFrame, how: Join = Join()) -> DataFrame:
+    """The rows of df without those that others of their component stand for: of each component the row with the smallest doc_id (nulls last), then text hash, stays.
+
+    Rows without words all stay, but for repetitions of one id and text. All columns of df are returned as they are.
+    """
+    rows, roots = classes(df, how)
+    rooted = rows.join(roots, rows["cid"] == roots["node"], "left").select("doc_id", "row", F.coalesce("root", "cid").alias("root"))
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")
+    best = rooted.where(F.col("root").isNotNull()).groupBy("root").agg(F.min(place).alias("x")).select(F.col("x.doc_id").alias("id"), F.col("x.row").alias("row"))
+    stay = best.union(rooted.where(F.col("root").isNull()).select(F.col("doc_id").alias("id"), "row").distinct()).distinct()
+    marked = df.select(F.struct("*").alias("all"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row"))
+    kept = marked.join(stay, (marked["row"] == stay["row"]) & marked["doc_id"].eqNullSafe(stay["id"])).select("all", marked["row"], "doc_id")
+    return kept.dropDuplicates(["row", "doc_id"]).select("all.*")

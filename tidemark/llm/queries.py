@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import ngram_join, quality_rules, secret_scan
+import corpus_pipeline
+from tidemark.llm import ngram_join, packing, quality_rules, secret_scan
 from tidemark.llm.shared import table
 
 
@@ -14,6 +16,10 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.components(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), packing.Packing(public_tokenizers.path("word_bpe_49k.json")))
+
+
 def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(table(spark, sf_dir, "documents"))
 
@@ -24,7 +30,8 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ngram_jaccard_join, op4_secret_scans, op5_quality_rules)}
+    found = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_packing, op4_secret_scans, op5_quality_rules)}
+    return found | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
