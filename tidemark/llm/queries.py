@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tidemark.llm import ngram_join, packing, quality_rules, secret_scan
+from tidemark.llm import bpe, ngram_join, packing, quality_rules, secret_scan, warc
 from tidemark.llm.shared import table
 
 
@@ -29,8 +29,16 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality_rules.FIELDS, "base_failed", "kept")
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digest(table(spark, sf_dir, "documents"), bpe.Coding(public_tokenizers.path("byte_bpe_50k.json")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_packing, op4_secret_scans, op5_quality_rules)}
+    found = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_packing, op4_secret_scans, op5_quality_rules, op6_warc, op9_bpe)}
     return found | {"pipeline": corpus_pipeline.run}
 
 
