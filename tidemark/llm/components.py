@@ -14,7 +14,7 @@ def connected(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     Both steps are a grouped minimum and a join back, so no node's neighbours are ever gathered in one task.
     Each round is cut with a written table. Repeated links, self links and both directions are allowed.
     """
-    size = lambda e: tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b") / F.lit(2.0**32).cast("double"))).first())
+    size = lambda e: tuple(e.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
     edges = written(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
     before = size(edges)
     for _ in range(most_rounds):
