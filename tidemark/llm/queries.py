@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tidemark.llm import bpe, ngram_join, packing, quality_rules, secret_scan, warc
+from tidemark.llm import bpe, chat, ngram_join, packing, quality_rules, secret_scan, url_filter, warc
 from tidemark.llm.shared import table
 
 
@@ -33,14 +33,24 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    model = url_filter.fit(url_filter.labelled_pages(pages, table(spark, sf_dir, "labels")))
+    return url_filter.judge(pages, model).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(table(spark, sf_dir, "documents"), bpe.Coding(public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.render(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_packing, op4_secret_scans, op5_quality_rules, op6_warc, op9_bpe)}
+    found = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_packing, op4_secret_scans, op5_quality_rules, op6_warc, op7_url_filters, op9_bpe, op10_chat_formatting)}
     return found | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_chat_formatting": chat.ORACLE_SQL}
