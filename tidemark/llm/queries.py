@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tidemark.llm import bpe, chat, ngram_join, packing, quality_rules, secret_scan, url_filter, warc
+from tidemark.llm import bpe, chat, html_extract, ngram_join, packing, quality_rules, secret_scan, url_filter, warc
 from tidemark.llm.shared import table
 
 
@@ -20,6 +20,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), packing.Packing(public_tokenizers.path("word_bpe_49k.json")))
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.digest(table(spark, sf_dir, "pages"))
+
+
 def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(table(spark, sf_dir, "documents"))
 
@@ -48,7 +52,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_packing, op4_secret_scans, op5_quality_rules, op6_warc, op7_url_filters, op9_bpe, op10_chat_formatting)}
+    found = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_packing, op3_html_extraction, op4_secret_scans, op5_quality_rules, op6_warc, op7_url_filters, op9_bpe, op10_chat_formatting)}
     return found | {"pipeline": corpus_pipeline.run}
 
 
