@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tidemark.llm import bpe, chat, html_extract, ngram_join, packing, quality_rules, secret_scan, url_filter, warc
+from tidemark.llm import bpe, chat, html_extract, media, ngram_join, packing, quality_rules, secret_scan, url_filter, warc
 from tidemark.llm.shared import table
 
 
@@ -43,6 +43,10 @@ def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, model).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op8_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.round_trip(table(spark, sf_dir, "documents"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(table(spark, sf_dir, "documents"), bpe.Coding(public_tokenizers.path("byte_bpe_50k.json")))
 
@@ -52,7 +56,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_packing, op3_html_extraction, op4_secret_scans, op5_quality_rules, op6_warc, op7_url_filters, op9_bpe, op10_chat_formatting)}
+    found = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_packing, op3_html_extraction, op4_secret_scans, op5_quality_rules, op6_warc, op7_url_filters, op8_media_columns, op9_bpe, op10_chat_formatting)}
     return found | {"pipeline": corpus_pipeline.run}
 
 
