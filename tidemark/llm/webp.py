@@ -400,7 +400,7 @@ class Writer:
         counts = [sum(t[0] == s for t in tokens) for s in range(19)]
         some = [s for s in range(19) if counts[s]]
         first = [0] * 19
-        for s, n in zip(some, limited_lengths([counts[s] for s in some]), strict=True):
+        for s, n in zip(some, limited_lengths([max(counts[s], len(tokens) / 24) for s in some]), strict=True):
             first[s] = max(n, 1)
         if max(first) > 7:
             raise ValueError("a code of code lengths is longer than 7 bits")
