@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
+from tidemark.llm.bpe import byte_letters
 from tidemark.llm.shared import bounded_batches, pieces, utf8, written
 
 
@@ -41,32 +43,40 @@ class Packing:
     classes: int = 64
     #: Hash buckets for ranks and fillers, and ranges of sequences for running sums.
     buckets: int = 512
-    #: Words whose ids a worker remembers.
-    cached_words: int = 400_000
+    #: Words whose ids a task remembers.
+    cached_words: int = 250_000
 
 
 class WordEncoder:
-    """Ids of whole texts from ids of their words, for tokenizers that drop white space between words; words are remembered."""
+    """Ids of whole texts from ids of their words, for tokenizers that drop white space between words; words are remembered.
 
-    _printable = re.compile(rb"[!-~]+")
-    _parts = re.compile(rb"'(?:s|t|re|ve|m|ll|d)|[a-z]+|[0-9]|[^a-z0-9]+")
+    Words of plain Western letters, digits and marks are cut into the tokenizer's own pre-tokens here and given to its
+    model; all others go through the whole tokenizer.
+    """
+
+    #: Printing ASCII, and letters of Latin-1, which normalisation leaves as they are; fixed values of the tokenizer's pattern.
+    _simple = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+    _parts = re.compile("'(?:s|t|re|ve|m|ll|d)|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
 
     def __init__(self, path: str, most: int) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.model, self.most = self.tokenizer.model, most
+        self.letters = str.maketrans({c: "".join(byte_letters()[b] for b in c.encode()) for c in map(chr, range(0xC0, 0x100))})
         self.words: dict[bytes, bytes] = {}
-        self.parts: dict[bytes, bytes] = {}
-
-    def _plain(self, word: bytes) -> bytes:
-        out = []
-        for p in self._parts.findall(word.lower()):
-            ids = self.parts.get(p)
-            if ids is None:
-                ids = self.parts[p] = np.array([t.id for t in self.model.tokenize(p.decode())], "<u4").tobytes()
-            out.append(ids)
-        return b"".join(out)
+        self.parts: dict[str, bytes] = {}
+
+    def _plain(self, word: str) -> bytes:
+        found = self._parts.findall(word.lower())
+        known = self.parts
+        try:
+            return known[found[0]] if len(found) == 1 else b"".join([known[p] for p in found])
+        except KeyError:
+            for p in found:
+                if p not in known:
+                    known[p] = array("I", [t.id for t in self.model.tokenize(p.translate(self.letters) if not p.isascii() else p)]).tobytes()
+            return b"".join([known[p] for p in found])
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
@@ -75,36 +85,26 @@ class WordEncoder:
             self.words.clear()
         if len(self.parts) > self.most:
             self.parts.clear()
-        known, new, plain = self.words, [], self._printable.fullmatch
+        known, new, simple = self.words, [], self._simple.fullmatch
         for w in set().union(*split):
             if w not in known:
-                if plain(w) and b"<|" not in w:
-                    known[w] = self._plain(w)
+                word = w.decode()
+                if simple(word) and "<|" not in word:
+                    known[w] = self._plain(word)
                 else:
                     new.append(w)
         if new:
             for w, e in zip(new, self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, "<u4").tobytes()
+                known[w] = array("I", e.ids).tobytes()
         return [b"".join(map(known.__getitem__, s)) for s in split]
 
 
-_encoders: dict[tuple, WordEncoder] = {}
-
-
-def encoder(how: Packing) -> WordEncoder:
-    """One for each worker, whose words outlast a task."""
-    key = (how.tokenizer, how.cached_words)
-    if key not in _encoders:
-        _encoders[key] = WordEncoder(*key)
-    return _encoders[key]
-
-
 def _encoded(batches: Iterator[pa.RecordBatch], how: Packing) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    end = np.array([how.end_id], "<u4").tobytes()
+    end, encoder = np.array([how.end_id], "<u4").tobytes(), WordEncoder(how.tokenizer, how.cached_words)
     for batch in batches:
         texts = utf8(batch.column(batch.schema.get_field_index("text")))
         for part in pieces(texts):
-            yield batch.slice(part.start, part.stop - part.start), [ids + end for ids in encoder(how).encode(texts[part])]
+            yield batch.slice(part.start, part.stop - part.start), [ids + end for ids in encoder.encode(texts[part])]
 
 
 def measured(docs: DataFrame, how: Packing) -> DataFrame:
