@@ -44,7 +44,7 @@ class Packing:
     #: Hash buckets for ranks and fillers, and ranges of sequences for running sums.
     buckets: int = 512
     #: Words whose ids a task remembers.
-    cached_words: int = 250_000
+    cached_words: int = 500_000
 
 
 class WordEncoder:
