@@ -17,6 +17,7 @@ without records. Missing segments, wrong lengths or bad framing raise an error.
 
 from __future__ import annotations
 
+import gzip
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,6 +38,7 @@ class Archive:
     file_records: int = 256
     #: Equal payloads below this length are all kept as responses.
     least_revisit: int = 100
+    compression: str = "gzip"
 
 
 def _lines(*parts) -> Column:
@@ -90,7 +92,7 @@ def _records(c: DataFrame, how: Archive) -> DataFrame:
 
 def write(df: DataFrame, path: str, how: Archive = Archive()) -> None:
     """Writes the rows of (page_id, url, html) as WARC files under the path."""
-    _records(captures(df, how), how).write.option("lineSep", _END).option("maxRecordsPerFile", how.file_records).text(path)
+    _records(captures(df, how), how).write.option("lineSep", _END).option("maxRecordsPerFile", how.file_records).option("compression", how.compression).text(path)
 
 
 def parse(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -125,7 +127,7 @@ def unchunked(body: bytes) -> bytes:
         at += n + 2
 
 
-_PARSED = "record_id string, origin string, type string, segment int, total long, page string, refers string, digest string, block binary"
+_PARSED = "record_id string, origin string, type string, segment int, segmented boolean, total long, page string, refers string, digest string, block binary"
 
 
 def records(spark: SparkSession, path: str) -> DataFrame:
@@ -137,19 +139,22 @@ def records(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for content in batch.column(0):
                 rows = []
-                for f, block in parse(content.as_py()):
+                raw = content.as_py()
+                for f, block in parse(gzip.decompress(raw) if raw[:2] == b"\x1f\x8b" else raw):
                     own = f["warc-record-id"].strip("<>")
                     total = f.get("warc-segment-total-length")
-                    rows.append((own, f.get("warc-segment-origin-id", own).strip("<>"), f["warc-type"], int(f.get("warc-segment-number", 1)), int(total) if total else None, f.get("x-page-id", ""), f.get("warc-refers-to", "").strip("<>") or None, f.get("warc-payload-digest", "").removeprefix("sha256:"), block))
-                kinds = [pa.string(), pa.string(), pa.string(), pa.int32(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.binary()]
+                    rows.append((own, f.get("warc-segment-origin-id", own).strip("<>"), f["warc-type"], int(f.get("warc-segment-number", 1)), "warc-segment-number" in f, int(total) if total else None, f.get("x-page-id", ""), f.get("warc-refers-to", "").strip("<>") or None, f.get("warc-payload-digest", "").removeprefix("sha256:"), block))
+                kinds = [pa.string(), pa.string(), pa.string(), pa.int32(), pa.bool_(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * len(kinds), kinds, strict=True)], names=names)
 
     return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, _PARSED)
 
 
 def reassembled(parsed: DataFrame) -> DataFrame:
-    """Payloads of all responses: record id, page and payload. A group is one capture's segments."""
-    by_origin = parsed.where("type in ('response', 'continuation')").groupBy("origin").agg(F.sort_array(F.collect_list(F.struct("segment", "block"))).alias("parts"), F.max("total").alias("total"), F.max(F.when(F.col("type") == "response", F.col("page"))).alias("page"))
+    """Payloads of all responses: record id, page and payload. Only records in several segments are grouped; a group is one capture."""
+    whole = (F.col("type") == "response") & (F.col("segment") == 1) & ~F.col("segmented")
+    one = parsed.where(whole).select("origin", F.array(F.struct("segment", "block")).alias("parts"), "total", "page")
+    more = parsed.where(F.col("type").isin("response", "continuation") & ~whole).groupBy("origin").agg(F.sort_array(F.collect_list(F.struct("segment", "block"))).alias("parts"), F.max("total").alias("total"), F.max(F.when(F.col("type") == "response", F.col("page"))).alias("page"))
 
     def run(batches):
         for batch in batches:
@@ -165,7 +170,7 @@ def reassembled(parsed: DataFrame) -> DataFrame:
                 out.append((origin, page, unchunked(body) if chunked else body))
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.string()), pa.array([r[1] for r in out], pa.string()), pa.array([r[2] for r in out], pa.binary())], names=["record_id", "page", "payload"])
 
-    return by_origin.select("origin", "parts", "total", "page").mapInArrow(run, "record_id string, page string, payload binary")
+    return one.union(more.select("origin", "parts", "total", "page")).mapInArrow(run, "record_id string, page string, payload binary")
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
