@@ -10,8 +10,7 @@ their lengths, continuations are grouped by origin identifier, put in order of s
 total length, and the chunked framing is decoded.
 
 Defined cases: a null payload is empty; a null url is written as urn:none; repeated ids are captures of their own; of
-equal payloads the first is the smallest id, nulls last, then any one of the rows with it (rows are told apart by their
-place in the table, which must be stable, as a stored table is); an empty table gives an archive
+equal payloads the first is the smallest id, nulls last, then the smallest hash of the url; an empty table gives an archive
 without records. Missing segments, wrong lengths or bad framing raise an error.
 """
 
@@ -24,6 +23,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidemark.llm.shared import bounded_batches, new_path
 
@@ -57,10 +57,14 @@ def captures(df: DataFrame, how: Archive = Archive()) -> DataFrame:
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     rows = df.select(F.col("page_id").alias("id"), F.coalesce("url", F.lit("urn:none")).alias("url"), payload.alias("payload"))
     rows = rows.withColumn("digest", F.sha2("payload", 256)).withColumn("bytes", F.octet_length("payload").cast("long"))
-    rows = rows.withColumn("key", F.concat_ws("-", F.coalesce(F.col("id").cast("string"), F.lit("none")), F.substring("digest", 1, 16), F.lower(F.hex(F.monotonically_increasing_id()))))
+    rows = rows.withColumn("key", F.concat_ws("-", F.coalesce(F.col("id").cast("string"), F.lit("none")), F.substring("digest", 1, 16), F.lower(F.hex(F.xxhash64("url")))))
     place = F.struct(F.col("id").isNull().alias("last"), "id", "key")
     first = rows.where(F.col("bytes") >= how.least_revisit).groupBy("digest").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1").select("digest", F.col("first.id").alias("first_id"), F.col("first.key").alias("first_key"))
-    return rows.join(first, "digest", "left").withColumn("revisits", F.when(F.col("key") != F.col("first_key"), F.col("first_key")))
+    # equal rows are told apart by a number within their key; the join has put them together already
+    copy = (F.row_number().over(Window.partitionBy("digest", "key").orderBy("key")) - 1).cast("string")
+    both = rows.join(first, "digest", "left").withColumn("copy", copy)
+    is_first = (F.col("key") == F.col("first_key")) & (F.col("copy") == "0")
+    return both.withColumn("revisits", F.when(~is_first, F.concat("first_key", F.lit("-0")))).withColumn("key", F.concat_ws("-", "key", "copy"))
 
 
 def _records(c: DataFrame, how: Archive) -> DataFrame:
