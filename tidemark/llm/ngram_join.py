@@ -8,15 +8,17 @@ Which documents have shingle sets whose Jaccard similarity reaches a bound, with
    entries as two linked sets must share one of: n - ceil(similarity * n) + 1. Entries are dealt to blocks of n-grams
    (columns) as packed arrays; a class that a task has already emitted isn't emitted again.
 3. `product`: each block multiplies its columns: overlap counts of pairs of classes that share a column, unless their
-   sizes alone rule them out. A column with many classes gives pairs with one of them (its hub) and is set aside whole.
+   sizes alone rule them out. A column with many classes is set aside whole.
 4. Counts of a pair are added over blocks; a pair whose count leaves it below the overlap that its sizes need is
    discarded. What is left is checked exactly on the texts, and components of the links are formed.
-5. `across`: columns set aside can hide links only between different components. Those columns that still touch more
-   than one are expanded across components, bounded and checked in the same way, and the components are formed again.
+5. `stars`: columns set aside can hide links only between different components. In those that touch more than one, each
+   class is compared with the hub that it meets most, and the components are formed again; this is done in rounds.
+6. `across`: columns that still touch more than one component are expanded across components, bounded and checked like
+   the other pairs, and the components are formed a last time.
 
 So groups of thousands of near copies cost work in proportion to their entries and not to their pairs, and no link
 between components is lost. The estimated counts steer the cost only. Columns estimated to be very common never meet in
-one block: they are set aside at once and found their hub by a grouped minimum.
+one block: they are set aside at once.
 
 Defined cases: a null text or one without words has an empty set, no links and itself as component; rows with equal sets
 are linked, repeated rows and repeated ids included; null ids take part and count last in minima; a document of fewer
@@ -51,8 +53,9 @@ class Join:
     percent: int = 75
     #: A block of columns holds about this many entries.
     block_entries: int = 2_000_000
-    #: A column with more classes than this is set aside after linking all to its hub.
+    #: A column with more classes than this is set aside and its classes are first compared with hubs, in so many rounds.
     small_column: int = 8
+    star_rounds: int = 2
     #: A column estimated to have more classes than this never enters a block.
     hot_column: int = 1_000_000
 
@@ -197,11 +200,7 @@ def product(entries: DataFrame, how: Join) -> DataFrame:
             a.append(row[i])
             b.append(row[i + d])
         large = np.flatnonzero(length > how.small_column)
-        for i in large.tolist():
-            x = row[edges[i] + 1 : edges[i + 1]]
-            a.append(np.full(len(x), row[edges[i]]))
-            b.append(x)
-        a, b = np.concatenate(a), np.concatenate(b)
+        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
         fits = 100 * np.minimum(size[a], size[b]).astype(np.int64) >= how.percent * np.maximum(size[a], size[b]).astype(np.int64)
         pair, times = np.unique(a[fits] * len(known) + b[fits], return_counts=True)
         a, b = pair // len(known), pair % len(known)
@@ -271,29 +270,75 @@ def verified(pairs: DataFrame, texts: DataFrame, how: Join) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
+def _added(counts: DataFrame) -> DataFrame:
+    return counts.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.max("na").alias("na"), F.max("nb").alias("nb"))
+
+
 def _bounded(counts: DataFrame, how: Join) -> DataFrame:
     """Pairs whose shared prefix entries and whatever lies behind the prefixes can still reach the overlap needed."""
+    return _added(counts).where(F.col("shared") >= _least_shared(F.col("na"), F.col("nb"), how)).select("a", "b")
+
+
+def _least_shared(a, b, how: Join):
+    """Fewest shared prefix entries of linked sets of sizes a and b."""
     rest = lambda n: F.ceil(how.percent * n / F.lit(100)) - 1
-    added = counts.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.max("na").alias("na"), F.max("nb").alias("nb"))
-    return added.where(F.col("shared") + F.greatest(rest(F.col("na")), rest(F.col("nb"))) >= how.needed(F.col("na"), F.col("nb"))).select("a", "b")
+    return how.needed(a, b) - F.greatest(rest(a), rest(b))
+
 
+def _several(cells: DataFrame) -> DataFrame:
+    """Cells of columns that touch more than one root, with the column's number of cells and range of sizes."""
+    spans = cells.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"), F.min("size").alias("least"), F.max("size").alias("most")).where("lo < hi").drop("lo", "hi")
+    return cells.join(spans, "bucket")
+
+
+def mixed(cells: DataFrame, roots: DataFrame, alone: DataFrame, how: Join) -> DataFrame:
+    """The cells (bucket, cid, size) of columns that touch more than one component, with their root and the column's n.
+
+    A class whose columns are too few for a link to any size that it meets in them is left out: it can share no more than
+    all of them, and what it shares with one other in small columns (`alone`: cid, most). Near misses end here.
+    """
+    rooted = cells.join(roots, cells["cid"] == roots["node"], "left").select("bucket", "cid", "size", F.coalesce("root", "cid").alias("root"))
+    rooted = _several(rooted)
+    per = rooted.groupBy("cid", "size").agg(F.count("*").alias("k"), F.min("least").alias("least"), F.max("most").alias("most_size")).join(alone, "cid", "left")
+    lower = F.greatest(F.col("least"), F.ceil(how.percent * F.col("size") / F.lit(100)))
+    upper = F.least(F.col("most_size"), F.floor(100 * F.col("size") / F.lit(how.percent)))
+    # the bound rises with the partner's size up to the own one and falls beyond: its least value is at an end
+    fewest = F.least(_least_shared(F.col("size"), lower, how), _least_shared(F.col("size"), upper, how))
+    able = per.withColumn("need", (fewest - F.coalesce("most", F.lit(0))).cast("int")).where("k >= need").select("cid", "need")
+    return _several(rooted.select("bucket", "cid", "size", "root").join(able, "cid")).select("bucket", "cid", "size", "root", "need", "n")
 
-def across(columns: DataFrame, counted: DataFrame, roots: DataFrame, how: Join) -> DataFrame:
-    """Candidates between components, from the columns set aside and the pairs counted before."""
-    cells = columns.select("bucket", F.explode(F.arrays_zip("cids", "sizes")).alias("x")).select("bucket", F.col("x.cids").alias("cid"), F.col("x.sizes").alias("size"))
-    cells = cells.join(roots, cells["cid"] == roots["node"], "left").select("bucket", "cid", "size", F.coalesce("root", "cid").alias("root"))
-    mixed = cells.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("bucket")
-    cells = cells.join(mixed, "bucket").distinct()
-    x, y = cells.select("bucket", *(F.col(c).alias(f"{c}_a") for c in ("cid", "size", "root"))), cells.select("bucket", *(F.col(c).alias(f"{c}_b") for c in ("cid", "size", "root")))
+
+def stars(cells: DataFrame) -> DataFrame:
+    """For each class in mixed columns one pair with the hub that it meets most often outside of its component.
+
+    The hub of a column is the class that meets most others over all columns: among near copies, what they are copies of.
+    """
+    degree = cells.groupBy("cid").agg(F.sum("n").alias("degree"))
+    hubs = cells.join(degree, "cid").groupBy("bucket").agg(F.max(F.struct("degree", "cid", "root")).alias("hub"))
+    met = cells.join(hubs, "bucket").where("root <> hub.root").groupBy("cid", F.col("hub.cid").alias("hub")).agg(F.count("*").alias("k"))
+    best = met.groupBy("cid").agg(F.max(F.struct("k", "hub")).alias("x"))
+    return best.select(F.least("cid", "x.hub").alias("a"), F.greatest("cid", "x.hub").alias("b")).distinct()
+
+
+def across(cells: DataFrame, counted: DataFrame, roots: DataFrame, how: Join) -> DataFrame:
+    """Candidates between components, from mixed columns and the pairs counted before.
+
+    A linked pair shares at least `need` of a class's k mixed columns, so it meets in the k - need + 1 rarest of both.
+    Pairs that do are counted over all columns, which each class carries in one array, and bounded.
+    """
+    rows = cells.groupBy("cid", "size", "root").agg(F.max("need").alias("need"), F.array_sort(F.collect_set(F.struct("n", "bucket"))).alias("cells"))
+    rows = written(rows.select("cid", "size", "root", F.transform("cells", lambda c: c["bucket"]).alias("columns"), F.greatest(F.lit(1), F.size("cells") - F.greatest("need", F.lit(1)) + 1).alias("first")), "classes")
+    heads = rows.select("cid", "size", "root", F.explode(F.slice("columns", F.lit(1), F.col("first"))).alias("bucket"))
+    x, y = (heads.select("bucket", *(F.col(c).alias(f"{c}_{s}") for c in ("cid", "size", "root"))) for s in "ab")
     fits = 100 * F.least("size_a", "size_b").cast("long") >= how.percent * F.greatest("size_a", "size_b").cast("long")
-    met = x.join(y, "bucket").where((F.col("root_a") < F.col("root_b")) & fits)
-    flip = F.col("cid_a") > F.col("cid_b")
-    pair = lambda c: (F.when(flip, F.col(f"{c}_b")).otherwise(F.col(f"{c}_a")), F.when(flip, F.col(f"{c}_a")).otherwise(F.col(f"{c}_b")))
-    (a, b), (na, nb) = pair("cid"), pair("size")
-    new = met.groupBy(a.alias("a"), b.alias("b")).agg(F.count("*").cast("int").alias("shared"), F.max(na).alias("na"), F.max(nb).alias("nb"))
+    met = x.join(y, "bucket").where((F.col("root_a") < F.col("root_b")) & fits).select(F.least("cid_a", "cid_b").alias("a"), F.greatest("cid_a", "cid_b").alias("b")).distinct()
     ra, rb = (roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")) for c in ("a", "b"))
-    old = counted.join(ra, "a", "left").join(rb, "b", "left").where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b"))
-    return _bounded(new.select("a", "b", "na", "nb", "shared").union(old.select("a", "b", "na", "nb", "shared")), how)
+    old = _added(counted).join(ra, "a", "left").join(rb, "b", "left").where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b", "shared", "na", "nb")
+    both = met.join(old, ["a", "b"], "full_outer")
+    side = lambda s: rows.select(F.col("cid").alias(s), F.col("columns").alias(f"columns_{s}"), F.col("size").alias(f"size_{s}"))
+    both = both.join(side("a"), "a", "left").join(side("b"), "b", "left")
+    shared = F.coalesce("shared", F.lit(0)) + F.coalesce(F.size(F.array_intersect("columns_a", "columns_b")), F.lit(0))
+    return both.where(shared >= _least_shared(F.coalesce("na", "size_a"), F.coalesce("nb", "size_b"), how)).select("a", "b")
 
 
 def classes(df: DataFrame, how: Join = Join()) -> tuple[DataFrame, DataFrame]:
@@ -308,20 +353,28 @@ def classes(df: DataFrame, how: Join = Join()) -> tuple[DataFrame, DataFrame]:
     blocks = max(spark.sparkContext.defaultParallelism, -(-total // how.block_entries))
     entries = written(incidence(docs, table, int(blocks), how), "incidence")
     worked = written(product(entries, how).union(hot_columns(entries)), "product")
-    columns = worked.where("kind = 1").select("bucket", "cids", "sizes")
-    hot = columns.where("bucket < 0").select("bucket", F.explode(F.arrays_zip("cids", "sizes")).alias("x")).select("bucket", F.struct(F.col("x.cids").alias("cid"), F.col("x.sizes").alias("size")).alias("x"))
-    hubs = hot.groupBy("bucket").agg(F.min("x").alias("hub"))
-    from_hot = hot.join(hubs, "bucket").where("hub.cid < x.cid").select(F.col("hub.cid").alias("a"), F.col("x.cid").alias("b"), F.col("hub.size").alias("na"), F.col("x.size").alias("nb"), F.lit(1).alias("shared"))
-    counted = worked.where("kind = 0").select("a", "b", "na", "nb", "shared").union(from_hot)
+    counted = worked.where("kind = 0").select("a", "b", "na", "nb", "shared")
+    columns = worked.where("kind = 1").select("bucket", F.explode(F.arrays_zip("cids", "sizes")).alias("x"))
+    cells = written(columns.select("bucket", F.col("x.cids").alias("cid"), F.col("x.sizes").alias("size")), "cells")
     first = written(_bounded(counted, how), "pairs")
-    wanted = first.select(F.explode(F.array("a", "b")).alias("cid")).union(columns.select(F.explode("cids").alias("cid"))).union(counted.select(F.explode(F.array("a", "b")).alias("cid")))
+    wanted = counted.select(F.explode(F.array("a", "b")).alias("cid")).union(cells.select("cid"))
     texts = written(texts_of(docs, written(wanted.distinct(), "wanted"), how), "texts")
-    links = written(verified(first, texts, how), "linked")
+    done, links = first, written(verified(first, texts, how), "linked")
     roots = written(connected(links), "roots")
-    more = written(across(columns, counted, roots, how).join(first, ["a", "b"], "left_anti"), "across")
-    more_links = written(verified(more, texts, how), "linked")
-    joined = links.union(more_links)
-    return rows, written(connected(joined), "roots") if more_links.limit(1).count() else roots
+
+    def checked(pairs: DataFrame) -> None:
+        nonlocal done, links, roots
+        new = written(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
+        found = written(verified(new, texts, how), "linked")
+        done, links = done.union(new), links.union(found)
+        if found.limit(1).count():
+            roots = written(connected(found.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))), "roots")
+
+    alone = written(_added(counted).select(F.explode(F.array("a", "b")).alias("cid"), "shared").groupBy("cid").agg(F.max("shared").alias("most")), "alone")
+    for _ in range(how.star_rounds):
+        checked(stars(written(mixed(cells, roots, alone, how), "mixed")))
+    checked(across(written(mixed(cells, roots, alone, how), "mixed"), counted, roots, how))
+    return rows, roots
 
 
 def components(df: DataFrame, how: Join = Join()) -> DataFrame:
