@@ -37,38 +37,15 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256)]
 
 
-class Codec:
-    """A byte-level vocabulary with its merges, and what has been encoded with it."""
+class Merges:
+    """The merges of a BPE model, by pairs of ids."""
 
-    def __init__(self, path: str, most: int) -> None:
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        byte = {c: i for i, c in enumerate(byte_letters())}
-        vocab, self.most = spec["model"]["vocab"], most
-        self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.tokens = [b""] * (max([*vocab.values(), *self.added.values()]) + 1)
-        inside = np.zeros((256, 256), bool)
-        for token, i in vocab.items():
-            if token not in self.added:
-                self.tokens[i] = raw = bytes(byte[c] for c in token)
-                letters = np.frombuffer(raw, np.uint8)
-                inside[letters[:-1], letters[1:]] = True
-        for token, i in self.added.items():
-            self.tokens[i] = token.encode()
-        self.forced = ~inside
-        ids = {t: i for i, t in enumerate(self.tokens)}
-        self.single = np.array([ids[bytes([b])] for b in range(256)], np.int64)
-        pairs = [p.split(" ") if isinstance(p, str) else p for p in spec["model"]["merges"]]
+    def __init__(self, vocab: dict[str, int], merges: list) -> None:
+        pairs = [p.split(" ") if isinstance(p, str) else p for p in merges]
         key = np.array([vocab[a] << 20 | vocab[b] for a, b in pairs], np.int64)
         self.order = np.argsort(key, kind="stable")
         self.keys = key[self.order]
         self.into = np.array([vocab[a + b] for a, b in pairs], np.int64)
-        self.pretokens = regex.compile(_PRETOKEN)
-        self.chunks = regex.compile(f"[{_WS}]*[^{_WS}]+|[{_WS}]+")
-        self.uneven = regex.compile(f"[^\\P{{White_Space}} \\n]| [ \\n]|\\n |^ | $")
-        self.specials = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
-        self.words: dict[str, bytes] = {}
-        self.fragments: dict[bytes, bytes] = {}
 
     def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank of each pair's merge, or the number of merges if there is none."""
@@ -76,11 +53,10 @@ class Codec:
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.order[at], len(self.keys))
 
-    def _merged(self, fragments: list[bytes]) -> list[bytes]:
-        """The ids of each fragment. In every round each unfinished fragment merges its pair of least rank, the leftmost first."""
-        none, lengths = len(self.keys), np.array([len(f) for f in fragments])
-        ids = self.single[np.frombuffer(b"".join(fragments), np.uint8)]
-        owner = np.repeat(np.arange(len(fragments)), lengths)
+    def merged(self, ids: np.ndarray, lengths: np.ndarray) -> list[bytes]:
+        """Little-endian ids of fragments that lie one after the other. In every round each unfinished one merges its pair of least rank, the leftmost first."""
+        none = len(self.keys)
+        owner = np.repeat(np.arange(len(lengths)), lengths)
         rank = np.full(len(ids), none)
         inner = np.flatnonzero(owner[:-1] == owner[1:])
         rank[inner] = self._ranks(ids[inner], ids[inner + 1])
@@ -109,9 +85,39 @@ class Codec:
         owner, ids = (np.concatenate(x) for x in zip(*done, strict=True))
         order = np.argsort(owner, kind="stable")
         raw = ids[order].astype("<u4").tobytes()
-        ends = (4 * np.cumsum(np.bincount(owner, minlength=len(fragments)))).tolist()
+        ends = (4 * np.cumsum(np.bincount(owner, minlength=len(lengths)))).tolist()
         return [raw[i:j] for i, j in zip([0, *ends], ends, strict=False)]
 
+
+class Codec:
+    """A byte-level vocabulary with its merges, and what has been encoded with it."""
+
+    def __init__(self, path: str, most: int) -> None:
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        byte = {c: i for i, c in enumerate(byte_letters())}
+        vocab, self.most = spec["model"]["vocab"], most
+        self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.tokens = [b""] * (max([*vocab.values(), *self.added.values()]) + 1)
+        inside = np.zeros((256, 256), bool)
+        for token, i in vocab.items():
+            if token not in self.added:
+                self.tokens[i] = raw = bytes(byte[c] for c in token)
+                letters = np.frombuffer(raw, np.uint8)
+                inside[letters[:-1], letters[1:]] = True
+        for token, i in self.added.items():
+            self.tokens[i] = token.encode()
+        self.forced = ~inside
+        ids = {t: i for i, t in enumerate(self.tokens)}
+        self.single = np.array([ids[bytes([b])] for b in range(256)], np.int64)
+        self.merges = Merges(vocab, spec["model"]["merges"])
+        self.pretokens = regex.compile(_PRETOKEN)
+        self.chunks = regex.compile(f"[{_WS}]*[^{_WS}]+|[{_WS}]+")
+        self.uneven = regex.compile(f"[^\\P{{White_Space}} \\n]| [ \\n]|\\n |^ | $")
+        self.specials = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
+        self.words: dict[str, bytes] = {}
+        self.fragments: dict[bytes, bytes] = {}
+
     def _learn(self, chunks: list[str]) -> None:
         """Ids of new chunks: pre-tokens, forced cuts inside them, and their fragments' merges."""
         pre = [[p.encode() for p in self.pretokens.findall(c)] for c in chunks]
@@ -124,7 +130,8 @@ class Codec:
         parts = [raw[i:j] for i, j in zip(at, [*at[1:], len(raw)], strict=True)]
         known = self.fragments
         if new := list({p for p in parts if p not in known}):
-            known.update(zip(new, self._merged(new), strict=True))
+            ids = self.single[np.frombuffer(b"".join(new), np.uint8)]
+            known.update(zip(new, self.merges.merged(ids, np.array(list(map(len, new)))), strict=True))
         ends = np.searchsorted(at, np.cumsum([sum(map(len, x)) for x in pre])).tolist()
         for c, i, j in zip(chunks, [0, *ends], ends, strict=False):
             self.words[c] = known[parts[i]] if j == i + 1 else b"".join(known[p] for p in parts[i:j])

@@ -18,6 +18,7 @@ ids stay null; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from array import array
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
-from tidemark.llm.bpe import byte_letters
+from tidemark.llm.bpe import Merges, byte_letters
 from tidemark.llm.shared import bounded_batches, pieces, utf8, written
 
 
@@ -43,68 +44,98 @@ class Packing:
     classes: int = 64
     #: Hash buckets for ranks and fillers, and ranges of sequences for running sums.
     buckets: int = 512
-    #: Words whose ids a task remembers.
-    cached_words: int = 500_000
+    #: Words whose ids a worker remembers, twice at most.
+    cached_words: int = 200_000
 
 
 class WordEncoder:
     """Ids of whole texts from ids of their words, for tokenizers that drop white space between words; words are remembered.
 
-    Words of plain Western letters, digits and marks are cut into the tokenizer's own pre-tokens here and given to its
-    model; all others go through the whole tokenizer.
+    New words of plain Western letters, digits and marks are cut into the tokenizer's own pre-tokens, all at once, and
+    these are merged all at once too; other words go through the tokenizer itself. Words that recur are carried over
+    when there are too many, others are forgotten.
     """
 
     #: Printing ASCII, and letters of Latin-1, which normalisation leaves as they are; fixed values of the tokenizer's pattern.
     _simple = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
-    _parts = re.compile("'(?:s|t|re|ve|m|ll|d)|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+    _parts = re.compile("'(?:s|t|re|ve|m|ll|d)|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]| |[^ a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
 
     def __init__(self, path: str, most: int) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.model, self.most = self.tokenizer.model, most
-        self.letters = str.maketrans({c: "".join(byte_letters()[b] for b in c.encode()) for c in map(chr, range(0xC0, 0x100))})
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        vocab, letters, end = model["vocab"], byte_letters(), model["end_of_word_suffix"]
+        self.merges = Merges(vocab, model["merges"])
+        self.inner, self.last = (np.array([vocab[c + suffix] for c in letters], np.int64) for suffix in ("", end))
+        self.most = most
         self.words: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
-    def _plain(self, word: str) -> bytes:
-        found = self._parts.findall(word.lower())
+    def _merge(self, parts: list[str]) -> None:
+        raw = [p.encode() for p in parts]
+        sizes = np.array(list(map(len, raw)))
+        letters = np.frombuffer(b"".join(raw), np.uint8)
+        ids, ends = self.inner[letters], np.cumsum(sizes) - 1
+        ids[ends] = self.last[letters[ends]]
+        self.parts.update(zip(parts, self.merges.merged(ids, sizes), strict=True))
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Ids of new plain words."""
+        found = self._parts.findall(b" ".join(words).decode().lower())
         known = self.parts
-        try:
-            return known[found[0]] if len(found) == 1 else b"".join([known[p] for p in found])
-        except KeyError:
-            for p in found:
-                if p not in known:
-                    known[p] = array("I", [t.id for t in self.model.tokenize(p.translate(self.letters) if not p.isascii() else p)]).tobytes()
-            return b"".join([known[p] for p in found])
+        known[" "] = b""
+        if new := list({p for p in found if p not in known}):
+            self._merge(new)
+        at = 0
+        for w in words:
+            ids = known[found[at]]
+            at += 1
+            while at < len(found) and found[at] != " ":
+                ids += known[found[at]]
+                at += 1
+            at += 1
+            self.words[w] = ids
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         split = [t.split() for t in texts]
         if len(self.words) > self.most:
-            self.words.clear()
+            self.words, self.older = {}, self.words
         if len(self.parts) > self.most:
             self.parts.clear()
-        known, new, simple = self.words, [], self._simple.fullmatch
-        for w in set().union(*split):
-            if w not in known:
-                word = w.decode()
-                if simple(word) and "<|" not in word:
-                    known[w] = self._plain(word)
-                else:
-                    new.append(w)
-        if new:
-            for w, e in zip(new, self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False), strict=True):
-                known[w] = array("I", e.ids).tobytes()
+        known, older, plain = self.words, self.older, []
+        for w in set().union(*split).difference(known):
+            if w in older:
+                known[w] = older[w]
+            elif self._simple.fullmatch(w.decode()) and b"<|" not in w:
+                plain.append(w)
+            else:
+                known[w] = array("I", self.tokenizer.encode(w.decode(), add_special_tokens=False).ids).tobytes()
+        if plain:
+            self._learn(plain)
         return [b"".join(map(known.__getitem__, s)) for s in split]
 
 
+_encoders: dict[tuple, WordEncoder] = {}
+
+
+def encoder(how: Packing) -> WordEncoder:
+    """One for each worker, whose words outlast a task."""
+    key = (how.tokenizer, how.cached_words)
+    if key not in _encoders:
+        _encoders[key] = WordEncoder(*key)
+    return _encoders[key]
+
+
 def _encoded(batches: Iterator[pa.RecordBatch], how: Packing) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    end, encoder = np.array([how.end_id], "<u4").tobytes(), WordEncoder(how.tokenizer, how.cached_words)
+    end = np.array([how.end_id], "<u4").tobytes()
     for batch in batches:
         texts = utf8(batch.column(batch.schema.get_field_index("text")))
         for part in pieces(texts):
-            yield batch.slice(part.start, part.stop - part.start), [ids + end for ids in encoder.encode(texts[part])]
+            yield batch.slice(part.start, part.stop - part.start), [ids + end for ids in encoder(how).encode(texts[part])]
 
 
 def measured(docs: DataFrame, how: Packing) -> DataFrame:
