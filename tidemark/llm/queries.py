@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tidemark.llm import bpe, chat, html_extract, media, ngram_join, packing, quality_rules, secret_scan, url_filter, warc
+from tidemark.llm import bpe, chat, html_extract, media, ngram_join, oracles, packing, quality_rules, secret_scan, url_filter, warc
 from tidemark.llm.shared import table
 
 
@@ -61,4 +61,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_chat_formatting": chat.ORACLE_SQL}
+    return oracles.oracle_sql()
