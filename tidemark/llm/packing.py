@@ -45,7 +45,7 @@ class Packing:
     #: Hash buckets for ranks and fillers, and ranges of sequences for running sums.
     buckets: int = 512
     #: Words whose ids a worker remembers, twice at most.
-    cached_words: int = 200_000
+    cached_words: int = 120_000
 
 
 class WordEncoder:
