@@ -55,7 +55,7 @@ class Join:
     block_entries: int = 2_000_000
     #: A column with more classes than this is set aside and its classes are first compared with hubs, in so many rounds.
     small_column: int = 8
-    star_rounds: int = 2
+    star_rounds: int = 1
     #: A column estimated to have more classes than this never enters a block.
     hot_column: int = 1_000_000
 
@@ -371,9 +371,11 @@ def classes(df: DataFrame, how: Join = Join()) -> tuple[DataFrame, DataFrame]:
             roots = written(connected(found.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))), "roots")
 
     alone = written(_added(counted).select(F.explode(F.array("a", "b")).alias("cid"), "shared").groupBy("cid").agg(F.max("shared").alias("most")), "alone")
+    # components only grow, so what isn't mixed in one round isn't in a later one
     for _ in range(how.star_rounds):
-        checked(stars(written(mixed(cells, roots, alone, how), "mixed")))
-    checked(across(written(mixed(cells, roots, alone, how), "mixed"), counted, roots, how))
+        cells = written(mixed(cells.select("bucket", "cid", "size"), roots, alone, how), "mixed")
+        checked(stars(cells))
+    checked(across(written(mixed(cells.select("bucket", "cid", "size"), roots, alone, how), "mixed"), counted, roots, how))
     return rows, roots
 
 
