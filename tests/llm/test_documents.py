@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemark.llm import bpe, components, ngram_join, packing, quality_rules, secret_scan
@@ -79,6 +80,25 @@ def test_components_of_ties_nulls_and_nothing(spark):
     assert ngram_join.deduplicated(_docs(spark, [text, text, None, text, ""], [7, 7, None, None, 3])).count() == 3
 
 
+def test_fewest_shared_entries_hold_for_every_size_between(spark):
+    how = ngram_join.Join()
+    sizes = spark.range(1, 161).select(F.col("id").cast("int").alias("size"))
+    ends = sizes.withColumn("lower", F.explode(F.expr("sequence(cast(ceil(75 * size / 100) as long), size)"))).withColumn("upper", F.explode(F.expr("sequence(cast(size as long), floor(100 * size / 75))")))
+    true = F.array_min(F.transform(F.sequence("lower", "upper"), lambda b: ngram_join._least_shared(F.col("size"), b, how)))
+    off = ends.select((true - ngram_join._fewest_shared(F.col("size"), F.col("lower"), F.col("upper"), how)).alias("off")).groupBy("off").count().collect()
+    assert {r["off"] for r in off} <= {0, 1}
+
+
+def test_links_at_the_threshold_across_components_stay_candidates(spark):
+    # 100 and 103 with an intersection of 87 are linked at exactly 75 % and need 10 shared entries, while 98 and 104 need 11
+    how, sizes = ngram_join.Join(), {1: 100, 2: 103, 3: 98, 4: 104}
+    cells = spark.createDataFrame([(b, c, n) for b in range(10) for c, n in sizes.items()], "bucket long, cid long, size int")
+    roots, alone = spark.createDataFrame([], "node long, root long"), spark.createDataFrame([], "cid long, most long")
+    counted = spark.createDataFrame([], "a long, b long, na int, nb int, shared int")
+    found = ngram_join.across(ngram_join.mixed(cells, roots, alone, how), counted, roots, how)
+    assert (1, 2) in {tuple(r) for r in found.collect()}
+
+
 def test_connected_chains(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (101, 100), (5, 5)], "a long, b long")
     got = {r["node"]: r["root"] for r in components.connected(links).collect()}

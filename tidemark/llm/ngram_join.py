@@ -285,6 +285,17 @@ def _least_shared(a, b, how: Join):
     return how.needed(a, b) - F.greatest(rest(a), rest(b))
 
 
+def _fewest_shared(size, lower, upper, how: Join):
+    """No more than what a set of this size shares in prefix entries with a linked one of any size from lower to upper.
+
+    The ceilings of _least_shared make it go up and down by one. Without them it is a concave function of the partner's size,
+    with its least value at an end, and _least_shared is above that value at each size.
+    """
+    size, p = size.cast("long"), how.percent
+    plain = lambda b: 100 * p * (size + b) - p * (100 + p) * F.greatest(size, b)
+    return F.floor(F.least(plain(lower), plain(upper)) / F.lit(100 * (100 + p))) + 1
+
+
 def _several(cells: DataFrame) -> DataFrame:
     """Cells of columns that touch more than one root, with the column's number of cells and range of sizes."""
     spans = cells.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"), F.min("size").alias("least"), F.max("size").alias("most")).where("lo < hi").drop("lo", "hi")
@@ -302,9 +313,7 @@ def mixed(cells: DataFrame, roots: DataFrame, alone: DataFrame, how: Join) -> Da
     per = rooted.groupBy("cid", "size").agg(F.count("*").alias("k"), F.min("least").alias("least"), F.max("most").alias("most_size")).join(alone, "cid", "left")
     lower = F.greatest(F.col("least"), F.ceil(how.percent * F.col("size") / F.lit(100)))
     upper = F.least(F.col("most_size"), F.floor(100 * F.col("size") / F.lit(how.percent)))
-    # the bound rises with the partner's size up to the own one and falls beyond: its least value is at an end
-    fewest = F.least(_least_shared(F.col("size"), lower, how), _least_shared(F.col("size"), upper, how))
-    able = per.withColumn("need", (fewest - F.coalesce("most", F.lit(0))).cast("int")).where("k >= need").select("cid", "need")
+    able = per.withColumn("need", (_fewest_shared(F.col("size"), lower, upper, how) - F.coalesce("most", F.lit(0))).cast("int")).where("k >= need").select("cid", "need")
     return _several(rooted.select("bucket", "cid", "size", "root").join(able, "cid")).select("bucket", "cid", "size", "root", "need", "n")
 
 
