@@ -29,6 +29,21 @@ def test_main_text_of_pages():
     assert html_extract.extract("<nav>x y</nav><article><h1>Eh.</h1><p>Ah.</article><footer>q r s t u v</footer>", w) == "Eh.\nAh."
 
 
+@pytest.mark.parametrize("marked", ["class='layout has-sidebar'", "id='no-sidebar'", "class='page-with-sidebar'", "class='sidebar-left wrap'", "class=search"])
+def test_wrappers_of_the_main_text_stay(marked):
+    w = html_extract.Weights(1.4, -4.0)
+    side = "<div class='sidebar'>no no</div><div id='comments'><article class='comment-body'>no nice post no</article></div>"
+    for name in ("article", "main", "div"):
+        assert html_extract.extract(f"<body><div {marked}><{name}><p>One two three four five.</p></{name}>{side}</div></body>", w) == "One two three four five."
+
+
+def test_marked_elements_beside_the_main_text_are_left_out():
+    w = html_extract.Weights(1.4, -4.0)
+    for marked in ("class='sidebar-left'", "id=comments", "class='site-header'", "class='ad ad-slot'"):
+        assert html_extract.extract(f"<article><p>One two three.</p></article><div {marked}>{'no ' * 50}</div>", w) == "One two three."
+    assert html_extract.extract(f"<p>One two three.</p><div class='comments-area'>{'no ' * 50}</div>", w) == "One two three."
+
+
 def test_extraction_of_tables(spark, data):
     rows = html_extract.digest(spark.read.parquet(f"{data}/pages.parquet")).collect()
     assert rows and all(r["n_chars"] == len(r["text"]) for r in rows)

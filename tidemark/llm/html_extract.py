@@ -3,7 +3,8 @@
 A page is a row of tokens, words and tags, whose weights come from labelled pages: words score positive and tags
 negative, both in proportion to how they are spread inside and outside of marked-up articles. A linear scan finds the
 contiguous region of the largest sum. What never is main text (scripts, styles, forms, navigation, asides, page headers and
-footers, adverts, notices, reader comments) is left out of the tokens, also where it stands inside the region. The region is
+footers, adverts, notices, reader comments) is left out of the tokens, also where it stands inside the region, unless a class
+names so what wraps the main text: an article, or most words of a page without one. The region is
 made of whole blocks and widened to the marked-up article it lies in, if any; character references are decoded, white space inside a block becomes one space, and blocks are
 joined by line feeds.
 
@@ -37,6 +38,10 @@ _LEFT_OUT = set("nav aside footer form button select option dialog menu noscript
 _SELF_CLOSING = set("p li dt dd option tr td th".split())
 #: Words of class, id and role values that mark what isn't main text; fixed values.
 _MARKS = set("ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments cookie cookies consent disqus footer header menu modal nav navbar navigation newsletter notice notices popup promo promoted recommended related respond sharing share sidebar social sponsor sponsored subscribe subscription toolbar widget complementary contentinfo search".split())
+#: Words that tell of a layout ("has-sidebar", "no-header") and not of the element itself; fixed values.
+_STATES = set("has have no not non with without hide hidden show is in open closed active enabled disabled".split())
+#: Reader comments can be longer than what they comment on, so their length doesn't make them the main text.
+_READERS = set("comment comments disqus respond".split())
 _CONTENT = ("article", "main")
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|</?[A-Za-z](?:[^>\"']|\"[^\"]*\"|'[^']*')*>", re.S)
@@ -62,29 +67,68 @@ class Training:
     prior: float = 5.0
 
 
-def _left_out(name: str, tag: str, parents: list[str]) -> bool:
-    if name in _LEFT_OUT or name == "header" and not any(p in _CONTENT for p in parents):
-        return True
-    if name in ("html", "body", *_CONTENT):
-        return False
+def _left_out(name: str, parents: list[str]) -> bool:
+    return name in _LEFT_OUT or name == "header" and not any(p in _CONTENT for p in parents)
+
+
+def _marks(tag: str) -> set[str]:
+    """Marks in class, id and role: whole values, or the first or last part of one that doesn't tell of a layout."""
+    found = set()
     for m in _MARKED.finditer(tag):
-        if _MARKS.intersection(_SPLIT.split((m[1] or m[2] or m[3] or "").lower())):
-            return True
-    return False
+        for value in (m[1] or m[2] or m[3] or "").lower().split():
+            parts = [p for p in _SPLIT.split(value) if p]
+            if parts and not _STATES.intersection(parts):
+                found |= _MARKS.intersection((parts[0], parts[-1]))
+    return found
+
+
+@dataclass
+class _Seen:
+    """What a pass over a page saw: words, whether an article without marks stands in it, and the same of each marked element by place."""
+
+    words: int = 0
+    article: bool = False
+    marked: dict[int, list] = field(default_factory=dict)
+
+    def wrappers(self) -> set[int]:
+        """Marked elements that hold an article or, on a page without any, most of the words: wrappers of the main text."""
+        most = lambda words, marks: not self.article and 2 * words > self.words and not marks & _READERS
+        return {at for at, (marks, words, article) in self.marked.items() if article or most(words, marks)}
 
 
 def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
-    """(kind, value, left out, inside an article) of the page: text with its words, and tags by name (closing ones with a slash)."""
-    open_tags: list[tuple[str, bool]] = []
-    out, inside, at = 0, 0, 0
+    """(kind, value, left out, inside an article) of the page: text with its words, and tags by name (closing ones with a slash).
+
+    A mark doesn't hide an element that wraps the main text; which ones do is known after a first pass.
+    """
+    seen = _Seen()
+    found = list(_scanned(page, set(), seen))
+    wrappers = seen.wrappers()
+    yield from _scanned(page, wrappers, _Seen()) if wrappers else found
+
+
+def _scanned(page: str, wrappers: set[int], seen: _Seen) -> Iterator[tuple[str, str, bool, bool]]:
+    open_tags: list[tuple[str, bool, bool, int | None]] = []
+    around: list[int] = []
+    out, never, inside, at = 0, 0, 0, 0
 
     def close(k: int) -> None:
-        nonlocal out, inside
-        for name, hidden in open_tags[k:]:
+        nonlocal out, never, inside
+        for name, hidden, always, place in open_tags[k:]:
             out -= hidden
+            never -= always
             inside -= name in _CONTENT
+            if place is not None:
+                around.pop()
         del open_tags[k:]
 
+    def count(text: str) -> None:
+        if not never:
+            n = len(text.split())
+            seen.words += n
+            for place in around:
+                seen.marked[place][1] += n
+
     while at < len(page):
         m = _TOKEN.search(page, at)
         if m is None:
@@ -92,9 +136,11 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
             end = page.rfind("<", at)
             rest = page[at:end] if end >= at and re.match(r"</?[A-Za-z!]", page[end:]) and ">" not in page[end:] else page[at:]
             if rest:
+                count(rest)
                 yield "text", rest, out > 0, inside > 0
             return
         if m.start() > at:
+            count(page[at : m.start()])
             yield "text", page[at : m.start()], out > 0, inside > 0
         at, tag = m.end(), m[0]
         named = _NAME.match(tag)
@@ -109,18 +155,29 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
             continue
         if name in _SELF_CLOSING and open_tags and open_tags[-1][0] == name:
             close(len(open_tags) - 1)
-        hidden = _left_out(name, tag, [n for n, _ in open_tags])
+        always, marks = _left_out(name, [x[0] for x in open_tags]), _marks(tag)
+        marked = bool(marks) and not always and name not in ("html", "body", *_CONTENT)
+        hidden = always or marked and m.start() not in wrappers
+        if not never and (name == "main" or name == "article" and not marks):
+            seen.article = True
+            for place in around:
+                seen.marked[place][2] = True
         yield "tag", name, out > 0 or hidden, inside > 0 or name in _CONTENT
         if name in _VOID or tag.endswith("/>") and name not in _RAW:
             continue
         if name in _RAW:
             end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
             if name not in _LEFT_OUT:
+                count(page[at : end.start() if end else len(page)])
                 yield "text", page[at : end.start() if end else len(page)], out > 0, inside > 0
             at = end.end() if end else len(page)
             continue
-        open_tags.append((name, hidden))
+        open_tags.append((name, hidden, always, m.start() if marked else None))
+        if marked:
+            around.append(m.start())
+            seen.marked[m.start()] = [marks, 0, False]
         out += hidden
+        never += always
         inside += name in _CONTENT
 
 
