@@ -52,6 +52,19 @@ def test_extraction_of_tables(spark, data):
     assert html_extract.digest(_pages(spark, [])).count() == 0
 
 
+def test_samples_hold_different_contents(spark):
+    urls = [(f"http://h{i}.s{i % 3}/{i}", i % 2) for i in range(30)]
+    trees = url_filter.Trees(max_labelled=20, rounds=1, leaf=1)
+    fitted = [url_filter.fit(spark.createDataFrame(urls * k, "url string, bad int"), trees) for k in (1, 40)]
+    assert fitted[0] == fitted[1]
+    pages = [(i, None, f"<article><p>{'in ' * i}</p></article><{'b' * (i % 7 + 1)}>{'out ' * (i % 5)}") for i in range(30)]
+    how = html_extract.Training(max_pages=10)
+    assert html_extract.train(_pages(spark, pages), how=how) == html_extract.train(_pages(spark, pages * 40), how=how)
+    texts = [(f"password: {hashlib.sha256(bytes([i])).hexdigest()} an_identifier_{'abcdefgh'[i % 8] * 4}",) for i in range(30)]
+    options = secret_scan.Training(max_documents=10)
+    assert secret_scan.train(spark.createDataFrame(texts, "text string"), options=options) == secret_scan.train(spark.createDataFrame(texts * 40, "text string"), options=options)
+
+
 # WARC
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.shared import bounded_batches, utf8
+from tidemark.llm.shared import bounded_batches, sampled, utf8
 
 #: Element names by role.
 _BLOCKS = set("address article aside blockquote body br caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main nav ol option p pre section summary table tbody td tfoot th thead title tr ul".split())
@@ -196,9 +196,7 @@ def _counts(page: str) -> tuple[bool, Counter]:
 def train(df: DataFrame, column: str = "html", how: Training = Training()) -> Weights:
     """Weights from a bounded sample of pages that mark up their article, chosen by hash. Only counts by tag reach the driver."""
     rows = df.select(F.coalesce(F.col(column), F.lit("")).alias("html")).where(F.col("html").rlike("(?i)<(article|main)[ >]"))
-    last = rows.select(F.xxhash64("html").alias("h")).orderBy("h").limit(how.max_pages).agg(F.max("h")).first()[0]
-    if last is None:
-        return Weights()
+    some = sampled(rows, "html", how.max_pages).distinct()
 
     def run(batches):
         for batch in batches:
@@ -210,8 +208,10 @@ def train(df: DataFrame, column: str = "html", how: Training = Training()) -> We
             keys = [k for k in total if len(k[0]) <= 20]
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.bool_()), pa.array([total[k] for k in keys], pa.int64())], names=["token", "inside", "n"])
 
-    counted = rows.where(F.xxhash64("html") <= F.lit(last)).mapInArrow(run, "token string, inside boolean, n long")
+    counted = some.mapInArrow(run, "token string, inside boolean, n long")
     counts = {(r["token"], r["inside"]): r["n"] for r in counted.groupBy("token", "inside").agg(F.sum("n").alias("n")).orderBy(F.desc("n")).limit(400).collect()}
+    if not counts:
+        return Weights()
     odds = lambda t: math.log((counts.get((t, True), 0) + how.prior) / (counts.get((t, False), 0) + how.prior))
     names = {t for t, _ in counts} - {" "}
     word = min(2.0, max(0.5, odds(" ") / 2))

@@ -19,6 +19,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.shared import sampled
+
 KINDS = ["assign", "access", "hex", "markov"]
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 #: A whole run fails or passes by its length alone, so the least length stands in the pattern.
@@ -80,16 +82,9 @@ def _ratio(word: Column, table: Column) -> Column:
     return F.aggregate(pairs, F.lit(0.0), lambda acc, i: acc + F.get(table, code(i) * (len(ALPHABET) + 1) + code(i + 1)))
 
 
-def sample(df: DataFrame, key: list[str], n: int) -> DataFrame:
-    """About n rows chosen by the hash of the key columns; only hashes meet in one place."""
-    rank = F.xxhash64(*key)
-    last = df.select(rank.alias("h")).orderBy("h").limit(n).agg(F.max("h")).first()[0]
-    return df.where(F.lit(last is not None) & (rank <= F.lit(last)))
-
-
 def train(df: DataFrame, text: str = "text", options: Training = Training()) -> list[float]:
     """The table of log-likelihood ratios of pairs of characters, fixed in size: (len(ALPHABET) + 1) squared."""
-    some = sample(df.select(F.coalesce(F.col(text), F.lit("")).alias("_text")), ["_text"], options.max_documents)
+    some = sampled(df.select(F.coalesce(F.col(text), F.lit("")).alias("_text")), "_text", options.max_documents).distinct()
     values = F.filter(F.regexp_extract_all("_text", F.lit(ASSIGN), F.lit(2)), lambda v: F.char_length(v) >= LEAST_VALUE)
     hexes, accesses = (F.regexp_extract_all("_text", F.lit(p), F.lit(0)) for p in (HEX, ACCESS))
     words = F.regexp_extract_all("_text", F.lit(r"(?<![A-Za-z0-9+/_=\-])[A-Za-z_\-]{8,}[0-9]{0,4}(?![A-Za-z0-9+/_=\-])"), F.lit(0))

@@ -19,6 +19,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.shared import sampled
+
 #: (verdict, host, path); fixed values of the contract.
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 FEATURES = ["f_length", "f_host_length", "f_path_length", "f_depth", "f_labels", "f_digit_ratio", "f_entropy", "f_parameters", "f_query_length", "f_hyphens", "f_suffix"]
@@ -93,10 +95,10 @@ def _tree(node):
 
 
 def fit(labelled: DataFrame, how: Trees = Trees()) -> Model:
-    """Fits on rows (url, bad); the sample is chosen by hash."""
+    """Fits on rows (url, bad); the sample is chosen by hash. Each URL counts once, as bad if half of its rows are."""
     rows = labelled.where("bad is not null").select(F.coalesce("url", F.lit("")).alias("url"), F.col("bad").cast("int").alias("bad"))
-    last = rows.select(F.xxhash64("url").alias("h")).orderBy("h").limit(how.max_labelled).agg(F.max("h")).first()[0]
-    sample = lexical(rows.where(F.lit(last is not None) & (F.xxhash64("url") <= F.lit(last))))
+    some = sampled(rows, "url", how.max_labelled).groupBy("url").agg((2 * F.sum("bad") >= F.count("*")).cast("int").alias("bad"))
+    sample = lexical(some)
     sorts = {r["suffix"]: (r["bad"], r["n"]) for r in sample.groupBy("suffix").agg(F.sum("bad").alias("bad"), F.count("*").alias("n")).collect()}
     bad, n = (sum(x[i] for x in sorts.values()) for i in (0, 1))
     if bad in (0, n):
