@@ -82,6 +82,19 @@ def test_warc_round_trip(spark):
     assert warc.round_trip(_pages(spark, [])).count() == 0
 
 
+def test_copies_of_a_payload_do_not_meet_with_it(spark, capfd):
+    rows = [(i % 50, f"u{i % 3}", "c" * 500) for i in range(600)] + [(None, None, None)] * 40 + [(7, "v", "d" * 500)]
+    made = warc.captures(_pages(spark, rows))
+    got = made.collect()
+    assert len(got) == len(rows) == len({r["key"] for r in got})
+    assert sum(r["payload"] is not None and len(r["payload"]) == 500 for r in got) == 2
+    made.explain()
+    plan = capfd.readouterr().out
+    assert "Window" not in plan
+    read = warc.round_trip(_pages(spark, rows)).groupBy("record_type", "refers_to", "payload_bytes").count().collect()
+    assert sorted((tuple(r) for r in read), key=repr) == sorted([("response", None, 500, 2), ("response", None, 0, 40), ("revisit", 0, 500, 599)], key=repr)
+
+
 def test_warc_segments_are_checked(spark, tmp_path):
     warc.write(_pages(spark, [(1, "u", "q" * 60_000)]), f"{tmp_path}/w")
     parsed = warc.records(spark, f"{tmp_path}/w")

@@ -23,7 +23,6 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tidemark.llm.shared import bounded_batches, new_path
 
@@ -38,6 +37,8 @@ class Archive:
     file_records: int = 256
     #: Equal payloads below this length are all kept as responses.
     least_revisit: int = 100
+    #: The captures of one payload are dealt to so many groups.
+    salts: int = 32
     compression: str = "gzip"
 
 
@@ -50,21 +51,30 @@ def _bytes(n: Column) -> Column:
 
 
 def captures(df: DataFrame, how: Archive = Archive()) -> DataFrame:
-    """id, url, payload (binary), its digest and length, record key, and the key of the response that it revisits, if any.
+    """id, url, payload (binary), its digest, record key, and the key of the response that it revisits, if any (then without payload).
 
-    The first of equal payloads is a grouped minimum joined back, so no group of copies meets in a task.
+    The response of equal payloads is a grouped minimum, revisits meet it without their payloads and dealt by digest and salt,
+    and equal rows are one row with a count until they are numbered. So no group of copies meets in a task with its payloads.
     """
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     rows = df.select(F.col("page_id").alias("id"), F.coalesce("url", F.lit("urn:none")).alias("url"), payload.alias("payload"))
     rows = rows.withColumn("digest", F.sha2("payload", 256)).withColumn("bytes", F.octet_length("payload").cast("long"))
     rows = rows.withColumn("key", F.concat_ws("-", F.coalesce(F.col("id").cast("string"), F.lit("none")), F.substring("digest", 1, 16), F.lower(F.hex(F.xxhash64("url")))))
+    long, short = rows.where(F.col("bytes") >= how.least_revisit), rows.where(F.col("bytes") < how.least_revisit)
     place = F.struct(F.col("id").isNull().alias("last"), "id", "key")
-    first = rows.where(F.col("bytes") >= how.least_revisit).groupBy("digest").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1").select("digest", F.col("first.id").alias("first_id"), F.col("first.key").alias("first_key"))
-    # equal rows are told apart by a number within their key; the join has put them together already
-    copy = (F.row_number().over(Window.partitionBy("digest", "key").orderBy("key")) - 1).cast("string")
-    both = rows.join(first, "digest", "left").withColumn("copy", copy)
-    is_first = (F.col("key") == F.col("first_key")) & (F.col("copy") == "0")
-    return both.withColumn("revisits", F.when(~is_first, F.concat("first_key", F.lit("-0")))).withColumn("key", F.concat_ws("-", "key", "copy"))
+    numbered = lambda c, start: c.select("*", F.explode(F.sequence(start, F.col("n") - 1)).alias("copy")).withColumn("key", F.concat_ws("-", "key", F.col("copy").cast("string")))
+    names = ["id", "url", "payload", "digest", "key", "revisits"]
+    no_key = F.lit(None).cast("string").alias("revisits")
+    one = long.groupBy("digest").agg(F.min_by(F.struct("id", "url", "payload", "key"), place).alias("x"))
+    one = one.select("x.id", "x.url", "x.payload", "digest", F.concat("x.key", F.lit("-0")).alias("key"), no_key)
+    # equal rows are told apart by a number within their key
+    all_short = numbered(short.groupBy("digest", "key", "id", "url").agg(F.first("payload").alias("payload"), F.count("*").alias("n")), F.lit(0).cast("long")).select(*names[:-1], no_key)
+    first = long.groupBy("digest").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1").select("digest", F.col("first.key").alias("first_key"), F.explode(F.sequence(F.lit(0), F.lit(how.salts - 1))).alias("salt"))
+    groups = long.groupBy("digest", "key", "id", "url").agg(F.count("*").alias("n")).withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(how.salts)).cast("int"))
+    is_first = F.col("key") == F.col("first_key")
+    others = groups.join(first, ["digest", "salt"]).where(~is_first | (F.col("n") > 1)).withColumn("revisits", F.concat("first_key", F.lit("-0")))
+    others = numbered(others, F.when(is_first, 1).otherwise(0).cast("long")).select("id", "url", F.lit(None).cast("binary").alias("payload"), "digest", "key", "revisits")
+    return one.union(all_short).union(others)
 
 
 def _records(c: DataFrame, how: Archive) -> DataFrame:
