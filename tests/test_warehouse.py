@@ -147,6 +147,15 @@ def test_export_and_audit(spark, view):
             exposure.checked_key(bad)
 
 
+def test_leaks_meet_by_substrings(spark, capfd):
+    text = spark.createDataFrame([("x Loja Ação y", "Loja"), ("Ação", "abc"), ("Loja Açã", None), ("aaaaaa", "Cliente-0123ABCD"), ("abcabc", "z")], "a string, b string")
+    real = spark.createDataFrame([("Loja Ação",), ("Ação",), ("aaaa",), ("abc",), ("Cliente-0123ABCD",), ("0123",), ("",), (None,)], "value string")
+    found = audit.leaks(text, real, "value")
+    assert {r["column"]: r["leaks"] for r in found.collect()} == {"a": 3, "b": 2}
+    found.explain()
+    assert "NestedLoop" not in capfd.readouterr().out
+
+
 def test_raw_contract_and_anonymiser(spark, bronze):
     meta = bronze.where("source = 'meta_ads'")
     assert exposure.contract_violations(meta, "meta_ads").count() == 0

@@ -66,14 +66,17 @@ def leaks(text: DataFrame, real: DataFrame, value: str) -> DataFrame:
     """cell column and number of real values found: by equality in cells of an identifier's shape, as a part of others.
 
     Equality is a hash join of distinct values. Only distinct cells without that shape are searched for parts, and such cells don't
-    exist in a sound artifact.
+    exist in a sound artifact. They meet the values that end with one of their substrings of LEAST_SEARCHED characters.
     """
     cells = text.select(F.explode(F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("cell")) for c in text.columns))).alias("x")).select("x.*").where("cell is not null").distinct()
     values = real.select(F.col(value).alias("value")).where(F.length("value") > 0).distinct()
     equal = cells.join(values, F.col("cell") == F.col("value"), "left_semi")
     shaped = reduce(lambda a, b: a | b, (F.col("cell").rlike(p) for p in ID_SHAPES.values())) | F.col("cell").rlike(r"^-?[0-9.]+$") | F.col("cell").rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$") | F.col("cell").isin(PLATFORMS)
     free = cells.where(~shaped)
-    parts = free.join(values.where(F.length("value") >= LEAST_SEARCHED), F.contains("cell", "value"), "left_semi")
+    starts = F.sequence(F.lit(1), F.length("cell") - (LEAST_SEARCHED - 1))
+    pieces = free.where(F.length("cell") >= LEAST_SEARCHED).select("column", "cell", F.explode(F.array_distinct(F.transform(starts, lambda i: F.substring("cell", i, F.lit(LEAST_SEARCHED))))).alias("piece"))
+    ends = values.where(F.length("value") >= LEAST_SEARCHED).withColumn("end", F.right("value", F.lit(LEAST_SEARCHED)))
+    parts = pieces.join(ends, (F.col("piece") == F.col("end")) & F.contains("cell", "value"), "left_semi").select("column", "cell")
     return equal.unionByName(parts).distinct().groupBy("column").agg(F.count("*").alias("leaks"))
 
 
