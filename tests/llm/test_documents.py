@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemark.llm import bpe, components, ngram_join, packing, quality_rules, secret_scan
+from tidemark.llm.shared import Scratch
 
 WORD_BPE, BYTE_BPE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
 ODD = ["", None, " \n\t ", "one", "five words are in here", "é" * 40, "a\x1cb\x85c\xa0d", "x " * 3000, "<|endoftext|> and <|startoftext|>", "漢字 two"]
@@ -65,7 +66,7 @@ def corpus():
     return texts
 
 
-@pytest.mark.parametrize("how", [ngram_join.Join(), ngram_join.Join(small_column=2, block_entries=300), ngram_join.Join(small_column=1, hot_column=5)])
+@pytest.mark.parametrize("how", [ngram_join.Join(), ngram_join.Join(small_column=2, block_entries=300), ngram_join.Join(small_column=1, hot_column=5), ngram_join.Join(small_column=1, tile=5, slab=7, star_rounds=0)])
 def test_components_equal_brute_force(spark, corpus, how):
     sets, roots = _roots(corpus)
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.components(_docs(spark, corpus), how).collect()}
@@ -95,10 +96,43 @@ def test_links_at_the_threshold_across_components_stay_candidates(spark):
     cells = spark.createDataFrame([(b, c, n) for b in range(10) for c, n in sizes.items()], "bucket long, cid long, size int")
     roots, alone = spark.createDataFrame([], "node long, root long"), spark.createDataFrame([], "cid long, most long")
     counted = spark.createDataFrame([], "a long, b long, na int, nb int, shared int")
-    found = ngram_join.across(ngram_join.mixed(cells, roots, alone, how), counted, roots, how)
+    found = ngram_join.across(ngram_join.mixed(cells, roots, alone, how), counted, alone, how, Scratch(spark))
     assert (1, 2) in {tuple(r) for r in found.collect()}
 
 
+def test_columns_of_one_set_are_told_apart():
+    a = np.array([5 << 32 | 7, 5 << 32 | 7, 5 << 32 | 7, 5 << 32 | 9, 6 << 32 | 7], np.uint64)
+    b = np.array([5 << 32 | 7, 5 << 32 | 7, 6 << 32 | 7], np.uint64)
+    x, y = ngram_join.apart(a), ngram_join.apart(b)
+    assert len(set(x.tolist())) == 5 and len(set(y.tolist())) == 3
+    assert set(y.tolist()) <= set(x.tolist()) and sorted(x >> np.uint64(32)) == [5, 5, 5, 5, 6]
+
+
+def test_tiles_find_the_same_pairs_as_all_pairs():
+    rng, how = random.Random(3), ngram_join.Join(slab=7)
+    members = []
+    for i in range(40):
+        columns = rng.sample(range(60), rng.randrange(5, 30))
+        members.append({"cid": i, "size": 40, "root": i // 3, "most": rng.randrange(4), "first": rng.randrange(1, len(columns) + 1), "columns": np.array(columns)})
+    side = {k: [m[k] for m in members] if k == "columns" else np.array([m[k] for m in members]) for k in members[0]}
+    needed = -(-75 * 80 // 175) - (-(-75 * 40 // 100) - 1)
+    found, want = set(), set()
+    for bucket in range(60):
+        here = [i for i, m in enumerate(members) if bucket in m["columns"][: m["first"]]]
+        part = {k: [v[i] for i in here] if k == "columns" else v[here] for k, v in side.items()}
+        if here:
+            i, j, lack = ngram_join.tile_pairs(bucket, [part, part], how, True)
+            new = [(here[x], here[y], z) for x, y, z in zip(i.tolist(), j.tolist(), lack.tolist(), strict=True)]
+            assert not found.intersection(new)
+            found.update(new)
+    for x in members:
+        for y in members:
+            lack = needed - len(set(x["columns"]) & set(y["columns"]))
+            if x["cid"] < y["cid"] and x["root"] != y["root"] and set(x["columns"][: x["first"]]) & set(y["columns"][: y["first"]]) and lack <= min(x["most"], y["most"]):
+                want.add((x["cid"], y["cid"], lack))
+    assert found == want and want
+
+
 def test_connected_chains(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (101, 100), (5, 5)], "a long, b long")
     got = {r["node"]: r["root"] for r in components.connected(links).collect()}

@@ -3,22 +3,24 @@
 Which documents have shingle sets whose Jaccard similarity reaches a bound, without comparing all of them:
 
 1. `profile`: one scan gives each document's set size and class (a 64-bit hash of its set; documents of one class have
-   equal sets), and a table of fixed size with estimated n-gram counts.
-2. `incidence`: a second scan orders each set by estimated count and then hash, rarest first, and emits only as many
-   entries as two linked sets must share one of: n - ceil(similarity * n) + 1. Entries are dealt to blocks of n-grams
-   (columns) as packed arrays; a class that a task has already emitted isn't emitted again.
+   equal sets), one text of each class a task sees, and a table of fixed size with estimated n-gram counts.
+2. `incidence`: each class's set is ordered by estimated count and then hash, rarest first, and only as many entries are
+   emitted as two linked sets must share one of: n - ceil(similarity * n) + 1. Entries are dealt to blocks of n-grams
+   (columns) as packed arrays. N-grams of one set that fall on one 32-bit column are told apart by their number in it.
 3. `product`: each block multiplies its columns: overlap counts of pairs of classes that share a column, unless their
    sizes alone rule them out. A column with many classes is set aside whole.
 4. Counts of a pair are added over blocks; a pair whose count leaves it below the overlap that its sizes need is
    discarded. What is left is checked exactly on the texts, and components of the links are formed.
 5. `stars`: columns set aside can hide links only between different components. In those that touch more than one, each
    class is compared with the hub that it meets most, and the components are formed again; this is done in rounds.
-6. `across`: columns that still touch more than one component are expanded across components, bounded and checked like
+6. `across`: what still touches more than one component is multiplied in tiles, block of classes by block of classes: counts
+   and bounds stay in the worker, and only pairs that reach their bound leave it, each from one tile. They are checked like
    the other pairs, and the components are formed a last time.
 
 So groups of thousands of near copies cost work in proportion to their entries and not to their pairs, and no link
 between components is lost. The estimated counts steer the cost only. Columns estimated to be very common never meet in
-one block: they are set aside at once.
+one block: they are set aside at once. Only texts of classes in candidate pairs are shuffled; tables are removed when
+nothing reads them any more.
 
 Defined cases: a null text or one without words has an empty set, no links and itself as component; rows with equal sets
 are linked, repeated rows and repeated ids included; null ids take part and count last in minima; a document of fewer
@@ -40,7 +42,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import wordhash
 from tidemark.llm.components import connected
-from tidemark.llm.shared import bounded_batches, pieces, utf8, written
+from tidemark.llm.shared import Scratch, bounded_batches, pieces, utf8
 
 _SLOT_BITS, _CHUNKS = 20, 64
 _FILTER_BITS = 24
@@ -58,6 +60,9 @@ class Join:
     star_rounds: int = 1
     #: A column estimated to have more classes than this never enters a block.
     hot_column: int = 1_000_000
+    #: Classes on either side of a tile, and columns that a tile multiplies at once.
+    tile: int = 1_024
+    slab: int = 4_096
 
     def prefix(self, n: np.ndarray) -> np.ndarray:
         return n - (self.percent * n + 99) // 100 + 1
@@ -85,24 +90,26 @@ def _slots(shingles: np.ndarray) -> np.ndarray:
 
 
 def profile(docs: DataFrame, how: Join) -> DataFrame:
-    """Documents (kind 0): doc_id, row hash, n_shingles, class. Parts of the table of n-gram counts (kind 1): chunk, counts."""
+    """Documents (kind 0): doc_id, row hash, n_shingles, class, and the text where the task sees the class first. Parts of the table of n-gram counts (kind 1): chunk, counts."""
+    names = ["kind", "doc_id", "row", "n_shingles", "cid", "text", "chunk", "counts"]
 
     def run(batches):
         counts, seen = np.zeros(1 << _SLOT_BITS, np.uint32), set()
         for batch, part, texts, sets in _sets(batches, how.words):
             classes = [class_of(s) if len(s) else None for s in sets]
-            fresh = [s for s, c in zip(sets, classes, strict=True) if c is not None and not (c in seen or seen.add(c))]
-            if fresh:
-                counts += np.bincount(_slots(np.concatenate(fresh)), minlength=len(counts)).astype(np.uint32)
+            first = [c is not None and not (c in seen or seen.add(c)) for c in classes]
+            if any(first):
+                counts += np.bincount(_slots(np.concatenate([s for s, f in zip(sets, first, strict=True) if f])), minlength=len(counts)).astype(np.uint32)
             k = len(sets)
             ids, rows = (batch.column(batch.schema.get_field_index(c)).slice(part.start, k) for c in ("doc_id", "row"))
-            yield pa.RecordBatch.from_arrays([pa.array([0] * k, pa.int32()), ids, rows, pa.array([len(s) for s in sets], pa.int64()), pa.array(classes, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names=["kind", "doc_id", "row", "n_shingles", "cid", "chunk", "counts"])
+            kept = pa.array([t if f else None for t, f in zip(texts, first, strict=True)], pa.binary()).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array([0] * k, pa.int32()), ids, rows, pa.array([len(s) for s in sets], pa.int64()), pa.array(classes, pa.int64()), kept, pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names=names)
         if seen:
             parts = [(i, zlib.compress(c.tobytes(), 1)) for i, c in enumerate(np.split(counts, _CHUNKS)) if c.any()]
             k = len(parts)
-            yield pa.RecordBatch.from_arrays([pa.array([1] * k, pa.int32()), *(pa.nulls(k, pa.int64()) for _ in range(4)), pa.array([i for i, _ in parts], pa.int32()), pa.array([c for _, c in parts], pa.binary())], names=["kind", "doc_id", "row", "n_shingles", "cid", "chunk", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.array([1] * k, pa.int32()), *(pa.nulls(k, pa.int64()) for _ in range(4)), pa.nulls(k, pa.string()), pa.array([i for i, _ in parts], pa.int32()), pa.array([c for _, c in parts], pa.binary())], names=names)
 
-    return docs.mapInArrow(run, "kind int, doc_id long, row long, n_shingles long, cid long, chunk int, counts binary")
+    return docs.mapInArrow(run, "kind int, doc_id long, row long, n_shingles long, cid long, text string, chunk int, counts binary")
 
 
 def rarity(parts: DataFrame) -> np.ndarray:
@@ -121,38 +128,50 @@ def rarity(parts: DataFrame) -> np.ndarray:
 
 
 _ENTRIES = "block int, hashes binary, owners binary, cids binary, sizes binary"
+_LOW = np.uint64(0xFFFFFFFF)
 
 
-def incidence(docs: DataFrame, table: np.ndarray, blocks: int, how: Join) -> DataFrame:
-    """Packed entries by block: hash and place of the class in the arrays of classes and set sizes. Block -1: hot columns."""
-    shared = docs.sparkSession.sparkContext.broadcast(table)
+def apart(columns: np.ndarray) -> np.ndarray:
+    """Columns (block << 32 | hash) of one set, all different: the j-th n-gram on a column goes to a j-th column of its own.
+
+    Sets that share k n-grams on one column then share k columns at least, so counts never fall below the true overlap.
+    """
+    columns = np.sort(columns)
+    while len(columns) > 1 and (same := columns[1:] == columns[:-1]).any():
+        start = np.maximum.accumulate(np.where(np.concatenate([[True], ~same]), np.arange(len(columns)), 0))
+        number = (np.arange(len(columns)) - start).astype(np.uint64)
+        columns = np.sort((columns & ~_LOW) | (columns + number * np.uint64(0x9E3779B1) & _LOW))
+    return columns
+
+
+def incidence(texts: DataFrame, table: np.ndarray, blocks: int, how: Join) -> DataFrame:
+    """Packed entries of (cid, text) by block: hash and place of the class in the arrays of classes and set sizes. Block -1: hot columns."""
+    shared = texts.sparkSession.sparkContext.broadcast(table)
     hot_step = min(255, round(8 * np.log2(1 + how.hot_column)))
 
     def flush(rows):
-        hashes, owners = np.concatenate([h for h, _, _ in rows]), np.repeat(np.arange(len(rows)), [len(h) for h, _, _ in rows])
+        columns, owners = np.concatenate([c for c, _, _ in rows]), np.repeat(np.arange(len(rows)), [len(c) for c, _, _ in rows])
         cids, sizes = np.array([c for _, c, _ in rows], np.int64), np.array([n for _, _, n in rows], np.int32)
-        block = (hashes % np.uint64(blocks)).astype(np.int64)
-        block[(hashes >> np.uint64(56)) >= hot_step] = -1
+        block = (columns >> np.uint64(32)).astype(np.int64)
         order = np.argsort(block, kind="stable")
-        hashes, owners, block = hashes[order], owners[order], block[order]
+        columns, owners, block = columns[order], owners[order], block[order]
         edges = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1], [True]]))
         out = {k: [] for k in ("block", "hashes", "owners", "cids", "sizes")}
         for i, j in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
             used, local = np.unique(owners[i:j], return_inverse=True)
-            for k, v in zip(out, (int(block[i]), (hashes[i:j] >> np.uint64(20)).astype(np.uint32).tobytes(), local.astype(np.uint32).tobytes(), cids[used].tobytes(), sizes[used].tobytes()), strict=True):
+            for k, v in zip(out, (int(block[i]) if block[i] < blocks else -1, (columns[i:j] & _LOW).astype(np.uint32).tobytes(), local.astype(np.uint32).tobytes(), cids[used].tobytes(), sizes[used].tobytes()), strict=True):
                 out[k].append(v)
         return pa.RecordBatch.from_arrays([pa.array(out["block"], pa.int32()), *(pa.array(out[k], pa.binary()) for k in list(out)[1:])], names=list(out))
 
     def run(batches):
-        steps, seen, rows, held = shared.value, set(), [], 0
-        for _, _, _, sets in _sets(batches, how.words):
-            for s in sets:
-                if not len(s) or (c := class_of(s)) in seen:
-                    continue
-                seen.add(c)
+        steps, rows, held = shared.value, [], 0
+        for batch, part, _, sets in _sets(batches, how.words):
+            for s, c in zip(sets, batch.column(batch.schema.get_field_index("cid"))[part].to_pylist(), strict=True):
                 keys = (steps[_slots(s)].astype(np.uint64) << np.uint64(56)) | (s & np.uint64((1 << 56) - 1))
                 p = int(how.prefix(len(s)))
-                rows.append((np.partition(keys, p - 1)[:p], c, len(s)))
+                keys = np.partition(keys, p - 1)[:p]
+                block = np.where(keys >> np.uint64(56) >= hot_step, np.uint64(blocks), keys % np.uint64(blocks))
+                rows.append((apart(block << np.uint64(32) | keys >> np.uint64(20) & _LOW), c, len(s)))
                 held += p
                 if held > 1_000_000:
                     yield flush(rows)
@@ -160,7 +179,7 @@ def incidence(docs: DataFrame, table: np.ndarray, blocks: int, how: Join) -> Dat
         if rows:
             yield flush(rows)
 
-    return docs.mapInArrow(run, _ENTRIES)
+    return texts.mapInArrow(run, _ENTRIES)
 
 
 _PRODUCT = "kind int, a long, b long, na int, nb int, shared int, bucket long, cids array<long>, sizes array<int>"
@@ -226,27 +245,21 @@ def hot_columns(entries: DataFrame) -> DataFrame:
     return entries.where("block < 0").mapInArrow(run, _PRODUCT)
 
 
-def texts_of(docs: DataFrame, wanted: DataFrame, how: Join) -> DataFrame:
-    """(cid, text) of the wanted classes, one text each. A bit table of fixed size keeps most other texts from the shuffle."""
-    place = F.col("cid").bitwiseAND((1 << _FILTER_BITS) - 1)
-    words = wanted.select(F.shiftright(place, 6).alias("word"), place.bitwiseAND(63).alias("bit")).groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, cast(bit as int))")).alias("bits")).collect()
-    bits = np.zeros(1 << (_FILTER_BITS - 6), np.int64)
-    for r in words:
-        bits[r["word"]] = r["bits"]
-    shared = docs.sparkSession.sparkContext.broadcast(np.unpackbits(bits.view(np.uint8), bitorder="little").view(bool))
+def texts_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(cid, text) of the wanted classes, one text each.
 
-    def run(batches):
-        flags, seen = shared.value, set()
-        for _, _, texts, sets in _sets(batches, how.words):
-            out = [(c, t) for t, s in zip(texts, sets, strict=True) if len(s) and flags[(c := class_of(s)) & ((1 << _FILTER_BITS) - 1)] and not (c in seen or seen.add(c))]
-            yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in out], pa.int64()), pa.array([t for _, t in out], pa.binary()).cast(pa.string())], names=["cid", "text"])
-
-    found = docs.mapInArrow(run, "cid long, text string")
-    return found.join(wanted, "cid", "left_semi").groupBy("cid").agg(F.first("text").alias("text"))
+    A table of bits keeps most other texts from the shuffle. It has 2^18 rows of two longs at most, whatever the input, so it is broadcast.
+    """
+    place = F.col("cid").bitwiseAND((1 << _FILTER_BITS) - 1)
+    word, bit = F.shiftright(place, 6).alias("word"), place.bitwiseAND(63).cast("int").alias("bit")
+    bits = wanted.select(word, bit).groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
+    likely = texts.select("cid", "text", word, bit).join(F.broadcast(bits), "word").where("shiftrightunsigned(bits, bit) & 1 = 1")
+    return likely.groupBy("cid").agg(F.first("text").alias("text")).join(wanted, "cid", "left_semi")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, how: Join) -> DataFrame:
-    """The pairs (a, b) that are linked by their whole sets."""
+    """The pairs (a, b) that are linked by their whole sets. `texts`: (cid, text), with each class once or more."""
+    texts = texts_of(texts, pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct())
 
     def run(batches):
         last, last_set = None, None
@@ -276,7 +289,7 @@ def _added(counts: DataFrame) -> DataFrame:
 
 def _bounded(counts: DataFrame, how: Join) -> DataFrame:
     """Pairs whose shared prefix entries and whatever lies behind the prefixes can still reach the overlap needed."""
-    return _added(counts).where(F.col("shared") >= _least_shared(F.col("na"), F.col("nb"), how)).select("a", "b")
+    return counts.where(F.col("shared") >= _least_shared(F.col("na"), F.col("nb"), how)).select("a", "b")
 
 
 def _least_shared(a, b, how: Join):
@@ -329,62 +342,117 @@ def stars(cells: DataFrame) -> DataFrame:
     return best.select(F.least("cid", "x.hub").alias("a"), F.greatest("cid", "x.hub").alias("b")).distinct()
 
 
-def across(cells: DataFrame, counted: DataFrame, roots: DataFrame, how: Join) -> DataFrame:
-    """Candidates between components, from mixed columns and the pairs counted before.
+def _overlaps(left: list[np.ndarray], right: list[np.ndarray], slab: int) -> np.ndarray:
+    """How many columns each on the left shares with each on the right; dense slabs of columns that stand on both sides."""
+    out = np.zeros((len(left), len(right)), np.float32)
+    rows = [np.repeat(np.arange(len(x)), list(map(len, x))) for x in (left, right)]
+    flat = [np.concatenate([*x, np.zeros(0, np.int64)]) for x in (left, right)]
+    both = np.intersect1d(*flat)
+    for k in range(0, len(both), slab):
+        some, sides = both[k : k + slab], []
+        for r, c, n in zip(rows, flat, (len(left), len(right)), strict=True):
+            at = np.minimum(np.searchsorted(some, c), len(some) - 1)
+            found = some[at] == c
+            dense = np.zeros((n, len(some)), np.float32)
+            dense[r[found], at[found]] = 1
+            sides.append(dense)
+        out += sides[0] @ sides[1].T
+    return out
+
 
-    A linked pair shares at least `need` of a class's k mixed columns, so it meets in the k - need + 1 rarest of both.
-    Pairs that do are counted over all columns, which each class carries in one array, and bounded.
+def tile_pairs(bucket: int, sides: list[dict], how: Join, same: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs (places on either side) of a tile that may be linked, lie in different components and meet in this column first of all that they meet in; what they lack of their bound."""
+    x, y = sides
+    low, high = (f(x["size"][:, None], y["size"][None, :]) for f in (np.minimum, np.maximum))
+    needed = -(-how.percent * (low + high) // (100 + how.percent)) - (-(-how.percent * high // 100) - 1)
+    able = (x["root"][:, None] != y["root"][None, :]) & (100 * low >= how.percent * high)
+    if same:
+        able &= np.arange(len(x["size"]))[:, None] < np.arange(len(y["size"]))[None, :]
+    lack = needed - _overlaps(x["columns"], y["columns"], how.slab).astype(np.int64)
+    able &= lack <= np.minimum(x["most"][:, None], y["most"][None, :])
+    if able.any():
+        earlier = [[(h := c[:f])[h < bucket] for c, f in zip(s["columns"], s["first"].tolist(), strict=True)] for s in sides]
+        able &= _overlaps(*earlier, how.slab) == 0
+    return *np.nonzero(able), lack[able]
+
+
+def across(cells: DataFrame, counted: DataFrame, alone: DataFrame, how: Join, scratch: Scratch) -> DataFrame:
+    """Candidates between components from mixed columns, counted in tiles.
+
+    A linked pair shares at least `need` of a class's k mixed columns, so it meets in the k - need + 1 rarest of both, its
+    heads. In each head column the classes outside of its most frequent component meet each other and those inside, in
+    tiles of bounded size. What a pair shares in small columns is bounded there by the most that either shares with anyone
+    (`alone`: cid, most), and looked up in `counted` for the pairs that are left.
     """
-    rows = cells.groupBy("cid", "size", "root").agg(F.max("need").alias("need"), F.array_sort(F.collect_set(F.struct("n", "bucket"))).alias("cells"))
-    rows = written(rows.select("cid", "size", "root", F.transform("cells", lambda c: c["bucket"]).alias("columns"), F.greatest(F.lit(1), F.size("cells") - F.greatest("need", F.lit(1)) + 1).alias("first")), "classes")
-    heads = rows.select("cid", "size", "root", F.explode(F.slice("columns", F.lit(1), F.col("first"))).alias("bucket"))
-    x, y = (heads.select("bucket", *(F.col(c).alias(f"{c}_{s}") for c in ("cid", "size", "root"))) for s in "ab")
-    fits = 100 * F.least("size_a", "size_b").cast("long") >= how.percent * F.greatest("size_a", "size_b").cast("long")
-    met = x.join(y, "bucket").where((F.col("root_a") < F.col("root_b")) & fits).select(F.least("cid_a", "cid_b").alias("a"), F.greatest("cid_a", "cid_b").alias("b")).distinct()
-    ra, rb = (roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")) for c in ("a", "b"))
-    old = _added(counted).join(ra, "a", "left").join(rb, "b", "left").where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b", "shared", "na", "nb")
-    both = met.join(old, ["a", "b"], "full_outer")
-    side = lambda s: rows.select(F.col("cid").alias(s), F.col("columns").alias(f"columns_{s}"), F.col("size").alias(f"size_{s}"))
-    both = both.join(side("a"), "a", "left").join(side("b"), "b", "left")
-    shared = F.coalesce("shared", F.lit(0)) + F.coalesce(F.size(F.array_intersect("columns_a", "columns_b")), F.lit(0))
-    return both.where(shared >= _least_shared(F.coalesce("na", "size_a"), F.coalesce("nb", "size_b"), how)).select("a", "b")
+    rows = cells.groupBy("cid", "size", "root").agg(F.max("need").alias("need"), F.array_sort(F.collect_set(F.struct("n", "bucket"))).alias("cells")).join(alone, "cid", "left")
+    first = F.greatest(F.lit(1), F.size("cells") - F.greatest("need", F.lit(1)) + 1).alias("first")
+    rows = scratch.write(rows.select("cid", "size", "root", F.coalesce("most", F.lit(0)).cast("long").alias("most"), F.transform("cells", lambda c: c["bucket"]).alias("columns"), first), "classes")
+    heads = rows.select("*", F.explode(F.slice("columns", F.lit(1), F.col("first"))).alias("bucket"))
+    tops = heads.groupBy("bucket", "root").agg(F.count("*").alias("k")).groupBy("bucket").agg(F.max(F.struct("k", "root")).alias("top"), F.sum("k").alias("n")).where("n > top.k")
+    parts = lambda n: F.ceil(n / F.lit(how.tile)).cast("int")
+    met = heads.join(tops.select("bucket", F.col("top.root").alias("top"), parts(F.col("n") - F.col("top.k")).alias("outer"), parts(F.col("top.k")).alias("inner")), "bucket")
+    mine = lambda n: F.pmod(F.xxhash64("cid"), n).cast("int")
+    is_top = F.col("root") == F.col("top")
+    dealt = met.withColumn("part", F.when(is_top, F.col("outer") + mine(F.col("inner"))).otherwise(mine(F.col("outer"))))
+    others = F.sequence(F.lit(0), F.when(is_top, F.col("outer")).otherwise(F.col("outer") + F.col("inner")) - 1)
+    tiles = dealt.select("*", F.explode(others).alias("other")).select("bucket", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), "part", "cid", "size", "root", "most", "first", "columns")
+
+    def run(key: tuple[pa.Scalar, ...], group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, lo, hi = (k.as_py() for k in key)
+        table = pa.Table.from_batches(list(group))
+        part, sides = table.column("part").to_numpy(), []
+        columns = table.column("columns").to_pylist()
+        for p in (lo, hi):
+            at = np.flatnonzero(part == p)
+            sides.append({c: table.column(c).to_numpy()[at].astype(np.int64) for c in ("cid", "size", "root", "most", "first")} | {"columns": [np.array(columns[i], np.int64) for i in at.tolist()]})
+        i, j, lack = tile_pairs(bucket, sides, how, lo == hi)
+        a, b = sides[0]["cid"][i], sides[1]["cid"][j]
+        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(lack)], names=["a", "b", "lack"])
+
+    found = tiles.groupBy("bucket", "lo", "hi").applyInArrow(run, "a long, b long, lack long")
+    return found.join(counted.select("a", "b", "shared"), ["a", "b"], "left").where(F.coalesce("shared", F.lit(0)) >= F.col("lack")).select("a", "b")
 
 
 def classes(df: DataFrame, how: Join = Join()) -> tuple[DataFrame, DataFrame]:
     """(doc_id, row, n_shingles, cid) of each row of (doc_id, text), `row` being a hash of its text; (node, root) of the classes linked to others."""
     spark = df.sparkSession
     bounded_batches(spark)
+    scratch = Scratch(spark)
     docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("row"))
-    profiled = written(profile(docs, how), "profile")
-    rows = profiled.where("kind = 0").select("doc_id", "row", "n_shingles", "cid")
+    profiled = scratch.write(profile(docs, how), "profile")
+    rows = scratch.write(profiled.where("kind = 0").select("doc_id", "row", "n_shingles", "cid"), "rows")
+    texts = profiled.where("text is not null").select("cid", "text")
     table = rarity(profiled.where("kind = 1"))
     total = rows.agg(F.sum(F.floor(F.col("n_shingles") * (100 - how.percent) / 100) + 1)).first()[0] or 0
     blocks = max(spark.sparkContext.defaultParallelism, -(-total // how.block_entries))
-    entries = written(incidence(docs, table, int(blocks), how), "incidence")
-    worked = written(product(entries, how).union(hot_columns(entries)), "product")
+    entries = scratch.write(incidence(texts, table, int(blocks), how), "incidence")
+    worked = scratch.write(product(entries, how).union(hot_columns(entries)), "product")
+    scratch.drop("incidence")
     counted = worked.where("kind = 0").select("a", "b", "na", "nb", "shared")
     columns = worked.where("kind = 1").select("bucket", F.explode(F.arrays_zip("cids", "sizes")).alias("x"))
-    cells = written(columns.select("bucket", F.col("x.cids").alias("cid"), F.col("x.sizes").alias("size")), "cells")
-    first = written(_bounded(counted, how), "pairs")
-    wanted = counted.select(F.explode(F.array("a", "b")).alias("cid")).union(cells.select("cid"))
-    texts = written(texts_of(docs, written(wanted.distinct(), "wanted"), how), "texts")
-    done, links = first, written(verified(first, texts, how), "linked")
-    roots = written(connected(links), "roots")
+    cells = scratch.write(columns.select("bucket", F.col("x.cids").alias("cid"), F.col("x.sizes").alias("size")), "cells")
+    counted = scratch.write(_added(counted), "counted")
+    scratch.drop("product")
+    done = scratch.write(_bounded(counted, how), "pairs")
+    links = scratch.write(verified(done, texts, how), "linked")
+    roots = connected(links)
+    alone = scratch.write(counted.select(F.explode(F.array("a", "b")).alias("cid"), "shared").groupBy("cid").agg(F.max("shared").alias("most")), "alone")
 
     def checked(pairs: DataFrame) -> None:
-        nonlocal done, links, roots
-        new = written(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
-        found = written(verified(new, texts, how), "linked")
-        done, links = done.union(new), links.union(found)
+        nonlocal done, roots
+        new = scratch.write(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
+        found = scratch.write(verified(new, texts, how), "linked")
+        done = done.union(new)
         if found.limit(1).count():
-            roots = written(connected(found.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))), "roots")
+            roots = connected(found.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
 
-    alone = written(_added(counted).select(F.explode(F.array("a", "b")).alias("cid"), "shared").groupBy("cid").agg(F.max("shared").alias("most")), "alone")
     # components only grow, so what isn't mixed in one round isn't in a later one
     for _ in range(how.star_rounds):
-        cells = written(mixed(cells.select("bucket", "cid", "size"), roots, alone, how), "mixed")
+        cells = scratch.write(mixed(cells.select("bucket", "cid", "size"), roots, alone, how), "mixed")
         checked(stars(cells))
-    checked(across(written(mixed(cells.select("bucket", "cid", "size"), roots, alone, how), "mixed"), counted, roots, how))
+    cells = scratch.write(mixed(cells.select("bucket", "cid", "size"), roots, alone, how), "mixed")
+    checked(across(cells, counted, alone, how, scratch))
+    scratch.drop("profile", "counted", "cells", "mixed", "alone", "classes", "pairs", "linked")
     return rows, roots
 
 

@@ -17,9 +17,14 @@ PIECE_BYTES = 1 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (spark.checkpoint.dir); a temporary one is set only where none is."""
+    """The folder that driver and executors share, as the session names it in spark.checkpoint.dir.
+
+    Where it is unset, a local session, which is one process on one machine, gets a temporary one; a cluster's raises an error.
+    """
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         where = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
@@ -36,6 +41,30 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """The tables that one run writes to the shared folder, by label; those that nothing reads any more are removed."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.paths = spark, {}
+
+    def write(self, df: DataFrame, label: str) -> DataFrame:
+        path = new_path(self.spark, label)
+        df.write.parquet(path)
+        self.paths.setdefault(label, []).append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *labels: str, keep_last: bool = False) -> None:
+        """Removes all tables of the labels, or all but the last of each."""
+        for label in labels:
+            paths = self.paths.pop(label, [])
+            if keep_last:
+                self.paths[label] = paths[-1:]
+                paths = paths[:-1]
+            for path in paths:
+                where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+                where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Bounds the bytes of an Arrow batch, whatever the lengths of the rows in it."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
