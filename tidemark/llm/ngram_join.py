@@ -71,6 +71,10 @@ class Join:
         """Least overlap of linked sets of sizes a and b, as a Column or number."""
         return F.ceil(self.percent * (a + b) / F.lit(100 + self.percent))
 
+    def fits(self, a, b):
+        """Whether sets of sizes a and b can be linked at all, as a Column."""
+        return 100 * F.least(a, b).cast("long") >= self.percent * F.greatest(a, b).cast("long")
+
 
 def class_of(shingles: np.ndarray) -> int:
     """The 64-bit class of a sorted set."""
@@ -254,7 +258,7 @@ def texts_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     word, bit = F.shiftright(place, 6).alias("word"), place.bitwiseAND(63).cast("int").alias("bit")
     bits = wanted.select(word, bit).groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
     likely = texts.select("cid", "text", word, bit).join(F.broadcast(bits), "word").where("shiftrightunsigned(bits, bit) & 1 = 1")
-    return likely.groupBy("cid").agg(F.first("text").alias("text")).join(wanted, "cid", "left_semi")
+    return likely.groupBy("cid").agg(F.first("text").alias("text")).join(wanted.hint("merge"), "cid", "left_semi")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, how: Join) -> DataFrame:
@@ -278,8 +282,9 @@ def verified(pairs: DataFrame, texts: DataFrame, how: Join) -> DataFrame:
                             keep.append(k)
             yield pa.RecordBatch.from_arrays([pa.array([a[k] for k in keep], pa.int64()), pa.array([b[k] for k in keep], pa.int64())], names=["a", "b"])
 
-    first = pairs.join(texts.select(F.col("cid").alias("a"), F.col("text").alias("text_a")), "a")
-    both = first.join(texts.select(F.col("cid").alias("b"), F.col("text").alias("text_b")), "b")
+    # sorted joins at every size: a broadcast of few pairs would hide what many cost
+    first = pairs.join(texts.select(F.col("cid").alias("a"), F.col("text").alias("text_a")).hint("merge"), "a")
+    both = first.join(texts.select(F.col("cid").alias("b"), F.col("text").alias("text_b")).hint("merge"), "b")
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
@@ -330,16 +335,23 @@ def mixed(cells: DataFrame, roots: DataFrame, alone: DataFrame, how: Join) -> Da
     return _several(rooted.select("bucket", "cid", "size", "root").join(able, "cid")).select("bucket", "cid", "size", "root", "need", "n")
 
 
-def stars(cells: DataFrame) -> DataFrame:
-    """For each class in mixed columns one pair with the hub that it meets most often outside of its component.
+def stars(cells: DataFrame, counted: DataFrame, how: Join) -> DataFrame:
+    """For each class in mixed columns one pair with the hub that it meets most often outside of its component, if both can be linked.
 
     The hub of a column is the class that meets most others over all columns: among near copies, what they are copies of.
+    The entries that a pair shares are those in small columns (`counted`) and in mixed ones, which each class carries in one array.
     """
     degree = cells.groupBy("cid").agg(F.sum("n").alias("degree"))
     hubs = cells.join(degree, "cid").groupBy("bucket").agg(F.max(F.struct("degree", "cid", "root")).alias("hub"))
     met = cells.join(hubs, "bucket").where("root <> hub.root").groupBy("cid", F.col("hub.cid").alias("hub")).agg(F.count("*").alias("k"))
     best = met.groupBy("cid").agg(F.max(F.struct("k", "hub")).alias("x"))
-    return best.select(F.least("cid", "x.hub").alias("a"), F.greatest("cid", "x.hub").alias("b")).distinct()
+    pairs = best.select(F.least("cid", "x.hub").alias("a"), F.greatest("cid", "x.hub").alias("b")).distinct()
+    each = cells.groupBy("cid", "size").agg(F.collect_set("bucket").alias("columns"))
+    side = lambda s: each.select(F.col("cid").alias(s), F.col("size").alias(f"n{s}"), F.col("columns").alias(f"columns_{s}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").join(counted.select("a", "b", "shared"), ["a", "b"], "left")
+    fits = how.fits(F.col("na"), F.col("nb"))
+    shared = F.coalesce("shared", F.lit(0)) + F.size(F.array_intersect("columns_a", "columns_b"))
+    return both.where(fits & (shared >= _least_shared(F.col("na"), F.col("nb"), how))).select("a", "b")
 
 
 def _overlaps(left: list[np.ndarray], right: list[np.ndarray], slab: int) -> np.ndarray:
@@ -449,7 +461,7 @@ def classes(df: DataFrame, how: Join = Join()) -> tuple[DataFrame, DataFrame]:
     # components only grow, so what isn't mixed in one round isn't in a later one
     for _ in range(how.star_rounds):
         cells = scratch.write(mixed(cells.select("bucket", "cid", "size"), roots, alone, how), "mixed")
-        checked(stars(cells))
+        checked(stars(cells, counted, how))
     cells = scratch.write(mixed(cells.select("bucket", "cid", "size"), roots, alone, how), "mixed")
     checked(across(cells, counted, alone, how, scratch))
     scratch.drop("profile", "counted", "cells", "mixed", "alone", "classes", "pairs", "linked")
