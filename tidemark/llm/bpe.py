@@ -13,6 +13,7 @@ token; repeated rows are encoded alike; other columns are passed through by `enc
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -42,20 +43,99 @@ class Merges:
 
     def __init__(self, vocab: dict[str, int], merges: list) -> None:
         pairs = [p.split(" ") if isinstance(p, str) else p for p in merges]
-        key = np.array([vocab[a] << 20 | vocab[b] for a, b in pairs], np.int64)
-        self.order = np.argsort(key, kind="stable")
-        self.keys = key[self.order]
+        self.none = len(pairs)
+        self.keys = np.array([*(vocab[a] << 20 | vocab[b] for a, b in pairs), -1], np.int64)
         self.into = np.array([vocab[a + b] for a, b in pairs], np.int64)
+        # two hash tables of ranks: what shares a slot in the first has one of its own in the second
+        self.tables, left = [], np.arange(self.none)
+        rng = np.random.default_rng(1)
+        while len(left) or not self.tables:
+            factor = np.uint64(rng.integers(1 << 62) * 2 + 1)
+            slots = np.full(1 << 20, self.none, np.int32)
+            at = self._slot(self.keys[left], factor)
+            slots[at[::-1]] = left[::-1]
+            beyond = left[slots[at] != left]
+            if self.tables and len(beyond):
+                continue
+            self.tables.append((factor, slots))
+            left = beyond
+
+    @staticmethod
+    def _slot(key: np.ndarray, factor: np.uint64) -> np.ndarray:
+        return (key.astype(np.uint64) * factor >> np.uint64(44)).astype(np.int64)
 
     def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank of each pair's merge, or the number of merges if there is none."""
         key = left << 20 | right
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[at] == key, self.order[at], len(self.keys))
+        rank = np.full(len(key), self.none)
+        for factor, slots in self.tables:
+            found = slots[self._slot(key, factor)]
+            hit = self.keys[found] == key
+            rank[hit] = found[hit]
+        return rank
+
+    #: Fragments above this length are merged one by one with a heap, in time near the length; shorter ones side by side.
+    long_fragment = 256
 
     def merged(self, ids: np.ndarray, lengths: np.ndarray) -> list[bytes]:
-        """Little-endian ids of fragments that lie one after the other. In every round each unfinished one merges its pair of least rank, the leftmost first."""
-        none = len(self.keys)
+        """Little-endian ids of fragments that lie one after the other."""
+        raw, ends = self.packed(ids, lengths)
+        ends = ends.tolist()
+        return [raw[i:j] for i, j in zip([0, *ends], ends, strict=False)]
+
+    def packed(self, ids: np.ndarray, lengths: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """The same in one piece, and where each fragment's bytes end."""
+        long = lengths > self.long_fragment
+        if not long.any():
+            return self._side_by_side(ids, lengths)
+        raw, stops = self._side_by_side(ids[np.repeat(~long, lengths)], lengths[~long]) if not long.all() else (b"", np.zeros(0, np.int64))
+        stops, short, at = stops.tolist(), 0, 0
+        parts = []
+        for end, n, alone in zip(np.cumsum(lengths).tolist(), lengths.tolist(), long.tolist(), strict=True):
+            if alone:
+                parts.append(self._alone(ids[end - n : end]))
+            else:
+                parts.append(raw[at : stops[short]])
+                at, short = stops[short], short + 1
+        return b"".join(parts), np.cumsum(list(map(len, parts)))
+
+    def _alone(self, ids: np.ndarray) -> bytes:
+        """One long fragment: a heap has all pairs that merge, by rank and place; neighbours are linked both ways."""
+        none, n = self.none, len(ids)
+        rank = self._ranks(ids[:-1], ids[1:])
+        at = np.flatnonzero(rank < none)
+        heap = list(zip(rank[at].tolist(), at.tolist(), strict=True))
+        heapq.heapify(heap)
+        if not hasattr(self, "pairs"):
+            self.pairs = dict(zip(self.keys.tolist(), range(none), strict=False))
+        pairs, into = self.pairs, self.into
+        token, now = ids.tolist(), rank.tolist() + [none]
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        push, pop = heapq.heappush, heapq.heappop
+        while heap:
+            r, i = pop(heap)
+            if now[i] != r:
+                continue
+            j = after[i]
+            token[i], now[j] = int(into[r]), none
+            after[i] = k = after[j]
+            if k < n:
+                before[k] = i
+                now[i] = q = pairs.get(token[i] << 20 | token[k], none)
+                if q < none:
+                    push(heap, (q, i))
+            else:
+                now[i] = none
+            token[j] = -1
+            if (h := before[i]) >= 0:
+                now[h] = q = pairs.get(token[h] << 20 | token[i], none)
+                if q < none:
+                    push(heap, (q, h))
+        return np.array([t for t in token if t >= 0], "<u4").tobytes()
+
+    def _side_by_side(self, ids: np.ndarray, lengths: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """In every round each unfinished fragment merges its pair of least rank, the leftmost first."""
+        none = self.none
         owner = np.repeat(np.arange(len(lengths)), lengths)
         rank = np.full(len(ids), none)
         inner = np.flatnonzero(owner[:-1] == owner[1:])
@@ -84,9 +164,7 @@ class Merges:
                 rank[i] = self._ranks(ids[i], ids[i + 1])
         owner, ids = (np.concatenate(x) for x in zip(*done, strict=True))
         order = np.argsort(owner, kind="stable")
-        raw = ids[order].astype("<u4").tobytes()
-        ends = (4 * np.cumsum(np.bincount(owner, minlength=len(lengths)))).tolist()
-        return [raw[i:j] for i, j in zip([0, *ends], ends, strict=False)]
+        return ids[order].astype("<u4").tobytes(), 4 * np.cumsum(np.bincount(owner, minlength=len(lengths)))
 
 
 class Codec:

@@ -24,6 +24,7 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -56,9 +57,10 @@ class WordEncoder:
     when there are too many, others are forgotten.
     """
 
-    #: Printing ASCII, and letters of Latin-1, which normalisation leaves as they are; fixed values of the tokenizer's pattern.
-    _simple = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
-    _parts = re.compile("'(?:s|t|re|ve|m|ll|d)|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]| |[^ a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+    #: What isn't printing ASCII or a letter of Latin-1, which normalisation leaves as they are, and the start of added tokens; fixed values.
+    _odd = re.compile("[^ -~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]|<\\|")
+    #: Pre-tokens of what is left, in UTF-8: all bytes beyond ASCII are letters there.
+    _parts = re.compile(rb"'(?:s|t|re|ve|m|ll|d)|[a-z\x80-\xff]+|[0-9]| |[^ a-z0-9\x80-\xff]+")
 
     def __init__(self, path: str, most: int) -> None:
         self.tokenizer = Tokenizer.from_file(path)
@@ -72,51 +74,50 @@ class WordEncoder:
         self.most = most
         self.words: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
 
-    def _merge(self, parts: list[str]) -> None:
-        raw = [p.encode() for p in parts]
-        sizes = np.array(list(map(len, raw)))
-        letters = np.frombuffer(b"".join(raw), np.uint8)
-        ids, ends = self.inner[letters], np.cumsum(sizes) - 1
+    def _learn(self, words: list[bytes], text: str) -> None:
+        """Ids of new plain words, which `text` has in the same order with a space between them."""
+        raw = text.lower().encode()
+        found = self._parts.findall(raw)
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        letters, ends = np.frombuffer(raw, np.uint8), np.cumsum(sizes) - 1
+        gap = letters[ends] == 32
+        ids = self.inner[letters]
         ids[ends] = self.last[letters[ends]]
-        self.parts.update(zip(parts, self.merges.merged(ids, sizes), strict=True))
-
-    def _learn(self, words: list[bytes]) -> None:
-        """Ids of new plain words."""
-        found = self._parts.findall(b" ".join(words).decode().lower())
-        known = self.parts
-        known[" "] = b""
-        if new := list({p for p in found if p not in known}):
-            self._merge(new)
-        at = 0
-        for w in words:
-            ids = known[found[at]]
-            at += 1
-            while at < len(found) and found[at] != " ":
-                ids += known[found[at]]
-                at += 1
-            at += 1
-            self.words[w] = ids
+        packed, stops = self.merges.packed(ids[letters != 32], sizes[~gap])
+        # the last pre-token of each word
+        last = np.append(np.flatnonzero(gap) - np.arange(1, len(words)), len(stops) - 1)
+        at = stops[last].tolist()
+        self.words.update(zip(words, map(packed.__getitem__, map(slice, [0, *at], at)), strict=False))
+
+    def _know(self, new: set[bytes]) -> None:
+        """Ids of words that aren't known: carried over, or formed anew."""
+        known, older = self.words, self.older
+        carried = new.intersection(older)
+        known.update((w, older[w]) for w in carried)
+        plain = list(new.difference(carried))
+        text = b" ".join(plain).decode()
+        odd, at, k = set(), 0, 0
+        for m in self._odd.finditer(text):
+            k += text.count(" ", at, m.start())
+            at = m.start()
+            odd.add(k)
+        for k in odd:
+            known[plain[k]] = array("I", self.tokenizer.encode(plain[k].decode(), add_special_tokens=False).ids).tobytes()
+        if odd:
+            plain = [w for k, w in enumerate(plain) if k not in odd]
+            text = b" ".join(plain).decode()
+        if plain:
+            self._learn(plain, text)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        split = [t.split() for t in texts]
         if len(self.words) > self.most:
             self.words, self.older = {}, self.words
-        if len(self.parts) > self.most:
-            self.parts.clear()
-        known, older, plain = self.words, self.older, []
-        for w in set().union(*split).difference(known):
-            if w in older:
-                known[w] = older[w]
-            elif self._simple.fullmatch(w.decode()) and b"<|" not in w:
-                plain.append(w)
-            else:
-                known[w] = array("I", self.tokenizer.encode(w.decode(), add_special_tokens=False).ids).tobytes()
-        if plain:
-            self._learn(plain)
-        return [b"".join(map(known.__getitem__, s)) for s in split]
+        split = [t.split() for t in texts]
+        if new := set(filterfalse(self.words.__contains__, chain.from_iterable(split))):
+            self._know(new)
+        return [b"".join(map(self.words.__getitem__, x)) for x in split]
 
 
 _encoders: dict[tuple, WordEncoder] = {}
