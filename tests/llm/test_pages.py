@@ -1,6 +1,7 @@
 """Operators on pages, media and conversations, and the pipeline."""
 
 import hashlib
+import html
 import random
 import re
 
@@ -8,6 +9,8 @@ import duckdb
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -52,6 +55,46 @@ def test_extraction_of_tables(spark, data):
     assert html_extract.digest(_pages(spark, [])).count() == 0
 
 
+def test_best_region_equals_brute_force():
+    rng = random.Random(12)
+    for _ in range(300):
+        scores = [rng.choice([-2, -1, 0, 1, 2, 3]) for _ in range(rng.randrange(12))]
+        best = max((sum(scores[i:j]) for i in range(len(scores)) for j in range(i + 1, len(scores) + 1)), default=0)
+        i, j = html_extract.best_region(scores)
+        assert sum(scores[i:j]) == max(best, 0) and (best > 0) == (j > i)
+    # equal sums: the first, then the longest
+    assert html_extract.best_region([2, -3, 2]) == (0, 1) and html_extract.best_region([2, 0, -3, 2]) == (0, 2) and html_extract.best_region([]) == (0, 0)
+
+
+def test_weights_decide_the_text(spark, data):
+    page = "<body><div>three words before</div><article><h1>Head line</h1><p>A first paragraph of some words.</p><p>And one more.</p></article><div>after it</div></body>"
+    walls, flat, harsh = html_extract.Weights(), html_extract.Weights(1, 0, {}), html_extract.Weights(0.01, -8, {})
+    assert html_extract.extract(page, walls) == "Head line\nA first paragraph of some words.\nAnd one more."
+    assert html_extract.extract(page, flat).startswith("three words before\n") and html_extract.extract(page, flat).endswith("after it")
+    assert html_extract.extract(page, harsh) == "A first paragraph of some words."
+    trained = html_extract.train(spark.read.parquet(f"{data}/pages.parquet"))
+    assert html_extract.extract(page, trained) == html_extract.extract(page, walls)
+    assert trained.tags["article"] < -10 < -1 < trained.tags["p"] < 0
+
+
+def test_article_text_of_all_pages(data):
+    weights = html_extract.Weights()
+    for r in pd.read_parquet(f"{data}/pages.parquet").itertuples():
+        body = re.search(r"<article>(.*?)</article>", r.html, re.S)[1]
+        want = [" ".join(html.unescape(re.sub("<[^>]*>", "", b)).split()) for b in re.split(r"</?(?:p|h1|br|div|li|ul)\b[^>]*>", body)]
+        assert html_extract.extract(r.html, weights) == "\n".join(b for b in want if b)
+
+
+def test_pages_without_articles_and_odd_markup():
+    text = lambda page: html_extract.extract(page, html_extract.Weights())
+    assert text("<div class='layout with-sidebar'><article><p>in it</p></article></div>") == "in it"
+    assert text("<div><h1>Top</h1><p class='share-price'>The price of a share rose to three.</p></div><div class=site-footer>x y z</div>") == "Top\nThe price of a share rose to three."
+    assert text("<article><div class='post-header'><h1>Kept</h1></div><p>text that goes on</p><div class='related-posts'>a b c</div></article>") == "Kept\ntext that goes on"
+    assert text("<p title=it's>one two</p><p a='>' b=\"'\">three</p>") == "one two\nthree"
+    assert text("<div>" * 20_000 + "<p>deep in it</p>" + "</div>" * 20_000) == "deep in it"
+    assert text("<p>" + "word " * 200_000 + "</p>") == " ".join(["word"] * 200_000)
+
+
 def test_samples_hold_different_contents(spark):
     urls = [(f"http://h{i}.s{i % 3}/{i}", i % 2) for i in range(30)]
     trees = url_filter.Trees(max_labelled=20, rounds=1, leaf=1)
@@ -134,6 +177,25 @@ def test_url_trees_learn_held_out_urls(spark):
     assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
 
 
+def test_scores_are_those_of_the_fitted_trees(spark, data):
+    pages = spark.read.parquet(data.replace("0.001", "0.1") + "/pages.parquet").select("page_id", "url")
+    kept, boosted = [], url_filter.boosted
+    try:
+        url_filter.boosted = lambda rows, how: kept.append(boosted(rows, how)) or kept[0]
+        model = url_filter.fit(url_filter.labelled_by_rules(pages))
+    finally:
+        url_filter.boosted = boosted
+    rated = url_filter.lexical(pages).withColumns(url_filter._rates(model)).withColumn("own", url_filter.score(model))
+    ready = VectorAssembler(inputCols=url_filter.FEATURES, outputCol="features").transform(rated)
+    far = kept[0].transform(ready).select((F.col("own") * 2 - vector_to_array("rawPrediction")[1] * 2).alias("off")).where("abs(off) > 1e-9 or off is null")
+    assert far.count() == 0
+    n, right, larger = model.held_out
+    assert n > 100 and right > larger
+    verdicts = {(r["rule"] is None, r["verdict"]): r["count"] for r in url_filter.judge(pages, model).groupBy("rule", "verdict").count().collect()}
+    assert verdicts[True, "allow"] > 50 and verdicts[True, "block"] > 50
+    print("held-out URLs, judged rightly, larger sort:", model.held_out)
+
+
 # Media
 
 

@@ -1,16 +1,19 @@
 """Main text of web pages by the maximum-scoring subsequence.
 
-A page is a row of tokens, words and tags, whose weights come from labelled pages: words score positive and tags
-negative, both in proportion to how they are spread inside and outside of marked-up articles. A linear scan finds the
-contiguous region of the largest sum. What never is main text (scripts, styles, forms, navigation, asides, page headers and
-footers, adverts, notices, reader comments) is left out of the tokens, also where it stands inside the region, unless a class
-names so what wraps the main text: an article, or most words of a page without one. The region is
-made of whole blocks and widened to the marked-up article it lies in, if any; character references are decoded, white space inside a block becomes one space, and blocks are
-joined by line feeds.
+A page is a row of tokens, words and tags. Words score positive, tags negative, with weights from labelled pages: those that
+mark up their article. A tag costs the more, the rarer it stands inside of articles and the more often outside; what ends or
+begins an article is outside of it and so is a wall, while paragraphs and headings cost next to nothing. A linear scan finds
+the contiguous region of the largest sum, which decides what is returned: the words of the region's blocks.
+
+What never is main text (scripts, styles, forms, navigation, asides, page headers and footers, adverts, notices, reader
+comments) is left out of the tokens, also where it stands inside the region, unless a class names so what wraps the main
+text: an article, or most words of a page without one. A class, id or role names a part so if all of its words do.
+Character references are decoded, white space inside a block becomes one space, and blocks are joined by line feeds.
 
 Defined cases: a null or empty page, or one without words, gives the empty text; unclosed elements end with their parent or
-the page; repeated rows are treated alike; of regions with equal sums the first, then the longest, is taken; an empty
-table gives an empty result, and without labelled pages the default weights hold; other columns pass through.
+the page; an attribute's quote that isn't closed ends with its tag; repeated rows are treated alike; of regions with equal
+sums the first, then the longest, is taken; an empty table gives an empty result, and without labelled pages the default
+weights hold; very long and deeply nested pages take time near their length; other columns pass through.
 """
 
 from __future__ import annotations
@@ -38,13 +41,15 @@ _LEFT_OUT = set("nav aside footer form button select option dialog menu noscript
 _SELF_CLOSING = set("p li dt dd option tr td th".split())
 #: Words of class, id and role values that mark what isn't main text; fixed values.
 _MARKS = set("ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments cookie cookies consent disqus footer header menu modal nav navbar navigation newsletter notice notices popup promo promoted recommended related respond sharing share sidebar social sponsor sponsored subscribe subscription toolbar widget complementary contentinfo search".split())
-#: Words that tell of a layout ("has-sidebar", "no-header") and not of the element itself; fixed values.
-_STATES = set("has have no not non with without hide hidden show is in open closed active enabled disabled".split())
+#: Words that may stand beside marks in the name of a part; fixed values.
+_BESIDE = set("a area bar bars block body bottom box boxes button buttons col column container content first global group holder inner item items last left link links list main mobile module news outer page panel part post posts primary right row secondary section side site slot sticky text the title top unit user web wrap wrapper zone".split())
 #: Reader comments can be longer than what they comment on, so their length doesn't make them the main text.
 _READERS = set("comment comments disqus respond".split())
 _CONTENT = ("article", "main")
+#: Elements that text is made of.
+_TEXT = "a abbr b blockquote br cite code dd dl dt em h1 h2 h3 h4 h5 h6 i img li mark ol p pre q s small span strong sub sup table tbody td th thead time tr u ul".split()
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|</?[A-Za-z](?:[^>\"']|\"[^\"]*\"|'[^']*')*>", re.S)
+_TOKEN = re.compile(r"""<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|</?[A-Za-z][^\s/>]*+(?:=\s*+(?:"[^"]*"|'[^']*'|[^\s"'>][^\s>]*+)?|[^>=])*+>""", re.S)
 _NAME = re.compile(r"</?([A-Za-z][^\s/>]*)")
 _MARKED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
 _SPLIT = re.compile(r"[^a-z]+")
@@ -55,30 +60,30 @@ class Weights:
     """Scores of words and tags; a tag that isn't listed has `tag`."""
 
     word: float = 1.0
-    tag: float = -2.0
-    tags: dict[str, float] = field(default_factory=dict)
+    tag: float = -0.45
+    #: The defaults let text and headings in and keep an article's borders out.
+    tags: dict[str, float] = field(default_factory=lambda: {**dict.fromkeys([x for t in _TEXT for x in (t, "/" + t)], -0.05), **dict.fromkeys(["article", "/article", "main", "/main"], -20.0)})
 
 
 @dataclass(frozen=True)
 class Training:
     #: Bound of the sample of pages with marked-up articles that weights are fitted on.
     max_pages: int = 2_000
-    #: Counts that are added to each side.
+    #: Counts that are added to either side together.
     prior: float = 5.0
-
-
-def _left_out(name: str, parents: list[str]) -> bool:
-    return name in _LEFT_OUT or name == "header" and not any(p in _CONTENT for p in parents)
+    #: What a tag costs that stands inside of articles alone, and one that never does, in words.
+    least_cost: float = 0.05
+    wall: float = 20.0
 
 
 def _marks(tag: str) -> set[str]:
-    """Marks in class, id and role: whole values, or the first or last part of one that doesn't tell of a layout."""
+    """Marks in class, id and role values of which each word is a mark or may stand beside one."""
     found = set()
     for m in _MARKED.finditer(tag):
         for value in (m[1] or m[2] or m[3] or "").lower().split():
-            parts = [p for p in _SPLIT.split(value) if p]
-            if parts and not _STATES.intersection(parts):
-                found |= _MARKS.intersection((parts[0], parts[-1]))
+            parts = {p for p in _SPLIT.split(value) if p}
+            if parts <= _MARKS | _BESIDE:
+                found |= parts & _MARKS
     return found
 
 
@@ -108,26 +113,25 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
 
 
 def _scanned(page: str, wrappers: set[int], seen: _Seen) -> Iterator[tuple[str, str, bool, bool]]:
-    open_tags: list[tuple[str, bool, bool, int | None]] = []
-    around: list[int] = []
-    out, never, inside, at = 0, 0, 0, 0
+    # (name, hidden, always left out, place if marked, words and articles seen when it opened)
+    open_tags: list[tuple[str, bool, bool, int | None, int, int]] = []
+    by_name: dict[str, list[int]] = {}
+    out, never, inside, articles, at = 0, 0, 0, 0, 0
 
     def close(k: int) -> None:
         nonlocal out, never, inside
-        for name, hidden, always, place in open_tags[k:]:
+        for name, hidden, always, place, words, before in open_tags[k:]:
             out -= hidden
             never -= always
             inside -= name in _CONTENT
+            by_name[name].pop()
             if place is not None:
-                around.pop()
+                seen.marked[place][1:] = [seen.words - words, articles > before]
         del open_tags[k:]
 
     def count(text: str) -> None:
         if not never:
-            n = len(text.split())
-            seen.words += n
-            for place in around:
-                seen.marked[place][1] += n
+            seen.words += len(text.split())
 
     while at < len(page):
         m = _TOKEN.search(page, at)
@@ -138,7 +142,7 @@ def _scanned(page: str, wrappers: set[int], seen: _Seen) -> Iterator[tuple[str,
             if rest:
                 count(rest)
                 yield "text", rest, out > 0, inside > 0
-            return
+            break
         if m.start() > at:
             count(page[at : m.start()])
             yield "text", page[at : m.start()], out > 0, inside > 0
@@ -148,21 +152,20 @@ def _scanned(page: str, wrappers: set[int], seen: _Seen) -> Iterator[tuple[str,
             continue
         name = named[1].lower()
         if tag[1] == "/":
-            k = next((i for i in range(len(open_tags) - 1, -1, -1) if open_tags[i][0] == name), None)
-            yield "tag", "/" + name, out > 0, inside > 0
-            if k is not None:
-                close(k)
+            left_out = out > 0
+            if by_name.get(name):
+                close(by_name[name][-1])
+            yield "tag", "/" + name, left_out, inside > 0
             continue
         if name in _SELF_CLOSING and open_tags and open_tags[-1][0] == name:
             close(len(open_tags) - 1)
-        always, marks = _left_out(name, [x[0] for x in open_tags]), _marks(tag)
+        always, marks = name in _LEFT_OUT or name == "header" and not inside, _marks(tag)
         marked = bool(marks) and not always and name not in ("html", "body", *_CONTENT)
         hidden = always or marked and m.start() not in wrappers
         if not never and (name == "main" or name == "article" and not marks):
             seen.article = True
-            for place in around:
-                seen.marked[place][2] = True
-        yield "tag", name, out > 0 or hidden, inside > 0 or name in _CONTENT
+            articles += 1
+        yield "tag", name, out > 0 or hidden, inside > 0
         if name in _VOID or tag.endswith("/>") and name not in _RAW:
             continue
         if name in _RAW:
@@ -172,24 +175,30 @@ def _scanned(page: str, wrappers: set[int], seen: _Seen) -> Iterator[tuple[str,
                 yield "text", page[at : end.start() if end else len(page)], out > 0, inside > 0
             at = end.end() if end else len(page)
             continue
-        open_tags.append((name, hidden, always, m.start() if marked else None))
+        by_name.setdefault(name, []).append(len(open_tags))
+        open_tags.append((name, hidden, always, m.start() if marked else None, seen.words, articles))
         if marked:
-            around.append(m.start())
             seen.marked[m.start()] = [marks, 0, False]
         out += hidden
         never += always
         inside += name in _CONTENT
+    close(0)
+
+
+#: Tags whose counts are kept apart when weights are fitted; all others count together, so the table has a fixed size.
+_KNOWN = sorted(_BLOCKS | _VOID | _RAW | _LEFT_OUT | set("a abbr b bdi bdo cite code data del dfn em i ins kbd label mark q rp rt ruby s samp small span strong sub sup time u var audio video canvas font".split()))
+_KNOWN_TAGS = {*_KNOWN, *("/" + t for t in _KNOWN)}
 
 
 def _counts(page: str) -> tuple[bool, Counter]:
-    """Whether the page marks up an article, and counts of (token, inside)."""
+    """Whether the page marks up an article, and counts of (token, inside) of what isn't left out: words as " ", unknown tags as "?"."""
     found, marked = Counter(), False
-    for kind, value, _, inside in tokens(page):
+    for kind, value, hidden, inside in tokens(page):
         marked |= inside
         if kind == "text":
-            found[" ", inside] += len(value.split())
-        else:
-            found[value, inside] += 1
+            found[" ", inside] += 0 if hidden else len(value.split())
+        elif not hidden:
+            found[value if value in _KNOWN_TAGS else "?", inside] += 1
     return marked, found
 
 
@@ -205,48 +214,50 @@ def train(df: DataFrame, column: str = "html", how: Training = Training()) -> We
                 marked, found = _counts(page.decode())
                 if marked:
                     total += found
-            keys = [k for k in total if len(k[0]) <= 20]
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.bool_()), pa.array([total[k] for k in keys], pa.int64())], names=["token", "inside", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in total], pa.string()), pa.array([k[1] for k in total], pa.bool_()), pa.array(list(total.values()), pa.int64())], names=["token", "inside", "n"])
 
     counted = some.mapInArrow(run, "token string, inside boolean, n long")
-    counts = {(r["token"], r["inside"]): r["n"] for r in counted.groupBy("token", "inside").agg(F.sum("n").alias("n")).orderBy(F.desc("n")).limit(400).collect()}
+    counts = {(r["token"], r["inside"]): r["n"] for r in counted.groupBy("token", "inside").agg(F.sum("n").alias("n")).collect()}
     if not counts:
         return Weights()
-    odds = lambda t: math.log((counts.get((t, True), 0) + how.prior) / (counts.get((t, False), 0) + how.prior))
-    names = {t for t, _ in counts} - {" "}
-    word = min(2.0, max(0.5, odds(" ") / 2))
-    # a tag costs the more, the more it is spread outside of articles; none may score for itself
-    return Weights(word, -4.0, {t: round(max(-8.0, min(-0.5, -2.0 + odds(t))), 4) for t in names})
+    share = lambda t: (counts.get((t, True), 0) + how.prior / 2) / (counts.get((t, True), 0) + counts.get((t, False), 0) + how.prior)
+    cost = lambda t: -max(how.least_cost, how.wall * (1 - share(t)) ** 2)
+    names = {t for t, _ in counts} - {" ", "?"}
+    return Weights(round(share(" "), 4), tags=Weights().tags | {t: round(cost(t), 4) for t in names})
+
+
+def best_region(scores: list[float]) -> tuple[int, int]:
+    """First and one past the last of the contiguous scores with the largest positive sum; the first such, then the longest. (0, 0) without any."""
+    best, run, start, region = 0.0, 0.0, 0, (0, 0)
+    for i, s in enumerate(scores):
+        if run <= 0:
+            run, start = 0.0, i
+        run += s
+        if run > best or run == best > 0 and region[0] == start:
+            best, region = run, (start, i + 1)
+    return region
 
 
 def extract(page: str, weights: Weights) -> str:
-    """The main text of one page: the best region, widened to all of the marked-up articles that it reaches into."""
+    """The main text of one page: the blocks of the best region."""
     blocks: list[list[str]] = [[]]
-    article = [0]
-    articles, last_inside = 0, False
-    best, run, start, region = 0.0, 0.0, 0, (0, 0)
-    for kind, value, hidden, inside in tokens(page):
-        articles += inside and not last_inside
-        last_inside = inside
+    scores, block_of = [], []
+    for kind, value, hidden, _ in tokens(page):
         if kind == "tag":
-            run += 0.0 if hidden else weights.tags.get(value, weights.tag)
+            if not hidden:
+                scores.append(weights.tags.get(value, weights.tag))
+                block_of.append(None)
             if value.lstrip("/") in _BLOCKS and blocks[-1]:
                 blocks.append([])
-                article.append(0)
-            continue
-        if hidden or not (n := len(value.split())):
-            if not hidden and blocks[-1]:
+        elif not hidden:
+            if n := len(value.split()):
+                scores.append(weights.word * n)
+                block_of.append(len(blocks) - 1)
+            if n or blocks[-1]:
                 blocks[-1].append(value)
-            continue
-        if run <= 0:
-            run, start = 0.0, len(blocks) - 1
-        run += weights.word * n
-        blocks[-1].append(value)
-        article[-1] = articles if inside else 0
-        if run > best or run == best and region[0] == start:
-            best, region = run, (start, len(blocks))
-    reached = {a for a in article[region[0] : region[1]] if a}
-    texts = (" ".join(html.unescape("".join(b)).split()) for i, b in enumerate(blocks) if region[0] <= i < region[1] or article[i] in reached)
+    first, last = best_region(scores)
+    reached = {b for b in block_of[first:last] if b is not None}
+    texts = (" ".join(html.unescape("".join(blocks[b])).split()) for b in sorted(reached))
     return "\n".join(t for t in texts if t)
 
 

@@ -17,6 +17,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm import wordhash
@@ -135,11 +136,12 @@ def judge(df: DataFrame, text: str = "text", limits: Limits = Limits()) -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
             for batch in batches:
-                texts = utf8(batch.column(batch.schema.get_field_index(text)))
+                texts = utf8(batch.column(len(names)))
                 measured = [row for part in pieces(texts) for row in measure(texts[part], limits)]
                 rows = list(zip(*measured, strict=True)) or [[] for _ in SCHEMA]
                 kinds = [*(pa.int64() for _ in FIELDS), pa.bool_(), pa.bool_(), pa.string()]
                 yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in names), *(pa.array(v, k) for v, k in zip(rows, kinds, strict=True))], names=[*names, *SCHEMA.names])
 
-    source = df if text in names else df.withColumnRenamed(text, f"{text}_judged")
+    # the text goes last and is found by its place, whatever its name
+    source = df.select(*(F.col(f"`{c}`") for c in names), F.col(text).alias("".join(["text", *names])))
     return source.mapInArrow(run, T.StructType([*keep, *SCHEMA.fields]))

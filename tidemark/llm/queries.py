@@ -39,7 +39,7 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    model = url_filter.fit(url_filter.labelled_pages(pages, table(spark, sf_dir, "labels")))
+    model = url_filter.fit(url_filter.labelled_by_rules(pages))
     return url_filter.judge(pages, model).select("page_id", "host", "path", "rule", "verdict")
 
 

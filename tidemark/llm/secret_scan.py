@@ -8,7 +8,8 @@ Starts and ends count code points, the end exclusive, and are those of the whole
 
 Defined cases: a null or empty text has no spans; repeated rows are scanned alike; tied starts order by kind as in
 KINDS; an empty table trains models of their priors and gives an empty result; without labelled strings the random model
-is uniform. Columns of the input with the names `_spans`, `_text` are replaced.
+is uniform; columns pass through, whatever their names, but `_spans`, which is replaced; very long texts and many
+secrets in one text cost time near their length: texts are cut in blocks, and spans are compared in one sorted pass.
 """
 
 from __future__ import annotations
@@ -44,14 +45,45 @@ class Training:
     least_nats_a_pair: float = 0.5
 
 
+def _bound(value: Column, use) -> Column:
+    """use(value), with the value evaluated once."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def running(values: Column, combine, start: int, block: int = 256) -> Column:
+    """What an associative function of longs gives of all items before each item. Work in blocks keeps the copying of growing arrays small."""
+    zero = F.lit(start).cast("long")
+    grow = lambda acc, x: F.concat(acc, F.array(combine(F.element_at(acc, -1), x)))
+
+    def each(v: Column) -> Column:
+        blocks = F.sequence(F.lit(0), F.floor((F.size(v) - 1) / block).cast("int"))
+        part = lambda b: F.slice(v, b * block + 1, F.lit(block))
+        whole = F.aggregate(F.transform(blocks, lambda b: F.aggregate(part(b), zero, combine)), F.array(zero), grow)
+        return _bound(whole, lambda w: F.flatten(F.transform(blocks, lambda b: F.slice(F.aggregate(part(b), F.array(F.get(w, b)), grow), 1, F.size(part(b))))))
+
+    return F.when(F.size(values) > 0, _bound(values, each)).otherwise(F.array().cast("array<bigint>"))
+
+
 def running_totals(values: Column, block: int = 256) -> Column:
-    """The sum before each item of an array of longs. Work in blocks keeps the copying of growing arrays small."""
-    blocks = F.sequence(F.lit(0), F.floor((F.size(values) - 1) / block).cast("int"))
-    grow = lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x))
-    part = lambda b: F.slice(values, b * block + 1, F.lit(block))
-    whole = F.aggregate(F.transform(blocks, lambda b: F.aggregate(part(b), F.lit(0).cast("long"), lambda a, x: a + x)), F.array(F.lit(0).cast("long")), grow)
-    inner = F.transform(blocks, lambda b: F.slice(F.aggregate(part(b), F.array(F.get(whole, b)), grow), 1, F.size(part(b))))
-    return F.when(F.size(values) > 0, F.flatten(inner)).otherwise(F.array().cast("array<bigint>"))
+    """The sum before each item of an array of longs."""
+    return running(values, lambda a, x: a + x, 0, block)
+
+
+_FAR = 1 << 40
+
+
+def _free(spans: Column) -> Column:
+    """Of sorted spans the base ones, and those of the method that overlap none of them."""
+    base = lambda s, value, other: F.when(s["kind"] < 3, s[value]).otherwise(F.lit(other).cast("long"))
+
+    def each(v: Column) -> Column:
+        before = running(F.transform(v, lambda s: base(s, "stop", 0)), lambda a, x: F.greatest(a, x), 0)
+        after = F.reverse(running(F.transform(F.reverse(v), lambda s: base(s, "start", _FAR)), lambda a, x: F.least(a, x), _FAR))
+        marked = F.arrays_zip(v.alias("s"), before.alias("before"), after.alias("after"))
+        fits = lambda x: (x["s"]["kind"] < 3) | (x["before"] <= x["s"]["start"]) & (x["after"] >= x["s"]["stop"])
+        return F.transform(F.filter(marked, fits), lambda x: x["s"])
+
+    return _bound(spans, each)
 
 
 def _matches(df: DataFrame, name: str, pattern: str) -> DataFrame:
@@ -77,9 +109,10 @@ def _spans(name: str, kind: int, keep: Column | None = None) -> Column:
 
 def _ratio(word: Column, table: Column) -> Column:
     """The summed log-likelihood ratio of a string's pairs of characters."""
-    code = lambda i: F.instr(F.lit(ALPHABET), F.substring(word, i, F.lit(1)))
+    codes = F.transform(F.split(word, ""), lambda c: F.instr(F.lit(ALPHABET), c))
     pairs = F.sequence(F.lit(1), F.char_length(word) - 1)
-    return F.aggregate(pairs, F.lit(0.0), lambda acc, i: acc + F.get(table, code(i) * (len(ALPHABET) + 1) + code(i + 1)))
+    pair = lambda c, i: F.get(c, i - 1) * (len(ALPHABET) + 1) + F.get(c, i)
+    return _bound(codes, lambda c: F.aggregate(pairs, F.lit(0.0), lambda acc, i: acc + F.get(table, pair(c, i))))
 
 
 def train(df: DataFrame, text: str = "text", options: Training = Training()) -> list[float]:
@@ -109,8 +142,9 @@ def train(df: DataFrame, text: str = "text", options: Training = Training()) ->
 def scan(df: DataFrame, text: str = "text", model: list[float] | None = None, options: Training = Training()) -> DataFrame:
     """Adds `_spans`: array of (start, kind as index into KINDS, stop), ordered. A model that isn't given is trained on df."""
     model = train(df, text, options) if model is None else model
-    names = [f"`{c}`" for c in df.columns if c not in ("_spans", "_text")]
-    out = df.select(*names, F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    # the row stands apart, so that no name of the work clashes with one of its columns
+    names = [F.col("_row").getField(c).alias(c) for c in df.columns if c != "_spans"]
+    out = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("_row"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
     for name, pattern in (("assign", ASSIGN), ("access", ACCESS), ("hex", HEX), ("other", f"{_RUN}{{{options.least_length},}}")):
         out = _matches(out, name, pattern)
     long_enough = F.when(F.size("assign_is") > 0, F.transform(F.regexp_extract_all("_text", F.lit(ASSIGN), F.lit(2)), lambda v: F.char_length(v) >= LEAST_VALUE))
@@ -119,8 +153,8 @@ def scan(df: DataFrame, text: str = "text", model: list[float] | None = None, op
     least = options.least_nats
     secret = lambda w: w.rlike("[0-9]") & w.rlike("[A-Za-z]") & (_ratio(w, table) >= F.greatest(F.lit(least), options.least_nats_a_pair * (F.char_length(w) - 1)))
     out = out.withColumn("_other", _spans("other", 3, F.when(F.size("other_is") > 0, F.transform("other_is", secret))))
-    free = F.filter("_other", lambda o: ~F.exists("_base", lambda b: (b["start"] < o["stop"]) & (o["start"] < b["stop"])))
-    return out.select(*names, F.when(F.size("_other") > 0, F.array_sort(F.concat("_base", free))).otherwise(F.col("_base")).alias("_spans"))
+    both = _free(F.array_sort(F.concat("_base", "_other")))
+    return out.select(*names, F.when(F.size("_other") > 0, both).otherwise(F.col("_base")).alias("_spans"))
 
 
 def described(spans: Column) -> Column:
@@ -139,12 +173,24 @@ def digest(df: DataFrame, text: str = "text", **options) -> DataFrame:
 def redact(df: DataFrame, text: str = "text", **options) -> DataFrame:
     """The rows with each secret, or run of overlapping secrets, replaced by MARK; null texts stay null."""
     scanned = scan(df, text, **options)
-    body = F.col(text)
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
-
-    def step(acc: Column, s: Column) -> Column:
-        cut = F.concat(acc["out"], F.substring(body, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")), F.lit(MARK))
-        return F.struct(F.greatest(acc["at"], s["stop"]).alias("at"), F.when(s["start"] >= acc["at"], cut).otherwise(acc["out"]).alias("out"))
-
-    new = F.aggregate("_spans", start, step, lambda acc: F.concat(acc["out"], F.substring(body, (acc["at"] + 1).cast("int"), F.char_length(body))))
+    width = 4_096
+    body = F.col(f"`{text}`")
+
+    def cut(blocks: Column, start: Column, stop: Column) -> Column:
+        """The code points from start to stop, from the blocks that hold them."""
+        first = F.floor(start / width).cast("int")
+        held = F.slice(blocks, first + 1, F.greatest(F.ceil(stop / width).cast("int") - first, F.lit(0)))
+        return F.substring(F.array_join(held, ""), (start - first * width + 1).cast("int"), (stop - start).cast("int"))
+
+    def marked(blocks: Column) -> Column:
+        def each(v: Column) -> Column:
+            before = running(F.transform(v, lambda s: s["stop"]), lambda a, x: F.greatest(a, x), 0)
+            heads = F.filter(F.arrays_zip(F.transform(v, lambda s: s["start"]).alias("start"), before.alias("before")), lambda x: x["start"] >= x["before"])
+            kept = F.transform(heads, lambda x: cut(blocks, x["before"], x["start"]))
+            end = F.array_max(F.transform(v, lambda s: s["stop"]))
+            return F.array_join(F.concat(kept, F.array(cut(blocks, end, F.char_length(body).cast("long")))), MARK)
+
+        return _bound(F.col("_spans"), each)
+
+    new = _bound(F.regexp_extract_all(body, F.lit(f"(?s).{{1,{width}}}"), F.lit(0)), marked)
     return scanned.withColumn(text, F.when(F.size("_spans") > 0, new).otherwise(body)).drop("_spans")
