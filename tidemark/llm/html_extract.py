@@ -42,7 +42,7 @@ _SELF_CLOSING = set("p li dt dd option tr td th".split())
 #: Words of class, id and role values that mark what isn't main text; fixed values.
 _MARKS = set("ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments cookie cookies consent disqus footer header menu modal nav navbar navigation newsletter notice notices popup promo promoted recommended related respond sharing share sidebar social sponsor sponsored subscribe subscription toolbar widget complementary contentinfo search".split())
 #: Words that may stand beside marks in the name of a part; fixed values.
-_BESIDE = set("a area bar bars block body bottom box boxes button buttons col column container content first global group holder inner item items last left link links list main mobile module news outer page panel part post posts primary right row secondary section side site slot sticky text the title top unit user web wrap wrapper zone".split())
+_BESIDE = set("area bar bars block body bottom box boxes button buttons col column container first global group holder inner item items last left link links list main mobile module news outer page panel part posts primary right row secondary section side site slot sticky top unit user web wrap wrapper zone".split())
 #: Reader comments can be longer than what they comment on, so their length doesn't make them the main text.
 _READERS = set("comment comments disqus respond".split())
 _CONTENT = ("article", "main")
