@@ -4,6 +4,7 @@ import hashlib
 import html
 import random
 import re
+import zlib
 
 import duckdb
 import numpy as np
@@ -346,16 +347,33 @@ def test_predictor_cross_colour_and_green():
 
 
 def test_media_round_trip(spark):
-    texts = ["", None, "a" * 63, "a" * 64, "ab" * 30_000, "é漢\0\x01" * 50, "same", "same", bytes(range(128)).decode() * 9]
+    texts = ["", None, "a" * 63, "a" * 64, "ab" * 30_000, "é漢\0\x01" * 50, "same", "same", bytes(range(128)).decode() * 9, "the same four " * 900, "q" * (1 << 20) + "tail of wider rows"]
     df = spark.createDataFrame([(i, t, "clash") for i, t in enumerate(texts)], "doc_id long, text string, media string")
     rows = {r["doc_id"]: r for r in media.round_trip(df).collect()}
+    how = media.Store()
     for i, t in enumerate(texts):
-        p = media.payload((t or "").encode(), media.Store())
-        assert (rows[i]["n_bytes"], rows[i]["payload_bytes"], rows[i]["payload_sha256"]) == (len((t or "").encode()), len(p), hashlib.sha256(p).hexdigest()) and len(p) % 64 == 0
+        raw = (t or "").encode()
+        p = raw + bytes(max(64 - len(raw), -len(raw) % 64))
+        file = media.stored([raw], how)[0]
+        width = 16 if len(p) <= 1 << 20 else 32
+        height = -(-len(p) // (4 * width))
+        sums = [sum(p[c::4]) for c in range(4)]
+        want = (i, len(raw), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-64:]), len(file), hashlib.sha256(file).hexdigest(), ":".join(map(str, [height, *sums])))
+        assert tuple(rows[i]) == want
+        assert int.from_bytes(file[4:8], "little") == len(file) - 8
     assert rows[6][1:] == rows[7][1:]
     assert media.round_trip(df.where("false")).count() == 0
 
 
+def test_the_cache_is_used_where_it_saves(data):
+    texts = [t.encode() for t in pd.read_parquet(f"{data}/documents.parquet").text.dropna()]
+    files = media.stored(texts, media.Store())
+    cached = [bool(f[25] & 2) for f in files]
+    assert any(cached) and not all(cached)
+    for t, image in zip(texts, webp.decode(files), strict=True):
+        assert image.tobytes()[: len(t)] == t
+
+
 # Conversations
 
 

@@ -1,17 +1,17 @@
 """Media columns of lossless WebP images: payloads are stored as 8-bit samples and read back as pixel arrays.
 
 A payload is a text's UTF-8, filled up with zero bytes to a positive multiple of 64: rows of 16 pixels. It is stored as one
-image, or as several in a row where it is longer than an image may be; the images' files stand one after the other in the
-media column. Reading splits the column by the files' lengths and decodes many images side by side, in bounded groups.
+image. An image has 16384 rows at most, so only what is longer than 1 MiB gets wider rows, of the least multiple of 16 pixels
+that holds it; the last row is filled up with zeros, which reading cuts off. Reading decodes many images side by side, in
+bounded groups.
 
 Defined cases: a null or empty text is one row of zeros; equal texts have equal media; repeated rows are stored each for
-itself; an empty table gives an empty result; other columns are ignored.
+itself; a text beyond 1 GiB raises an error; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
-import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -28,48 +28,25 @@ from tidemark.llm.shared import bounded_batches, pieces, utf8, written
 @dataclass(frozen=True)
 class Store:
     width: int = 16
-    rows: int = 256
+    #: Most rows of an image, and most pixels of a row, in the format.
+    most: int = 16_384
     #: Bytes of payload that are worked on at once.
     group_bytes: int = 8 << 20
 
-    @property
-    def row_bytes(self) -> int:
-        return 4 * self.width
+    def payload_bytes(self, n_bytes: int) -> int:
+        return max(4 * self.width, n_bytes + -n_bytes % (4 * self.width))
 
-
-def payload(text: bytes, how: Store) -> bytes:
-    return text + bytes(how.row_bytes - len(text)) if len(text) < how.row_bytes else text + bytes(-len(text) % how.row_bytes)
+    def image_width(self, n_bytes: int) -> int:
+        width = self.width * -(-self.payload_bytes(n_bytes) // (4 * self.width * self.most))
+        if width > self.most:
+            raise ValueError("a text is too long for an image")
+        return width
 
 
 def stored(texts: list[bytes], how: Store) -> list[bytes]:
-    """The media of each text."""
-    most, parts, owner = how.rows * how.row_bytes, [], []
-    for i, t in enumerate(texts):
-        p = payload(t, how)
-        for k in range(0, len(p), most):
-            parts.append(p[k : k + most])
-            owner.append(i)
-    out = [[] for _ in texts]
-    for i, f in zip(owner, webp.encode(parts, how.width), strict=True):
-        out[i].append(f)
-    return [b"".join(x) for x in out]
-
-
-def files_of(media: bytes) -> list[bytes]:
-    """The files that stand in a media column."""
-    out, at = [], 0
-    while at < len(media):
-        n = 8 + struct.unpack("<I", media[at + 4 : at + 8])[0]
-        out.append(media[at : at + n])
-        at += n
-    return out
-
-
-def loaded(media: list[bytes]) -> list[np.ndarray]:
-    """The rows of samples (height, width, 4) of each media value."""
-    files = [files_of(m) for m in media]
-    images = iter(webp.decode([f for x in files for f in x]))
-    return [np.concatenate([next(images) for _ in x]) for x in files]
+    """The media of each text: one WebP file."""
+    widths = [how.image_width(len(t)) for t in texts]
+    return webp.encode([t + bytes(max(4 * w - len(t), -len(t) % (4 * w))) for t, w in zip(texts, widths, strict=True)], widths)
 
 
 def store(df: DataFrame, how: Store = Store()) -> DataFrame:
@@ -100,11 +77,11 @@ def read(df: DataFrame, how: Store = Store()) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            media = utf8(batch.column(2))
+            media, sizes = utf8(batch.column(2)), batch.column(1).to_pylist()
             for part in pieces(media, limit=how.group_bytes):
                 rows = []
-                for m, samples in zip(media[part], loaded(media[part]), strict=True):
-                    p = samples.tobytes()
+                for m, n, samples in zip(media[part], sizes[part], webp.decode(media[part]), strict=True):
+                    p = samples.tobytes()[: how.payload_bytes(n)]
                     rows.append((len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-64:]), len(m), hashlib.sha256(m).hexdigest(), feature(samples)))
                 kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
                 yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(part.start, part.stop - part.start) for i in (0, 1)), *(pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True))], names=names)

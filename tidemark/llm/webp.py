@@ -2,7 +2,8 @@
 
 Decoding takes one pixel of every image at a time: prefix codes, back-references, colour cache and entropy groups are looked
 up for all images at once. Then the transforms are undone: predictor, cross-colour, subtract-green and palette. The
-encoder writes one fixed set of prefix codes and back-references for runs.
+encoder writes literals, back-references for runs and, where that makes an image smaller, a colour cache; its prefix codes
+are one of two fixed sets.
 """
 
 from __future__ import annotations
@@ -424,13 +425,20 @@ def _text_weights() -> list[float]:
     return out
 
 
-@lru_cache(1)
-def _fixed() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int, int]:
-    """Codes and lengths for green and for the other channels, and the bits that say so in a file."""
-    green, other = limited_lengths(_text_weights() + [0.2] * 24), limited_lengths(_text_weights())
+#: Bits of the colour cache, and the fixed factor of its hash.
+_CACHE_BITS, _CACHE_FACTOR = 9, np.uint32(0x1E35A7BD)
+
+
+@lru_cache(2)
+def _fixed(cached: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int, int]:
+    """Codes and lengths for green, runs and the cache, and for the other channels, and the bits that say so in a file."""
+    green, other = limited_lengths(_text_weights() + [0.2] * 24 + [0.6] * (cached << _CACHE_BITS)), limited_lengths(_text_weights())
     w = Writer()
-    for bit in (0, 0, 0):  # no transform, no colour cache, one group
-        w.write(bit, 1)
+    w.write(0, 1)  # no transform
+    w.write(int(cached), 1)
+    if cached:
+        w.write(_CACHE_BITS, 4)
+    w.write(0, 1)  # one group
     w.lengths(green)
     for _ in range(3):
         w.lengths(other)
@@ -438,54 +446,85 @@ def _fixed() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int, int]:
     return _codes(green), np.array(green, np.int64), _codes(other), np.array(other, np.int64), w.value, w.size
 
 
-def _with_runs(pixel: np.ndarray, is_first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and lengths of runs of 3 or more pixels that equal the one before them, inside one image."""
+def _with_runs(pixel: np.ndarray, is_first: np.ndarray, longest: int = 4096) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and lengths of runs of 3 or more pixels that equal the one before them, inside one image, cut to the longest length a code has."""
     same = np.concatenate([[False], pixel[1:] == pixel[:-1]]) & ~is_first
     edge = np.flatnonzero(np.diff(np.concatenate([[0], same.astype(np.int8), [0]])))
     start, size = edge[::2], edge[1::2] - edge[::2]
-    return start[size >= 3], size[size >= 3]
+    start, size = start[size >= 3], size[size >= 3]
+    parts = -(-size // longest)
+    number = np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts)
+    return np.repeat(start, parts) + number * longest, np.minimum(np.repeat(size, parts) - number * longest, longest)
+
 
+def _cached(argb: np.ndarray, image: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each pixel's slot in the colour cache, and whether its colour stands there: the last pixel of the image with this slot had it."""
+    slot = (argb * _CACHE_FACTOR >> np.uint32(32 - _CACHE_BITS)).astype(np.int64)
+    key = image << _CACHE_BITS | slot
+    order = np.argsort(key, kind="stable")
+    hit = np.zeros(len(argb), bool)
+    hit[order[1:]] = (key[order[1:]] == key[order[:-1]]) & (argb[order[1:]] == argb[order[:-1]])
+    return slot, hit
 
-def encode(payloads: list[bytes], width: int) -> list[bytes]:
-    """A WebP file for each payload of samples, red, green, blue and alpha in turn; each is a whole number of rows, at most 4096 pixels."""
+
+def encode(payloads: list[bytes], widths: list[int]) -> list[bytes]:
+    """A WebP file for each payload of samples, red, green, blue and alpha in turn; each is a whole number of rows of its width."""
     if not payloads:
         return []
-    green, green_n, other, other_n, head, head_n = _fixed()
     count = np.array([len(p) // 4 for p in payloads])
     samples = np.frombuffer(b"".join(payloads), np.uint8).reshape(-1, 4)
     first = np.concatenate([[0], np.cumsum(count)])
     is_first = np.zeros(len(samples), bool)
     is_first[first[:-1]] = True
-    code, size = green[samples[:, 1]], green_n[samples[:, 1]].copy()
-    for c in (0, 2, 3):
-        code |= other[samples[:, c]] << size.astype(np.uint64)
-        size += other_n[samples[:, c]]
-    start, run = _with_runs(samples.copy().view(np.uint32).reshape(-1), is_first)
+    image_of = np.repeat(np.arange(len(payloads)), count)
+    argb = np.ascontiguousarray(samples[:, [2, 1, 0, 3]]).view(np.uint32).reshape(-1)
+    start, run = _with_runs(argb, is_first)
+    slot, hit = _cached(argb, image_of)
     inside = np.zeros(len(samples) + 1, np.int64)
-    inside[start] += 1
-    inside[start + run] -= 1
-    size[np.cumsum(inside[:-1]) > 0] = 0
+    np.add.at(inside, start, 1)
+    np.add.at(inside, start + run, -1)
+    in_run = np.cumsum(inside[:-1]) > 0
     extra = np.where(run > 4, np.maximum(np.log2(np.maximum(run - 1, 1)).astype(np.int64) - 1, 0), 0)
     prefix = np.where(run <= 4, run - 1, 2 * extra + 2 + ((run - 1) >> extra & 1))
-    code[start] = green[256 + prefix] | ((run - 1) & ((1 << extra) - 1)).astype(np.uint64) << green_n[256 + prefix].astype(np.uint64)
-    size[start] = green_n[256 + prefix] + extra
+
+    def coded(cached: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Code and number of bits of each pixel; 0 bits inside runs."""
+        green, green_n, other, other_n, _, _ = _fixed(cached)
+        code, size = green[samples[:, 1]], green_n[samples[:, 1]].copy()
+        for c in (0, 2, 3):
+            code |= other[samples[:, c]] << size.astype(np.uint64)
+            size += other_n[samples[:, c]]
+        if cached:
+            code[hit], size[hit] = green[_GREEN + slot[hit]], green_n[_GREEN + slot[hit]]
+        size[in_run] = 0
+        code[start] = green[256 + prefix] | ((run - 1) & ((1 << extra) - 1)).astype(np.uint64) << green_n[256 + prefix].astype(np.uint64)
+        size[start] = green_n[256 + prefix] + extra
+        return code, size
+
+    (code, size), (code_c, size_c) = coded(False), coded(True)
+    heads = [_fixed(k)[4:] for k in (False, True)]
+    totals = [np.add.reduceat(x, first[:-1]) + n for x, (_, n) in zip((size, size_c), heads, strict=True)]
+    smaller = totals[1] < totals[0]
+    code, size = np.where(smaller[image_of], code_c, code), np.where(smaller[image_of], size_c, size)
+    head_n = np.where(smaller, heads[1][1], heads[0][1])
     bits = np.concatenate([[0], np.cumsum(size)])
     room = (head_n + np.diff(bits[first]) + 63) // 64 + 1
     base = np.concatenate([[0], np.cumsum(room)])
     token = np.flatnonzero(size)
-    image = np.searchsorted(first, token, "right") - 1
-    place = 64 * base[image] + head_n + bits[token] - bits[first[image]]
+    image = image_of[token]
+    place = 64 * base[image] + head_n[image] + bits[token] - bits[first[image]]
     word, shift = place >> 6, (place & 63).astype(np.uint64)
     out = np.zeros(int(base[-1]) + 1, np.uint64)
     at = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
     out[word[at]] |= np.bitwise_or.reduceat(code[token] << shift, at)
     out[word[at] + 1] |= np.bitwise_or.reduceat(np.where(shift > 0, code[token] >> (np.uint64(64) - np.maximum(shift, np.uint64(1))), np.uint64(0)), at)
-    begin = np.frombuffer(head.to_bytes((head_n + 63) // 64 * 8, "little"), np.uint64)
-    for k, w in enumerate(begin):
-        out[base[:-1] + k] |= w
+    for k, (value, n) in enumerate(heads):
+        where = base[:-1][smaller == bool(k)]
+        for i, w in enumerate(np.frombuffer(value.to_bytes((n + 63) // 64 * 8, "little"), np.uint64)):
+            out[where + i] |= w
     raw, files = out.tobytes(), []
     length = ((head_n + np.diff(bits[first]) + 7) // 8).tolist()
-    for i, (b, n, pixels) in enumerate(zip((8 * base[:-1]).tolist(), length, count.tolist(), strict=True)):
+    for b, n, pixels, width in zip((8 * base[:-1]).tolist(), length, count.tolist(), widths, strict=True):
         stream = b"\x2f" + ((width - 1) | (pixels // width - 1) << 14 | 1 << 28).to_bytes(4, "little") + raw[b : b + n]
         padded = stream + b"\0" * (len(stream) & 1)
         files.append(b"RIFF" + struct.pack("<I", 12 + len(padded)) + b"WEBPVP8L" + struct.pack("<I", len(stream)) + padded)
