@@ -27,7 +27,7 @@ def test_query_matches_sql(spark, data, duck, name):
     df = queries.QUERIES[name](spark, data)
     columns = sorted(df.columns)
     got = sorted((tuple(_plain(r[c]) for c in columns) for r in df.collect()), key=repr)
-    want = sorted((tuple(map(_plain, r)) for r in duck.execute(f"SELECT {', '.join(columns)} FROM ({queries.ORACLES[name]})").fetchall()), key=repr)
+    want = sorted((tuple(map(_plain, r)) for r in duck.execute(f"SELECT {', '.join(f'"{c}"' for c in columns)} FROM ({queries.ORACLES[name]})").fetchall()), key=repr)
     assert got == want
     spark.catalog.clearCache()
 

@@ -95,7 +95,3 @@ def report(spark: SparkSession, checks: list[Check]) -> DataFrame:
 def labelled_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows of each table by label."""
     return reduce(DataFrame.unionByName, (df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("object"), "rows") for name, df in tables.items()))
-
-
-def violation_count(condition: Column) -> Column:
-    return F.count_if(condition)

@@ -37,7 +37,7 @@ def query(columns: str | dict[str, str], sql: str | None = None):
     def wrap(f):
         QUERIES[f.__name__] = lambda spark, sf_dir: f(spark, sf_dir).select(*(F.col(c).cast(k).alias(c) for c, k in kinds.items()))
         if sql is not None:
-            ORACLES[f.__name__] = f"SELECT {', '.join(f'CAST({c} AS {_SQL_TYPES.get(k, k.upper())}) AS {c}' for c, k in kinds.items())} FROM ({sql}) AS q"
+            ORACLES[f.__name__] = f"SELECT {', '.join(f'CAST(\"{c}\" AS {_SQL_TYPES.get(k, k.upper())}) AS \"{c}\"' for c, k in kinds.items())} FROM ({sql}) AS q"
         return f
 
     return wrap
@@ -211,7 +211,32 @@ def traversal_without_validity(spark, sf_dir):
     return quality.same_count(consumption(t, validity=False), t["fato_metricas"])
 
 
-@query("check string, severity string, violations bigint, outcome string")
+def _star_checks_sql() -> str:
+    """Every declared check as a count of its own, and their outcomes."""
+    labels = "(" + ", ".join(f"'{x.label}'" for x in SOURCES.values()) + ")"
+    groups = lambda t, by: f"SELECT count(*) FROM (SELECT 1 FROM {t} GROUP BY {by} HAVING count(*) > 1)"
+    orphans = lambda t, k, u: f"SELECT count(*) FROM {t} WHERE {k} IS NOT NULL AND {k} NOT IN (SELECT {k} FROM {u})"
+    outside = lambda t, c, v: f"SELECT count(DISTINCT {c}) FROM {t} WHERE {c} NOT IN {v}"
+    counts = {f"silver.{c} not null": f"SELECT count(*) FROM silver WHERE {c} IS NULL" for c in ("data", "plataforma", *(f"{x}_nk" for x in LEVELS))}
+    counts |= {"silver.plataforma accepted": outside("silver", "plataforma", labels), "silver grain": groups("silver", "anuncio_nk, data"), "silver metrics not negative": f"SELECT count(*) FROM silver WHERE {' OR '.join(f'{m} < 0' for m in METRICS)}"}
+    above = "dim_plataforma"
+    for level, parent in samples._PARENTS:
+        t = f"dim_{level}"
+        counts |= {
+            f"{t} key unique": groups(t, f"{level}_sk"), f"{t} key not null": f"SELECT count(*) FROM {t} WHERE {level}_sk IS NULL", f"{t} parent exists": orphans(t, parent, above),
+            f"{t} versions apart": f"SELECT count(*) FROM {t} a WHERE EXISTS (SELECT 1 FROM {t} b WHERE b.{level}_nk = a.{level}_nk AND b.versao < a.versao AND b.valido_ate >= a.valido_de)",
+            f"{t} one current version": f"SELECT count(*) FROM (SELECT 1 FROM {t} GROUP BY {level}_nk HAVING count(*) FILTER (WHERE is_atual) <> 1)",
+        }
+        above = t
+    counts |= {
+        "dim_plataforma unique": groups("dim_plataforma", "plataforma_sk"), "dim_plataforma accepted": outside("dim_plataforma", "nome", labels), "dim_tempo unique": groups("dim_tempo", "data"), "dim_tempo weekdays": outside("dim_tempo", "dia_semana", "(1, 2, 3, 4, 5, 6, 7)"), "fact grain": groups("fato_metricas", "anuncio_sk, tempo_sk"),
+        "fact ad exists": orphans("fato_metricas", "anuncio_sk", "dim_anuncio"), "fact day exists": orphans("fato_metricas", "tempo_sk", "dim_tempo"), "traversal keeps rows": "SELECT CASE WHEN (SELECT count(*) FROM vw) = (SELECT count(*) FROM fato_metricas) THEN 0 ELSE 1 END",
+    }
+    rows = " UNION ALL ".join(f"SELECT '{name}' AS \"check\", ({count}) violations" for name, count in counts.items())
+    return f"WITH {view_sql()} SELECT \"check\", 'error' severity, violations, CASE WHEN violations = 0 THEN 'pass' ELSE 'fail' END outcome FROM ({rows})"
+
+
+@query("check string, severity string, violations bigint, outcome string", _star_checks_sql())
 def star_checks(spark, sf_dir):
     return quality.report(spark, checks(tables(spark, sf_dir)))
 
@@ -244,9 +269,9 @@ def check_non_negative(spark, sf_dir):
     return quality.non_negative(table(spark, sf_dir, "customer"), ["c_acctbal"])
 
 
-@query("o_custkey bigint", "SELECT o_custkey FROM orders LEFT JOIN customer ON c_custkey = o_custkey WHERE c_custkey IS NULL")
+@query("o_custkey bigint", "SELECT o_custkey FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_acctbal >= 0) ON c_custkey = o_custkey WHERE c_custkey IS NULL")
 def check_not_null(spark, sf_dir):
-    joined = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"), "left")
+    joined = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer").where("c_acctbal >= 0"), F.col("o_custkey") == F.col("c_custkey"), "left")
     return quality.not_null(joined, "c_custkey")
 
 
@@ -435,6 +460,21 @@ def exposure_post_checks(spark, sf_dir):
     return exposure.post_checks(*_exposed(spark, sf_dir))
 
 
+def _lost_day_sql() -> str:
+    """What differs between the view and itself without its last day."""
+    sums = lambda t: f"SELECT count(*) AS rows, count(DISTINCT data) AS days, {', '.join(f'sum({m}) {m}' for m in METRICS)}, {', '.join(f'count(DISTINCT {x}_nk) n_{x}' for x in LEVELS)} FROM {t}"
+    parts = [f"SELECT '{c} differs' problem FROM a, b WHERE a.{c} IS DISTINCT FROM b.{c}" for c in ("rows", "days", *METRICS)] + [f"SELECT 'two keys of {x} share a label' problem FROM a, b WHERE a.n_{x} <> b.n_{x}" for x in LEVELS]
+    return f"WITH {view_sql()}, less AS (SELECT * FROM vw WHERE data < (SELECT max(data) FROM vw)), a AS ({sums('vw')}), b AS ({sums('less')}) {' UNION ALL '.join(parts)}"
+
+
+@query("problem string", _lost_day_sql())
+def post_checks_of_a_lost_day(spark, sf_dir):
+    """The checks on an artifact that lacks its last day."""
+    view, artifact = _exposed(spark, sf_dir)
+    last = view.agg(F.max("data").alias("last_day"))
+    return exposure.post_checks(view, artifact.join(F.broadcast(last), F.col("data") < F.col("last_day")).drop("last_day"))
+
+
 @query({"rows": "bigint", "first_day": "date", "last_day": "date", **{f"n_{x}": "bigint" for x in LEVELS}}, f"WITH {view_sql()} SELECT count(*) AS rows, min(data) first_day, max(data) last_day, {', '.join(f'count(DISTINCT {x}_nk) n_{x}' for x in LEVELS)} FROM vw")
 def export_manifest(spark, sf_dir):
     return exposure.export_manifest(_exposed(spark, sf_dir)[1])
@@ -448,7 +488,10 @@ def audit_findings(spark, sf_dir):
     return audit.audited(raw.as_text(artifact), view, real=real)
 
 
-@query("pattern string, matches bigint, rows bigint")
+_PATTERN_ROWS = " UNION ALL ".join("SELECT '{}' pattern, CAST(coalesce(sum(n), 0) AS BIGINT) matches, count(*) FILTER (WHERE n > 0) AS rows FROM (SELECT len(regexp_extract_all(coalesce(text, ''), '{}')) n FROM documents)".format(name, p.replace("(?iU)", "(?i)").replace("(?U)", "").replace("'", "''")) for name, p in audit.FORBIDDEN_PATTERNS.items())
+
+
+@query("pattern string, matches bigint, rows bigint", _PATTERN_ROWS)
 def personal_data_in_documents(spark, sf_dir):
     return audit.pattern_counts(table(spark, sf_dir, "documents"), "text")
 
@@ -472,7 +515,7 @@ def anonymised_records(spark, sf_dir):
     return out.select("row_id", *(F.variant_get(v, f"$.{c}", "string").alias(c) for c in ("account_id", "ad_id", "ad_name")), F.variant_get(v, "$.spend", MONEY).alias("spend"))
 
 
-@query("level string, label string, identities bigint")
+@query("level string, label string, identities bigint", f"SELECT 'customer' AS level, upper(substr(sha256({_blob(_PADS[1])} || unhex(sha256({_blob(_PADS[0])} || encode(CAST(c_custkey AS VARCHAR))))), 1, 2)) AS label, count(DISTINCT c_custkey) identities FROM customer GROUP BY 2 HAVING count(DISTINCT c_custkey) > 1")
 def label_collisions(spark, sf_dir):
     """Labels of all customers cut to two digits, so that there are collisions to find."""
     from tidemark.functions.columns import hmac_pads, hmac_sha256

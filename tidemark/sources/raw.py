@@ -50,8 +50,8 @@ def ingestion_log(raw: DataFrame) -> DataFrame:
 
 
 def append_bronze(raw: DataFrame, path: str) -> None:
-    """Appends rows, partitioned by source and day; nothing is ever updated."""
-    raw.repartition("source", "reference_date").write.mode("append").partitionBy("source", "reference_date").parquet(path)
+    """Appends rows, partitioned by source and day; nothing is ever updated. A large day is split over several tasks."""
+    raw.hint("rebalance", "source", "reference_date").write.mode("append").partitionBy("source", "reference_date").parquet(path)
 
 
 def load_sources(parts: list[DataFrame], bronze: str, log: str) -> DataFrame:
@@ -61,8 +61,9 @@ def load_sources(parts: list[DataFrame], bronze: str, log: str) -> DataFrame:
         raise ValueError("rows of a source that isn't registered")
     append_bronze(rows, bronze)
     spark = rows.sparkSession
-    batches = rows.select("batch_id").distinct()
-    entries = ingestion_log(read_bronze(spark, bronze).join(F.broadcast(batches), "batch_id", "left_semi"))
+    # sources and days are the table's partitions, so only those of this load are read
+    loaded = rows.select("source", "reference_date", "batch_id").distinct()
+    entries = ingestion_log(read_bronze(spark, bronze).join(loaded, ["source", "reference_date", "batch_id"], "left_semi"))
     entries.coalesce(1).write.mode("append").parquet(log)
     return entries
 
