@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import audit, exposure, parity, quality, snapshots
 from tidemark.operators.dimensional import scd2
-from tidemark.plans import reports, staging
-from tidemark.plans.star import checks, consumption, star
+from tidemark.plans import publish, reports, staging
+from tidemark.plans.star import checks, consumption, materialise, star
 from tidemark.sources import raw
 from tidemark.sources.registry import METRICS, SOURCES
 
@@ -197,3 +197,91 @@ def test_flattened_and_merged(spark):
     assert tuple(raw.flattened(df, "p", {"id": ("ad.id", "string"), "cost": ("m.cost", "bigint")}).first()) == ("7", 1500000)
     a, b = (spark.createDataFrame(r, "id int, who string, ok boolean") for r in ([(1, "a", True), (2, "a", True)], [(2, "b", False), (3, "b", True)]))
     assert sorted(r["who"] for r in raw.merged([a, b], "id", F.col("ok")).collect()) == ["a", "b"]
+
+
+def test_export_publishes_all_or_nothing(spark, view, tmp_path):
+    target, key = f"{tmp_path}/out", KEY.decode()
+    manifest = publish.export(view, key, target, f"{tmp_path}/public", parts=2)
+    text, files = raw.read_text_csv(spark, f"{target}/{publish.DATA_NAME}"), raw.folder_hash(spark, f"{target}/{publish.DATA_NAME}")
+    row = manifest.first()
+    assert (row["linhas"], row["data_min"], row["data_max"], row["cardinalidades"]["campanha"]) == (64, "2026-01-01", "2026-01-03", 8) and row["fingerprint_chave"] == exposure.key_fingerprint(KEY)
+    assert audit.audited(text, view, manifest, sha256=files).count() == 0
+    assert [r["problem"] for r in audit.manifest_problems(text, manifest.drop("grao"), files).collect()] == ["the manifest lacks grao"]
+    changed = manifest.withColumns({"linhas": F.lit(1), "sha256": F.lit("0"), "data_max": F.lit("2026-01-09"), "avisos": F.struct(F.lit("x").alias("other"))})
+    assert {r["problem"] for r in audit.manifest_problems(text, changed, files).collect()} == {"manifest: the number of rows differs", "manifest: the last day differs", "manifest: the hash differs", "manifest: the warning about video_views is missing"}
+    before = files.first()
+    twice = view.unionByName(view.limit(1))
+    for rows, k, where in ((view.limit(0), key, target), (twice, key, target), (view, "short", target), (view.withColumn("x", F.lit(1)), key, target), (view, key, f"{tmp_path}/public/a")):
+        with pytest.raises(ValueError):
+            publish.export(rows, k, where, f"{tmp_path}/public")
+    assert raw.folder_hash(spark, f"{target}/{publish.DATA_NAME}").first() == before and sorted(p.name for p in tmp_path.iterdir()) == ["out"]
+    publish.export(view, key, f"{tmp_path}/public/a", f"{tmp_path}/public", allow=True)
+    rows = raw.fingerprint(text).first()
+    publish.export(view, key, target, f"{tmp_path}/public", parts=3)
+    assert raw.fingerprint(raw.read_text_csv(spark, f"{target}/{publish.DATA_NAME}")).first() == rows
+
+
+def test_post_checks_find_each_fault(view):
+    artifact = exposure.exposed(view, KEY).persist()
+    problems = lambda df: {r["problem"] for r in exposure.post_checks(view, df).collect()}
+    first = F.col("data") == "2026-01-01"
+    moved = artifact.withColumn("data", F.when(first, F.lit("2026-01-04").cast("date")).otherwise(F.col("data")))
+    assert problems(moved) == {"sums by platform and day differ", "the set of days differs"}
+    assert problems(artifact.withColumn("adset_versao", F.col("adset_versao") + 1)) == {"versions of adset differ"}
+    assert "two keys of anuncio share a label" in problems(artifact.withColumn("anuncio_id", F.lit("Anuncio-00000000")))
+    keyed = artifact.withColumn("plataforma", F.lit(view.first()["conta_nk"]))
+    assert "a natural key of conta survives" in problems(keyed)
+    assert "the grain isn't unique" in problems(artifact.unionByName(artifact.limit(1)))
+    assert problems(artifact.withColumn("conta_nome", F.lit("x"))) == {"the columns differ", "forbidden column: conta_nome"}
+
+
+def test_anonymised_files_are_published_whole_or_not_at_all(spark, bronze, tmp_path):
+    meta, target = bronze.where("source = 'meta_ads'"), f"{tmp_path}/raw"
+    labels = [*exposure.ALLOWED_LABELS, "onsite_conversion.ig_profile_view", "purchase", "omni_purchase"]
+    row = publish.publish_anonymised(meta, "meta_ads", "meta", KEY.decode(), target, labels, 2).first()
+    assert (row["linhas"], row["data_min"], row["data_max"], row["classificacao"]["ad_name"]) == (32, "2026-01-01", "2026-01-03", "name")
+    back = spark.read.text(f"{target}/records.json").collect()
+    assert len(back) == 32 and all("Demo" not in r["value"] for r in back)
+    with pytest.raises(ValueError, match="label not allowed"):
+        publish.publish_anonymised(meta, "meta_ads", "meta", KEY.decode(), target)
+    assert len(spark.read.text(f"{target}/records.json").collect()) == 32
+
+
+def test_names_and_ids_keep_one_label(spark):
+    before = spark.createDataFrame([(1, "a", "x"), (2, "b", "y"), (3, "c", None)], "row_id int, id string, name string")
+    after = spark.createDataFrame([(1, "L1", "L1"), (2, "L2", "L3"), (3, "L4", "L4")], "row_id int, id string, name string")
+    assert [tuple(r) for r in exposure.preservation_violations(before, after, [], ["id", "name"], same={"name": "id"}).collect()] == [(2, "name isn't id")]
+
+
+def test_a_load_takes_all_sources_or_none(spark, tmp_path):
+    run, days = "r1", ("2026-01-01", "2026-01-03")
+    artifacts = {}
+    for k, s in SOURCES.items():
+        raw.write_manifest(spark, f"{FIXTURES}/{k}.json", f"{tmp_path}/{k}", s, run, *days, 32)
+        artifacts[s] = (f"{FIXTURES}/{k}.json", f"{tmp_path}/{k}")
+    assert raw.load_verified(spark, artifacts, run, *days, f"{tmp_path}/bronze", f"{tmp_path}/log", "b").count() == 2
+    google = SOURCES["google"]
+    raw.write_manifest(spark, f"{FIXTURES}/google.json", f"{tmp_path}/short", google, run, *days, 31)
+    (tmp_path / "unreadable").mkdir()
+    (tmp_path / "unreadable" / "m.json").write_text("{not json")
+    (tmp_path / "none").mkdir()
+    (tmp_path / "none" / "m.json").write_text("")
+    for manifest, said in (("short", "google_ads: another number of records"), ("unreadable", "google_ads: version"), ("none", "google_ads: no manifest"), ("meta", "google_ads: no file of this content")):
+        with pytest.raises(ValueError, match=said):
+            raw.load_verified(spark, artifacts | {google: (artifacts[google][0], f"{tmp_path}/{manifest}")}, run, *days, f"{tmp_path}/b2", f"{tmp_path}/l2")
+    assert not (tmp_path / "b2").exists()
+
+
+def test_raw_constraints(spark):
+    rows = spark.createDataFrame([("meta_ads", "b", "{}"), (None, "b", "{}"), ("x", None, None)], "source string, batch_id string, t string").select("source", F.current_date().alias("reference_date"), F.lit(None).cast("timestamp").alias("extracted_at"), "batch_id", F.parse_json("t").alias("payload"))
+    found = {(r["source"], r["problem"]) for r in raw.constraint_violations(rows).collect()}
+    assert found == {("meta_ads", "null extracted_at"), (None, "null extracted_at"), (None, "null source"), ("x", "null extracted_at"), ("x", "unknown source"), ("x", "null batch_id"), ("x", "null payload")}
+
+
+def test_stored_star_equals_the_lazy_one(spark, bronze, tables, tmp_path):
+    stored = materialise(staging.silver(bronze), str(tmp_path))
+    assert set(stored) == set(tables)
+    for name, df in tables.items():
+        assert raw.fingerprint(stored[name].select(*df.columns)).first() == raw.fingerprint(df).first()
+    raw.write_fact(stored["fato_metricas"], f"{tmp_path}/flat", "anuncio_sk", "tempo_sk")
+    assert raw.fingerprint(spark.read.parquet(f"{tmp_path}/flat")).first() == raw.fingerprint(stored["fato_metricas"]).first()

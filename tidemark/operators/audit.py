@@ -26,6 +26,8 @@ FORBIDDEN_PATTERNS = {
     "arroba": r"(?U)@[\w.]+",
 }
 LEAST_SEARCHED = 4
+#: What a manifest must hold.
+MANIFEST_FIELDS = ["versao_contrato", "gerado_em", "artefato", "sha256", "linhas", "data_min", "data_max", "colunas", "tipos", "grao", "fingerprint_chave", "avisos"]
 
 
 def schema_problems(columns: list[str]) -> list[str]:
@@ -97,15 +99,25 @@ def invariant_problems(text: DataFrame, view: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, parts).where("count > 0")
 
 
-def manifest_problems(artifact: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Fields of a manifest that the artifact doesn't bear out."""
-    now = artifact.agg(F.count("*").alias("rows"), F.min("data").cast("string").alias("first_day"), F.max("data").cast("string").alias("last_day"), *(F.count_distinct(f"{level}_id").alias(f"n_{level}") for level in AUDITED_LEVELS))
-    names = now.columns
-    both = now.select(*(F.col(c).cast("string").alias(f"now_{c}") for c in names)).join(manifest.select(*(F.col(c).cast("string").alias(c) for c in names)), F.lit(True), "left")
-    return both.select(F.explode(F.array_compact(F.array(*(F.when(~F.col(c).eqNullSafe(F.col(f"now_{c}")), F.lit(f"{c} differs")) for c in names)))).alias("problem"))
-
-
-def audited(text: DataFrame, view: DataFrame | None = None, manifest: DataFrame | None = None, real: DataFrame | None = None, without_warehouse: bool = False) -> DataFrame:
+def manifest_problems(text: DataFrame, manifest: DataFrame, sha256: DataFrame | None = None) -> DataFrame:
+    """Fields of a manifest (one row) that are missing, or that the artifact doesn't bear out; `sha256` is the hash of its files."""
+    spark = text.sparkSession
+    if missing := [c for c in MANIFEST_FIELDS if c not in manifest.columns]:
+        return spark.createDataFrame([(f"the manifest lacks {c}",) for c in missing], "problem string")
+    now = text.agg(F.count("*").alias("now_linhas"), F.min("data").cast("string").alias("now_min"), F.max("data").cast("string").alias("now_max"))
+    both = now.join(manifest, F.lit(True), "left")
+    wrong = {
+        "the number of rows differs": ~F.col("linhas").cast("long").eqNullSafe(F.col("now_linhas")), "the first day differs": ~F.col("data_min").cast("string").eqNullSafe(F.col("now_min")),
+        "the last day differs": ~F.col("data_max").cast("string").eqNullSafe(F.col("now_max")), "the columns differ": ~F.array_join("colunas", ",").eqNullSafe(F.lit(",".join(AUDITED_COLUMNS))),
+        "the warning about video_views is missing": ~F.coalesce(F.length(F.get_json_object(F.to_json("avisos"), "$.video_views")) > 0, F.lit(False)),
+    }
+    if sha256 is not None:
+        both = both.join(sha256.select(F.col("sha256").alias("now_sha256")), F.lit(True), "left")
+        wrong["the hash differs"] = ~F.col("sha256").eqNullSafe(F.col("now_sha256"))
+    return both.select(F.explode(F.array_compact(F.array(*(F.when(c, F.lit(f"manifest: {n}")) for n, c in wrong.items())))).alias("problem"))
+
+
+def audited(text: DataFrame, view: DataFrame | None = None, manifest: DataFrame | None = None, real: DataFrame | None = None, without_warehouse: bool = False, sha256: DataFrame | None = None) -> DataFrame:
     """problem and count of everything. A wrong schema ends the audit; a missing warehouse is a failure unless it was waived."""
     spark = text.sparkSession
     if found := schema_problems(text.columns):
@@ -113,7 +125,7 @@ def audited(text: DataFrame, view: DataFrame | None = None, manifest: DataFrame
     row = F.concat_ws(",", *text.columns)
     parts = [content_problems(text), pattern_counts(text, row).where("matches > 0").select(F.concat(F.lit("pattern: "), "pattern").alias("problem"), F.col("matches").alias("count"))]
     if manifest is not None:
-        parts.append(manifest_problems(text, manifest).select("problem", F.lit(1).cast("long").alias("count")))
+        parts.append(manifest_problems(text, manifest, sha256).select("problem", F.lit(1).cast("long").alias("count")))
     if view is not None:
         parts.append(invariant_problems(text, view))
         if real is not None:

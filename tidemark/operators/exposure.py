@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
 
@@ -17,6 +18,8 @@ from tidemark.sources.registry import LEVELS, METRICS
 #: The labels' prefixes.
 PREFIXES = {"conta": "Cliente", "campanha": "Campanha", "adset": "AdSet", "anuncio": "Anuncio"}
 DIGITS = 8
+#: Fixed value: what the key signs for its fingerprint.
+FINGERPRINTED = b"fingerprint-da-chave-de-pseudonimizacao"
 LEAST_KEY = 32
 PLACEHOLDERS = {"changeme", "change-me", "your-key-here", "placeholder", "secret", "example"}
 
@@ -43,7 +46,7 @@ def checked_key(key: str | None) -> bytes:
 
 def key_fingerprint(key: bytes) -> str:
     """16 digits that tell keys apart without showing them."""
-    return hmac.new(key, b"fingerprint", hashlib.sha256).hexdigest()[:16]
+    return hmac.new(key, FINGERPRINTED, hashlib.sha256).hexdigest()[:16].upper()
 
 
 def public_id(level: str, key: Column | str) -> Column:
@@ -69,21 +72,40 @@ def exposed(view: DataFrame, key: bytes) -> DataFrame:
     return rows.withColumns(ids).select(*EXPORTED)
 
 
+def _differs(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
+    """Groups of two grouped tables of the same columns that only one has, or with other values."""
+    values = [c for c in a.columns if c not in keys]
+    both = a.join(b.select(*keys, *(F.col(c).alias(f"_{c}") for c in values)), keys, "full_outer")
+    return both.where(reduce(lambda x, y: x | y, (~F.col(c).eqNullSafe(F.col(f"_{c}")) for c in values)))
+
+
 def post_checks(view: DataFrame, artifact: DataFrame) -> DataFrame:
-    """Problems of an artifact against the view, one a row: counts, grain, collisions, hierarchy, sums, days, versions."""
+    """Problems of an artifact against the view, one a row: columns, counts, sums by platform and day, the set of days, grain, collisions, hierarchy, versions, natural keys in any cell.
+
+    Both sides are compared as they are; nothing relies on how the artifact was made. Another set of columns ends the checks.
+    """
     spark = view.sparkSession
-    sums = lambda df: df.agg(F.count("*").alias("rows"), F.count_distinct("data").alias("days"), *(F.sum(m).cast("decimal(38,6)").alias(m) for m in METRICS))
-    a, b = sums(view), sums(artifact)
+    if list(artifact.columns) != EXPORTED:
+        leaked = sorted(c for c in artifact.columns if CLASSES.get(c) == FORBIDDEN)
+        return spark.createDataFrame([(p,) for p in ["the columns differ", *(f"forbidden column: {c}" for c in leaked)]], "problem string")
+    any_of = lambda rows, text: rows.limit(1).select(F.lit(text).alias("problem"))
+    sums = lambda df, *keys: df.groupBy(*keys).agg(F.count("*").alias("rows"), *(F.sum(m).cast("decimal(38,6)").alias(m) for m in METRICS))
+    totals = lambda df: sums(df, "data").agg(F.sum("rows").alias("rows"), F.count("*").alias("days"), *(F.sum(m).cast("decimal(38,6)").alias(m) for m in METRICS))
+    a, b = totals(view), totals(artifact)
     joined = a.select(*(F.col(c).alias(f"a_{c}") for c in a.columns)).join(b, F.lit(True))
     parts = [joined.where(~F.col(f"a_{c}").eqNullSafe(F.col(c))).select(F.lit(f"{c} differs").alias("problem")) for c in a.columns]
+    parts.append(any_of(_differs(sums(view, "plataforma", "data"), sums(artifact, "plataforma", "data"), ["plataforma", "data"]), "sums by platform and day differ"))
+    days = lambda df: df.select(F.col("data").cast("string").alias("data")).distinct().withColumn("found", F.lit(True))
+    parts.append(any_of(_differs(days(view), days(artifact), ["data"]), "the set of days differs"))
     cardinal = view.agg(*(F.count_distinct(f"{level}_nk").alias(f"a_{level}") for level in LEVELS)).join(artifact.agg(*(F.count_distinct(f"{level}_id").alias(level) for level in LEVELS)), F.lit(True))
     parts += [cardinal.where(F.col(f"a_{level}") != F.col(level)).select(F.lit(f"two keys of {level} share a label").alias("problem")) for level in LEVELS]
-    parts += [one_parent(artifact, f"{child}_id", f"{parent}_id").limit(1).select(F.lit(f"a {child} has two parents").alias("problem")) for parent, child in zip(LEVELS, LEVELS[1:], strict=False)]
-    parts.append(artifact.groupBy("anuncio_id", "data").agg(F.count("*").alias("n")).where("n > 1").limit(1).select(F.lit("the grain isn't unique").alias("problem")))
-    survives = reduce(lambda x, y: x | y, (F.col(f"{level}_id").rlike("^[0-9a-f]{32}$") for level in LEVELS))
-    parts.append(artifact.where(survives).limit(1).select(F.lit("a natural key survives").alias("problem")))
-    if list(artifact.columns) != EXPORTED:
-        parts.append(spark.createDataFrame([("the columns differ",)], "problem string"))
+    parts += [any_of(one_parent(artifact, f"{child}_id", f"{parent}_id"), f"a {child} has two parents") for parent, child in zip(LEVELS, LEVELS[1:], strict=False)]
+    parts.append(any_of(artifact.groupBy("anuncio_id", "data").agg(F.count("*").alias("n")).where("n > 1"), "the grain isn't unique"))
+    versions = lambda df: df.select(F.explode(F.array(*(F.struct(F.lit(level).alias("level"), F.col(f"{level}_versao").cast("long").alias("version")) for level in LEVELS))).alias("x")).groupBy("x.level", "x.version").agg(F.count("*").alias("rows"))
+    parts.append(_differs(versions(view), versions(artifact), ["level", "version"]).select(F.concat(F.lit("versions of "), "level", F.lit(" differ")).alias("problem")).distinct())
+    cells = artifact.select(F.explode(F.array(*(F.col(c).cast("string") for c in artifact.columns))).alias("cell")).distinct()
+    keys = view.select(F.explode(F.array(*(F.struct(F.lit(level).alias("level"), F.col(f"{level}_nk").alias("cell")) for level in LEVELS))).alias("x")).select("x.*").distinct()
+    parts.append(keys.join(cells, "cell", "left_semi").select(F.concat(F.lit("a natural key of "), "level", F.lit(" survives")).alias("problem")).distinct())
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -101,6 +123,53 @@ def guard_target(path: str, published: str, allow: bool = False) -> str:
 
 # Raw records.
 
+#: The labels that may stay in nested arrays.
+ALLOWED_LABELS = [
+    "comment",
+    "landing_page_view",
+    "lead",
+    "like",
+    "link_click",
+    "offsite_complete_registration_add_meta_leads",
+    "offsite_content_view_add_20_s_calls",
+    "offsite_content_view_add_meta_leads",
+    "offsite_conversion.fb_pixel_custom",
+    "offsite_conversion.fb_pixel_lead",
+    "offsite_conversion.fb_pixel_view_content",
+    "offsite_lead_add_20_s_calls",
+    "offsite_search_add_meta_leads",
+    "omni_landing_page_view",
+    "omni_view_content",
+    "onsite_conversion.lead",
+    "onsite_conversion.lead_grouped",
+    "onsite_conversion.messaging_block",
+    "onsite_conversion.messaging_conversation_replied_7d",
+    "onsite_conversion.messaging_conversation_started_7d",
+    "onsite_conversion.messaging_first_reply",
+    "onsite_conversion.messaging_user_depth_2_message_send",
+    "onsite_conversion.messaging_user_depth_3_message_send",
+    "onsite_conversion.messaging_user_depth_5_message_send",
+    "onsite_conversion.post_net_comment",
+    "onsite_conversion.post_net_like",
+    "onsite_conversion.post_net_save",
+    "onsite_conversion.post_save",
+    "onsite_conversion.post_unlike",
+    "onsite_conversion.post_unsave",
+    "onsite_conversion.total_messaging_connection",
+    "onsite_web_app_view_content",
+    "onsite_web_lead",
+    "onsite_web_view_content",
+    "page_engagement",
+    "photo_view",
+    "post",
+    "post_engagement",
+    "post_interaction_gross",
+    "post_interaction_net",
+    "post_reaction",
+    "video_view",
+    "view_content",
+]
+
 ID, NAME, METRIC_FIELD, DAY, NESTED = "id", "name", "metric", "day", "nested"
 
 
@@ -183,9 +252,10 @@ def label_collisions(labels: DataFrame, group: list[str], label: str, identity:
     return labels.groupBy(*group, label).agg(F.count_distinct(identity).alias("identities")).where("identities > 1")
 
 
-def preservation_violations(before: DataFrame, after: DataFrame, kept: list[str], changed: list[str], key: str = "row_id") -> DataFrame:
-    """Rows where a value that must stay differs, or one that must change doesn't."""
+def preservation_violations(before: DataFrame, after: DataFrame, kept: list[str], changed: list[str], key: str = "row_id", same: Mapping[str, str] | None = None) -> DataFrame:
+    """Rows where a value that must stay differs, one that must change doesn't, or two columns of `same` have different labels afterwards. Rows that one side lacks differ. A null or empty value has nothing to change."""
     b = after.select(F.col(key), *(F.col(c).alias(f"_{c}") for c in (*kept, *changed)))
     rows = before.join(b, key, "full_outer")
-    bad = [F.when(~F.col(c).eqNullSafe(F.col(f"_{c}")), F.lit(f"changed: {c}")) for c in kept] + [F.when(F.col(c).eqNullSafe(F.col(f"_{c}")), F.lit(f"kept: {c}")) for c in changed]
+    bad = [F.when(~F.col(c).eqNullSafe(F.col(f"_{c}")), F.lit(f"changed: {c}")) for c in kept] + [F.when((F.length(c) > 0) & F.col(c).eqNullSafe(F.col(f"_{c}")), F.lit(f"kept: {c}")) for c in changed]
+    bad += [F.when(~F.col(f"_{x}").eqNullSafe(F.col(f"_{y}")), F.lit(f"{x} isn't {y}")) for x, y in (same or {}).items()]
     return rows.select(key, F.explode(F.array_compact(F.array(*bad))).alias("problem"))

@@ -15,7 +15,8 @@ from tidemark.operators import audit, exposure, parity, quality, snapshots
 from tidemark.operators.dimensional import top_k
 from tidemark.plans import reports, samples, staging
 from tidemark.plans.samples import FLAT_SQL, RAW_SQL, SILVER_SQL, STAR_SQL, flat_fact, raw_records, table, tables, view_sql
-from tidemark.plans.star import checks, consumption
+from tidemark.plans.publish import DATA_NAME, export, publish_anonymised
+from tidemark.plans.star import checks, consumption, materialise
 from tidemark.sources import raw
 from tidemark.sources.registry import LEVELS, METRICS, SOURCES
 
@@ -106,9 +107,57 @@ def golden_counts(spark, sf_dir):
     return reports.collect_aggregates(tables(spark, sf_dir))["contagens"]
 
 
+@query({"linhas": "bigint", **{m: MONEY for m in METRICS}}, f"WITH {STAR_SQL} SELECT count(*) linhas, {', '.join(f'sum({m}) {m}' for m in METRICS)} FROM fato_metricas")
+def golden_fact_totals(spark, sf_dir):
+    return reports.collect_aggregates(tables(spark, sf_dir))["totais_fato"]
+
+
+@query("linhas bigint, spend money", f"WITH {view_sql()} SELECT count(*) linhas, sum(spend) spend FROM vw")
+def golden_traversal(spark, sf_dir):
+    return reports.collect_aggregates(tables(spark, sf_dir))["travessia"]
+
+
 # Layers.
 
 
+@query("object string, rows bigint", f"WITH {STAR_SQL} " + " UNION ALL ".join(f"SELECT '{n}' AS object, count(*) AS rows FROM {t}" for n, t in [("stg_ads_unified", "silver"), ("dim_plataforma", "dim_plataforma"), *((f"dim_{x}", f"dim_{x}") for x in LEVELS), ("dim_tempo", "dim_tempo"), ("fato_metricas", "fato_metricas")]))
+def stored_layers(spark, sf_dir):
+    """The star as stored tables, counted."""
+    return reports.layer_volumetry(materialise(staging.silver(raw_records(spark, sf_dir)), raw.scratch_path(spark, "layers")))
+
+
+@query("batch_id string, source string, start_date date, end_date date, row_count bigint", f"WITH {RAW_SQL} SELECT substr(source, 1, 1) || extracted_day batch_id, source, min(reference_date) start_date, max(reference_date) end_date, count(*) row_count FROM raw GROUP BY 1, 2")
+def bronze_load(spark, sf_dir):
+    """Raw records appended to a stored raw table; the log of the committed batches as read back."""
+    where = raw.scratch_path(spark, "bronze")
+    raw.load_sources([raw_records(spark, sf_dir).drop("row_id")], f"{where}/raw", f"{where}/log")
+    return raw.ingestion_log(raw.read_bronze(spark, f"{where}/raw", f"{where}/log"))
+
+
+@query("problem string, rows bigint", "SELECT unnest(['null extracted_at', 'null payload', 'null reference_date', 'unknown source']) problem, unnest([count(*) FILTER (WHERE event_id % 5 = 0), count(*) FILTER (WHERE props IS NULL), count(*) FILTER (WHERE user_id % 7 = 0), count(*) FILTER (WHERE user_id % 3 = 0)]) AS rows FROM events")
+def raw_constraints(spark, sf_dir):
+    """`events` as raw rows of which some break the raw table's constraints; a constraint that holds has 0 rows."""
+    e = table(spark, sf_dir, "events")
+    rows = e.select(
+        F.when(F.col("user_id") % 3 == 0, "other").otherwise("meta_ads").alias("source"), F.when(F.col("user_id") % 7 != 0, F.to_date("ts")).alias("reference_date"), F.when(F.col("event_id") % 5 != 0, F.col("ts")).alias("extracted_at"),
+        F.lit("b").alias("batch_id"), F.parse_json("props").alias("payload"),
+    )
+    known = spark.createDataFrame([(p,) for p in ("null extracted_at", "null payload", "null reference_date", "unknown source")], "problem string")
+    found = raw.constraint_violations(rows).groupBy("problem").agg(F.sum("rows").alias("rows"))
+    return known.join(found, "problem", "full_outer").select("problem", F.coalesce("rows", F.lit(0)).alias("rows"))
+
+
+@query("accepted bigint, rejected bigint, first_day date, last_day date", "SELECT count(*) FILTER (WHERE user_id % 4 > 0) accepted, count(*) FILTER (WHERE user_id % 4 = 0) rejected, min(CAST(ts AS DATE)) FILTER (WHERE user_id % 4 > 0) first_day, max(CAST(ts AS DATE)) FILTER (WHERE user_id % 4 > 0) last_day FROM events")
+def dated_records(spark, sf_dir):
+    """`events` as records whose date is missing, empty, impossible or not a date for every fourth user: accepted and rejected."""
+    e = table(spark, sf_dir, "events")
+    bad = F.element_at(F.array(F.lit(None).cast("string"), F.lit(""), F.lit("2026-02-30"), F.lit("soon")), (F.col("event_id") % 4 + 1).cast("int"))
+    records = e.select(F.parse_json(F.to_json(F.struct(F.when(F.col("user_id") % 4 == 0, bad).otherwise(F.to_date("ts").cast("string")).alias("date_start")))).alias("payload"))
+    good, rejected = raw.dated(records, SOURCES["meta"], "b")
+    n = good.agg(F.count("*").alias("accepted"), F.min("reference_date").alias("first_day"), F.max("reference_date").alias("last_day"))
+    return n.join(rejected.agg(F.count("*").alias("rejected")), F.lit(True))
+
+
 @query({"source": "string", "reference_date": "date", "extracted_day": "date", "ad": "string", "spend": MONEY}, f"WITH {RAW_SQL} SELECT source, reference_date, extracted_day, anuncio_external_id ad, spend FROM raw r WHERE extracted_day = (SELECT max(extracted_day) FROM raw x WHERE x.source = r.source AND x.reference_date = r.reference_date)")
 def latest_snapshot(spark, sf_dir):
     return _amounts(snapshots.latest_snapshot(raw_records(spark, sf_dir), ["source", "reference_date"], "extracted_at"))
@@ -464,6 +513,8 @@ def _lost_day_sql() -> str:
     """What differs between the view and itself without its last day."""
     sums = lambda t: f"SELECT count(*) AS rows, count(DISTINCT data) AS days, {', '.join(f'sum({m}) {m}' for m in METRICS)}, {', '.join(f'count(DISTINCT {x}_nk) n_{x}' for x in LEVELS)} FROM {t}"
     parts = [f"SELECT '{c} differs' problem FROM a, b WHERE a.{c} IS DISTINCT FROM b.{c}" for c in ("rows", "days", *METRICS)] + [f"SELECT 'two keys of {x} share a label' problem FROM a, b WHERE a.n_{x} <> b.n_{x}" for x in LEVELS]
+    parts += [f"SELECT '{p}' problem WHERE EXISTS (SELECT data FROM vw EXCEPT SELECT data FROM less)" for p in ("sums by platform and day differ", "the set of days differs")]
+    parts += [f"SELECT 'versions of {x} differ' problem WHERE EXISTS (SELECT {x}_versao, count(*) FROM vw GROUP BY 1 EXCEPT SELECT {x}_versao, count(*) FROM less GROUP BY 1)" for x in LEVELS]
     return f"WITH {view_sql()}, less AS (SELECT * FROM vw WHERE data < (SELECT max(data) FROM vw)), a AS ({sums('vw')}), b AS ({sums('less')}) {' UNION ALL '.join(parts)}"
 
 
@@ -488,6 +539,48 @@ def audit_findings(spark, sf_dir):
     return audit.audited(raw.as_text(artifact), view, real=real)
 
 
+def _tampered_sql() -> str:
+    """Findings in an artifact whose accounts bear their real names on the last day."""
+    counts = {
+        "conta_id out of shape": "SELECT count(*) FROM t WHERE last_day",
+        "a campanha has more than one conta": "SELECT count(*) FROM (SELECT campanha_nk FROM t GROUP BY 1 HAVING count(DISTINCT conta) > 1)",
+        "the number of conta differs": "SELECT abs(count(DISTINCT conta) - count(DISTINCT conta_nk)) FROM t",
+        "leak in conta_id": "SELECT count(DISTINCT conta_nome) FROM t WHERE last_day",
+    }
+    parts = " UNION ALL ".join(f"SELECT '{p}' problem, ({q}) AS count" for p, q in counts.items())
+    return f"WITH {view_sql()}, d AS (SELECT *, data = (SELECT max(data) FROM vw) last_day FROM vw), t AS (SELECT *, CASE WHEN last_day THEN conta_nome ELSE conta_nk END conta FROM d) SELECT * FROM ({parts}) WHERE count > 0"
+
+
+@query("problem string, count bigint", _tampered_sql())
+def audit_of_a_tampered_artifact(spark, sf_dir):
+    """The audit of an artifact whose accounts bear their real names on the last day."""
+    view, artifact = _exposed(spark, sf_dir)
+    accounts = exposure.hmac_pads(view.select("conta_nk", "conta_nome").distinct(), DEMO_KEY).select(exposure.public_id("conta", "conta_nk").alias("conta_id"), "conta_nome")
+    rows = artifact.join(accounts, "conta_id").join(F.broadcast(view.agg(F.max("data").alias("last_day"))), F.lit(True))
+    tampered = rows.withColumn("conta_id", F.when(F.col("data") == F.col("last_day"), F.col("conta_nome")).otherwise(F.col("conta_id"))).select(*artifact.columns)
+    real = view.select(F.explode(F.array(*(f"{x}_nome" for x in LEVELS), *(f"{x}_nk" for x in LEVELS))).alias("value"))
+    return audit.audited(raw.as_text(tampered), view, real=real)
+
+
+@query(_EXPOSED, f"WITH {view_sql()} SELECT *, {_IDS_SQL} FROM vw")
+def exported_csv(spark, sf_dir):
+    """The view through the export with its checks and manifest, as read back from the published CSV."""
+    target = raw.scratch_path(spark, "export")
+    export(_exposed(spark, sf_dir)[0], DEMO_KEY.decode(), target, "/published")
+    return raw.read_text_csv(spark, f"{target}/{DATA_NAME}")
+
+
+@query("account_id string, ad_id string, rows bigint, spend money", f"WITH {RAW_SQL} SELECT {_label('conta', "'bruto:v1|meta_ads|A' || (u % 4)")} account_id, {_label('anuncio', "'bruto:v1|meta_ads|U' || u")} ad_id, count(*) AS rows, sum(v) spend FROM g WHERE u % 2 = 0 GROUP BY 1, 2")
+def anonymised_files(spark, sf_dir):
+    """The anonymised records through the writer with its checks and manifest, as read back from the published files."""
+    target = raw.scratch_path(spark, "anonymised")
+    allowed = [*exposure.ALLOWED_LABELS, "onsite_conversion.ig_profile_view", "purchase", "omni_purchase"]
+    publish_anonymised(raw_records(spark, sf_dir).where("source = 'meta_ads'"), "meta_ads", "meta_ads", DEMO_KEY.decode(), target, allowed)
+    v = F.parse_json("value")
+    rows = spark.read.text(f"{target}/records.json").select(*(F.variant_get(v, f"$.{c}", "string").alias(c) for c in ("account_id", "ad_id")), F.variant_get(v, "$.spend", MONEY).alias("spend"))
+    return rows.groupBy("account_id", "ad_id").agg(F.count("*").alias("rows"), F.sum("spend").alias("spend"))
+
+
 _PATTERN_ROWS = " UNION ALL ".join("SELECT '{}' pattern, CAST(coalesce(sum(n), 0) AS BIGINT) matches, count(*) FILTER (WHERE n > 0) AS rows FROM (SELECT len(regexp_extract_all(coalesce(text, ''), '{}')) n FROM documents)".format(name, p.replace("(?iU)", "(?i)").replace("(?U)", "").replace("'", "''")) for name, p in audit.FORBIDDEN_PATTERNS.items())
 
 

@@ -36,6 +36,24 @@ def star(silver: DataFrame) -> dict[str, DataFrame]:
     return {"stg_ads_unified": silver, "dim_plataforma": dim_platform(silver), **dims, "dim_tempo": calendar(silver, "data"), "fato_metricas": fact(silver, dims["dim_anuncio"])}
 
 
+def materialise(silver: DataFrame, folder: str) -> dict[str, DataFrame]:
+    """The star as Parquet tables below a folder, each built once from those stored before it; the fact lies in ranges of its ad."""
+    spark, out = silver.sparkSession, {}
+
+    def store(name: str, df: DataFrame) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{folder}/{name}")
+        out[name] = spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+        return out[name]
+
+    stored = store("stg_ads_unified", silver)
+    store("dim_plataforma", dim_platform(stored))
+    for level in LEVELS:
+        store(f"dim_{level}", dim_level(stored, level))
+    store("dim_tempo", calendar(stored, "data"))
+    store("fato_metricas", fact(stored, out["dim_anuncio"]).repartitionByRange("anuncio_sk", "tempo_sk").sortWithinPartitions("anuncio_sk", "tempo_sk"))
+    return out
+
+
 def consumption(tables: dict[str, DataFrame], validity: bool = True) -> DataFrame:
     """The fact with every level's version of its day: 33 columns. Without validity it is the wrong join that checks must catch."""
     days = tables["dim_tempo"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import tempfile
 import uuid
 from collections.abc import Mapping
 from functools import reduce
@@ -13,7 +14,7 @@ from pyspark.sql.window import Window
 
 from tidemark.functions.columns import parsed_date
 from tidemark.operators.quality import not_null
-from tidemark.sources.registry import Source, unknown_sources
+from tidemark.sources.registry import SOURCES, Source
 
 MANIFEST_VERSION = 1
 MANIFEST = "versao int, fonte string, run_id string, start_date string, end_date string, extraido_em string, registros long, sha256 string"
@@ -49,6 +50,13 @@ def ingestion_log(raw: DataFrame) -> DataFrame:
     return raw.groupBy("batch_id", "source").agg(F.min("reference_date").alias("start_date"), F.max("reference_date").alias("end_date"), F.count("*").alias("row_count"), F.max("extracted_at").alias("ingested_at")).select("batch_id", "source", "start_date", "end_date", "row_count", "ingested_at")
 
 
+def constraint_violations(rows: DataFrame) -> DataFrame:
+    """Source, problem and rows of what the raw table doesn't take: sources that aren't registered, and nulls in its columns."""
+    known = F.col("source").isin([s.name for s in SOURCES.values()])
+    wrong = {"unknown source": F.col("source").isNotNull() & ~known} | {f"null {c}": F.col(c).isNull() for c in ("source", "reference_date", "extracted_at", "batch_id", "payload")}
+    return rows.select("source", F.explode(F.array_compact(F.array(*(F.when(c, F.lit(n)) for n, c in wrong.items())))).alias("problem")).groupBy("source", "problem").agg(F.count("*").alias("rows"))
+
+
 def append_bronze(raw: DataFrame, path: str) -> None:
     """Appends rows, partitioned by source and day; nothing is ever updated. A large day is split over several tasks."""
     raw.hint("rebalance", "source", "reference_date").write.mode("append").partitionBy("source", "reference_date").parquet(path)
@@ -57,8 +65,8 @@ def append_bronze(raw: DataFrame, path: str) -> None:
 def load_sources(parts: list[DataFrame], bronze: str, log: str) -> DataFrame:
     """Appends several sources in one job; the log rows, written afterwards, are the commit mark that readers join."""
     rows = reduce(DataFrame.unionByName, parts)
-    if unknown_sources(rows).limit(1).count():
-        raise ValueError("rows of a source that isn't registered")
+    if broken := constraint_violations(rows).select("problem").distinct().collect():
+        raise ValueError("; ".join(sorted(r["problem"] for r in broken)))
     append_bronze(rows, bronze)
     spark = rows.sparkSession
     # sources and days are the table's partitions, so only those of this load are read
@@ -79,6 +87,12 @@ def file_hashes(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", "length", F.sha2("content", 256).alias("sha256"))
 
 
+def folder_hash(spark: SparkSession, path: str) -> DataFrame:
+    """One row: the SHA-256 of the hashes of a folder's files in the order of their names. Only names and hashes meet in one place."""
+    files = F.array_sort(F.collect_list(F.struct(F.substring_index("path", "/", -1).alias("name"), "sha256")))
+    return file_hashes(spark, path).agg(F.sha2(F.array_join(files["sha256"], "\n"), 256).alias("sha256"))
+
+
 def write_manifest(spark: SparkSession, artifact: str, target: str, source: Source, run_id: str, start: str, end: str, records: int) -> None:
     """Describes an artifact beside it: what it is, its window and its content's hash."""
     made = dt.datetime.now(dt.UTC).isoformat()
@@ -87,16 +101,38 @@ def write_manifest(spark: SparkSession, artifact: str, target: str, source: Sour
 
 
 def validate_artifacts(hashes: DataFrame, manifests: DataFrame, source: Source, run_id: str, start: str, end: str) -> DataFrame:
-    """All problems of a source's artifacts against their manifests, one a row; none is valid. Zero records are legitimate."""
-    both = manifests.alias("m").join(hashes.select("path", F.col("sha256").alias("found")).alias("h"), F.col("m.sha256") == F.col("found"), "full_outer")
+    """All problems of a source's artifacts against their manifests, one a row; none is valid. Zero records are legitimate, an unreadable manifest has every problem."""
+    both = manifests.withColumn("described", F.lit(True)).alias("m").join(hashes.select("path", F.col("sha256").alias("found")).alias("h"), F.col("m.sha256") == F.col("found"), "full_outer")
+    other = lambda c, v: F.col("described") & ~F.col(c).eqNullSafe(F.lit(v))
     wrong = {
-        "version": F.col("versao") != MANIFEST_VERSION, "source": F.col("fonte") != source.name, "run": F.col("run_id") != run_id,
-        "window": (F.col("start_date") != start) | (F.col("end_date") != end), "no file of this content": F.col("path").isNull(), "no manifest of this content": F.col("m.sha256").isNull(),
+        "version": other("versao", MANIFEST_VERSION), "source": other("fonte", source.name), "run": other("run_id", run_id), "window": other("start_date", start) | other("end_date", end),
+        "no number of records": F.col("described") & F.coalesce(F.col("registros") < 0, F.lit(True)), "no file of this content": F.col("path").isNull(), "no manifest of this content": F.col("m.sha256").isNull() & F.col("path").isNotNull(),
     }
     problems = F.array_compact(F.array(*(F.when(c, F.lit(name)) for name, c in wrong.items())))
     return both.select("path", F.explode(problems).alias("problem"))
 
 
+def load_verified(spark: SparkSession, artifacts: Mapping[Source, tuple[str, str]], run_id: str, start: str, end: str, bronze: str, log: str, batch_id: str | None = None) -> DataFrame:
+    """Loads the artifacts of a run, source -> (artifact, manifest), all or none: every source is checked before anything is appended.
+
+    A missing manifest, one of another run or window, another content, another number of records, or records without a date refuse the load.
+    """
+    found, parts = [], []
+    for source, (artifact, manifest) in artifacts.items():
+        described = spark.read.schema(MANIFEST).json(manifest)
+        if described.limit(1).count() == 0:
+            found.append(f"{source.name}: no manifest")
+            continue
+        found += [f"{source.name}: {r['problem']}" for r in validate_artifacts(file_hashes(spark, artifact), described, source, run_id, start, end).select("problem").distinct().collect()]
+        good, bad = dated(read_json_array(spark, artifact), source, batch_id)
+        counts = good.unionByName(bad).agg(F.count("*").alias("n"), F.count_if(F.col("reference_date").isNull()).alias("bad")).join(described.agg(F.sum("registros").alias("registros")), F.lit(True)).first()
+        found += [f"{source.name}: another number of records"] * (counts["n"] != counts["registros"]) + [f"{source.name}: records without a date"] * (counts["bad"] > 0)
+        parts.append(good)
+    if found:
+        raise ValueError("; ".join(sorted(found)))
+    return load_sources(parts, bronze, log)
+
+
 def read_text_csv(spark: SparkSession, path: str) -> DataFrame:
     """A CSV whose cells stay text."""
     return spark.read.csv(path, header=True, inferSchema=False)
@@ -119,6 +155,22 @@ def write_sorted_json(df: DataFrame, path: str, parts: int = 8) -> None:
     lines.repartitionByRange(parts, "value").sortWithinPartitions("value").write.mode("overwrite").text(path)
 
 
+def write_fact(df: DataFrame, path: str, key: str = "anuncio_id", day: str = "data") -> None:
+    """A flat fact as Parquet with Snappy, in ranges of its key, so that a look-up of one key reads few row groups."""
+    df.repartitionByRange(key, day).sortWithinPartitions(key, day).write.mode("overwrite").option("compression", "snappy").parquet(path)
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path in the folder that driver and executors share; a local session without that setting gets a temporary one."""
+    where = spark.conf.get("spark.checkpoint.dir", None)
+    if not where:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        where = tempfile.mkdtemp(prefix="tidemark-")
+        spark.conf.set("spark.checkpoint.dir", where)
+    return f"{where.rstrip('/')}/tidemark/{label}-{uuid.uuid4().hex}"
+
+
 def fingerprint(df: DataFrame) -> DataFrame:
     """Rows and an order-insensitive sum of row hashes; repeated rows count."""
     return df.agg(F.count("*").alias("rows"), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")).alias("fingerprint"))
