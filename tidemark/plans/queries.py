@@ -478,8 +478,15 @@ def chained_keys(spark, sf_dir):
 
 
 def _exposed(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    view = _view(spark, sf_dir).persist()
-    return view, exposure.exposed(view, exposure.checked_key(DEMO_KEY.decode())).persist()
+    """The view, and its artifact, both stored, as their checks read them many times."""
+    view = _stored(_view(spark, sf_dir), "view")
+    return view, _stored(exposure.exposed(view, exposure.checked_key(DEMO_KEY.decode())), "artifact")
+
+
+def _stored(df: DataFrame, label: str) -> DataFrame:
+    path = raw.scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _blob(b: bytes) -> str:
