@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import bounded_batches, new_path
+from tidemark.llm.shared import PIECE_BYTES, bounded_batches, new_path, utf8
 
 _END = "\r\n\r\n"
 
@@ -46,10 +46,6 @@ def _lines(*parts) -> Column:
     return F.concat(*(p if isinstance(p, Column) else F.lit(p) for p in parts))
 
 
-def _bytes(n: Column) -> Column:
-    return n.cast("string")
-
-
 def captures(df: DataFrame, how: Archive = Archive()) -> DataFrame:
     """id, url, payload (binary), its digest, record key, and the key of the response that it revisits, if any (then without payload).
 
@@ -77,30 +73,50 @@ def captures(df: DataFrame, how: Archive = Archive()) -> DataFrame:
     return one.union(all_short).union(others)
 
 
+_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
+
+
+def cut(common: bytes, key: bytes, payload: bytes, how: Archive) -> Iterator[bytes]:
+    """The records of one response without their ends: the payload in chunks behind the HTTP head, cut into segments. `common` are the fields that all its records bear."""
+    framed = [_HEAD]
+    for at in range(0, len(payload), how.chunk_bytes):
+        piece = payload[at : at + how.chunk_bytes]
+        framed += (b"%x\r\n" % len(piece), piece, b"\r\n")
+    framed.append(b"0\r\n\r\n")
+    block = b"".join(framed)
+    last = (len(block) - 1) // how.segment_bytes
+    for i in range(last + 1):
+        part = block[i * how.segment_bytes : (i + 1) * how.segment_bytes]
+        if i == 0:
+            fields = [b"WARC/1.1\r\nWARC-Type: response", common, b"Content-Type: application/http;msgtype=response\r\nWARC-Record-ID: <urn:capture:%b>\r\n" % key]
+        else:
+            fields = [b"WARC/1.1\r\nWARC-Type: continuation", common, b"WARC-Record-ID: <urn:capture:%b:%d>\r\nWARC-Segment-Origin-ID: <urn:capture:%b>\r\n" % (key, i + 1, key)]
+        if last:
+            fields.append(b"WARC-Segment-Number: %d\r\n" % (i + 1))
+            if i == last:
+                fields.append(b"WARC-Segment-Total-Length: %d\r\n" % len(block))
+        yield b"".join([*fields, b"Content-Length: %d" % len(part), _END.encode(), part])
+
+
 def _records(c: DataFrame, how: Archive) -> DataFrame:
     """One row a record: its text without the record end. Bytes pass through strings unchanged."""
-    size, chunk = F.octet_length("payload"), how.chunk_bytes
-    steps = F.when(size > 0, F.sequence(F.lit(0), F.floor((size - 1) / chunk).cast("int"))).otherwise(F.array().cast("array<int>"))
-    piece = lambda i: F.substring(F.col("payload"), (i * chunk + 1).cast("int"), F.lit(chunk))
-    framed = F.transform(steps, lambda i: _lines(F.lower(F.hex(F.octet_length(piece(i)).cast("long"))), "\r\n").cast("binary"))
-    bodies = F.zip_with(framed, F.transform(steps, piece), lambda h, b: F.concat(h, b, F.lit("\r\n").cast("binary")))
-    body = F.concat(F.array_join(F.transform(bodies, lambda b: b.cast("string")), "").cast("binary"), F.lit("0\r\n\r\n").cast("binary"))
-    head = F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n").cast("binary")
-    known = lambda kind: _lines("WARC/1.1\r\nWARC-Type: ", kind, "\r\nWARC-Date: 2024-01-01T00:00:00Z\r\nWARC-Target-URI: ", F.regexp_replace("url", "[\r\n]", " "), "\r\nWARC-Payload-Digest: sha256:", F.col("digest"), "\r\nX-Page-Id: ", F.coalesce(F.col("id").cast("string"), F.lit("")), "\r\n")
-    one = c.where("revisits is null").withColumn("block", F.concat(head, body)).withColumn("total", F.octet_length("block"))
-    last = F.floor((F.col("total") - 1) / how.segment_bytes).cast("int")
-    one = one.withColumn("last", last).select("*", F.explode(F.sequence(F.lit(0), last)).alias("i"))
-    part = F.substring(F.col("block"), (F.col("i") * how.segment_bytes + 1).cast("int"), F.lit(how.segment_bytes))
-    segmented, is_first, is_last = F.col("last") > 0, F.col("i") == 0, F.col("i") == F.col("last")
-    number = lambda: _bytes(F.col("i") + 1)
-    fields = _lines(
-        F.when(is_first, known("response")).otherwise(known("continuation")),
-        F.when(is_first, _lines("Content-Type: application/http;msgtype=response\r\nWARC-Record-ID: <urn:capture:", F.col("key"), ">\r\n")).otherwise(_lines("WARC-Record-ID: <urn:capture:", F.col("key"), ":", number(), ">\r\nWARC-Segment-Origin-ID: <urn:capture:", F.col("key"), ">\r\n")),
-        F.when(segmented, _lines("WARC-Segment-Number: ", number(), "\r\n")).otherwise(F.lit("")),
-        F.when(segmented & is_last, _lines("WARC-Segment-Total-Length: ", _bytes(F.col("total")), "\r\n")).otherwise(F.lit("")),
-    )
-    responses = one.select(_lines(fields, "Content-Length: ", _bytes(F.octet_length(part)), _END, part.cast("string")).alias("value"))
-    revisit = _lines(known("revisit"), "WARC-Record-ID: <urn:capture:", F.col("key"), ">\r\nWARC-Refers-To: <urn:capture:", F.col("revisits"), ">\r\nWARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest\r\nContent-Length: 0", _END)
+    bounded_batches(c.sparkSession)
+    common = _lines("\r\nWARC-Date: 2024-01-01T00:00:00Z\r\nWARC-Target-URI: ", F.regexp_replace("url", "[\r\n]", " "), "\r\nWARC-Payload-Digest: sha256:", F.col("digest"), "\r\nX-Page-Id: ", F.coalesce(F.col("id").cast("string"), F.lit("")), "\r\n")
+
+    def run(batches):
+        for batch in batches:
+            out, held = [], 0
+            for row in zip(*(utf8(batch.column(i)) for i in range(3)), strict=True):
+                for record in cut(*row, how):
+                    out.append(record)
+                    held += len(record)
+                    if held > PIECE_BYTES:
+                        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
+                        out, held = [], 0
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
+
+    responses = c.where("revisits is null").select(common.alias("common"), "key", "payload").mapInArrow(run, "value binary").select(F.col("value").cast("string").alias("value"))
+    revisit = _lines("WARC/1.1\r\nWARC-Type: revisit", common, "WARC-Record-ID: <urn:capture:", F.col("key"), ">\r\nWARC-Refers-To: <urn:capture:", F.col("revisits"), ">\r\nWARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest\r\nContent-Length: 0", _END)
     return responses.union(c.where("revisits is not null").select(revisit.alias("value")))
 
 
