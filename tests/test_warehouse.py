@@ -35,8 +35,10 @@ def tables(bronze):
 
 
 @pytest.fixture(scope="module")
-def view(tables):
-    return consumption(tables).persist()
+def view(spark, tables, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("view") / "v")
+    consumption(tables).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def test_sums_by_platform_and_day(view):
@@ -221,8 +223,9 @@ def test_export_publishes_all_or_nothing(spark, view, tmp_path):
     assert raw.fingerprint(raw.read_text_csv(spark, f"{target}/{publish.DATA_NAME}")).first() == rows
 
 
-def test_post_checks_find_each_fault(view):
-    artifact = exposure.exposed(view, KEY).persist()
+def test_post_checks_find_each_fault(spark, view, tmp_path):
+    exposure.exposed(view, KEY).write.parquet(f"{tmp_path}/a")
+    artifact = spark.read.parquet(f"{tmp_path}/a")
     problems = lambda df: {r["problem"] for r in exposure.post_checks(view, df).collect()}
     first = F.col("data") == "2026-01-01"
     moved = artifact.withColumn("data", F.when(first, F.lit("2026-01-04").cast("date")).otherwise(F.col("data")))
