@@ -56,21 +56,21 @@ def captures(df: DataFrame, how: Archive = Archive()) -> DataFrame:
     rows = df.select(F.col("page_id").alias("id"), F.coalesce("url", F.lit("urn:none")).alias("url"), payload.alias("payload"))
     rows = rows.withColumn("digest", F.sha2("payload", 256)).withColumn("bytes", F.octet_length("payload").cast("long"))
     rows = rows.withColumn("key", F.concat_ws("-", F.coalesce(F.col("id").cast("string"), F.lit("none")), F.substring("digest", 1, 16), F.lower(F.hex(F.xxhash64("url")))))
-    long, short = rows.where(F.col("bytes") >= how.least_revisit), rows.where(F.col("bytes") < how.least_revisit)
     place = F.struct(F.col("id").isNull().alias("last"), "id", "key")
-    numbered = lambda c, start: c.select("*", F.explode(F.sequence(start, F.col("n") - 1)).alias("copy")).withColumn("key", F.concat_ws("-", "key", F.col("copy").cast("string")))
-    names = ["id", "url", "payload", "digest", "key", "revisits"]
-    no_key = F.lit(None).cast("string").alias("revisits")
-    one = long.groupBy("digest").agg(F.min_by(F.struct("id", "url", "payload", "key"), place).alias("x"))
-    one = one.select("x.id", "x.url", "x.payload", "digest", F.concat("x.key", F.lit("-0")).alias("key"), no_key)
-    # equal rows are told apart by a number within their key
-    all_short = numbered(short.groupBy("digest", "key", "id", "url").agg(F.first("payload").alias("payload"), F.count("*").alias("n")), F.lit(0).cast("long")).select(*names[:-1], no_key)
-    first = long.groupBy("digest").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1").select("digest", F.col("first.key").alias("first_key"), F.explode(F.sequence(F.lit(0), F.lit(how.salts - 1))).alias("salt"))
-    groups = long.groupBy("digest", "key", "id", "url").agg(F.count("*").alias("n")).withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(how.salts)).cast("int"))
+    numbered = lambda c, start, end: c.select("*", F.explode(F.sequence(start, end)).alias("copy")).withColumn("key", F.concat_ws("-", "key", F.col("copy").cast("string")))
+    names = ["id", "url", "payload", "digest", "key"]
+    # equal rows are told apart by a number within their key; of a long payload one capture is the response
+    small = F.col("bytes") < how.least_revisit
+    one = rows.withColumn("own", F.when(small, F.struct("key", "url"))).groupBy("digest", "own").agg(F.min_by(F.struct("id", "url", "payload", "key"), place).alias("x"), F.count("*").alias("n"))
+    one = one.select("x.id", "x.url", "x.payload", "digest", "x.key", F.when(F.col("own").isNull(), 0).otherwise(F.col("n") - 1).cast("long").alias("end"))
+    one = numbered(one, F.lit(0).cast("long"), F.col("end")).select(*names, F.lit(None).cast("string").alias("revisits"))
+    groups = rows.where(~small).groupBy("digest", "key", "id", "url").agg(F.count("*").alias("n"))
+    first = groups.groupBy("digest").agg(F.sum("n").alias("n"), F.min(place).alias("first")).where("n > 1").select("digest", F.col("first.key").alias("first_key"), F.explode(F.sequence(F.lit(0), F.lit(how.salts - 1))).alias("salt"))
+    groups = groups.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(how.salts)).cast("int"))
     is_first = F.col("key") == F.col("first_key")
     others = groups.join(first, ["digest", "salt"]).where(~is_first | (F.col("n") > 1)).withColumn("revisits", F.concat("first_key", F.lit("-0")))
-    others = numbered(others, F.when(is_first, 1).otherwise(0).cast("long")).select("id", "url", F.lit(None).cast("binary").alias("payload"), "digest", "key", "revisits")
-    return one.union(all_short).union(others)
+    others = numbered(others, F.when(is_first, 1).otherwise(0).cast("long"), F.col("n") - 1).select("id", "url", F.lit(None).cast("binary").alias("payload"), "digest", "key", "revisits")
+    return one.union(others)
 
 
 _HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
