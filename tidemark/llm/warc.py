@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import PIECE_BYTES, bounded_batches, new_path, utf8
+from tidemark.llm.shared import PIECE_BYTES, bounded_batches, new_path, utf8, written
 
 _END = "\r\n\r\n"
 
@@ -180,36 +180,49 @@ def records(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, _PARSED)
 
 
+_DECODED = "record_id string, page string, refers string, digest string, payload binary"
+
+
 def reassembled(parsed: DataFrame) -> DataFrame:
-    """Payloads of all responses: record id, page and payload. Only records in several segments are grouped; a group is one capture."""
-    whole = (F.col("type") == "response") & (F.col("segment") == 1) & ~F.col("segmented")
-    one = parsed.where(whole).select("origin", F.array(F.struct("segment", "block")).alias("parts"), "total", "page")
-    more = parsed.where(F.col("type").isin("response", "continuation") & ~whole).groupBy("origin").agg(F.sort_array(F.collect_list(F.struct("segment", "block"))).alias("parts"), F.max("total").alias("total"), F.max(F.when(F.col("type") == "response", F.col("page"))).alias("page"))
+    """All captures: record id, page, and the payload of a response, or what a revisit refers to and its digest. Only records in several segments are grouped; a group is one capture."""
+    whole, part = (F.col("type") == "response") & (F.col("segment") == 1) & ~F.col("segmented"), F.struct("segment", "block")
+    one = parsed.where(whole | (F.col("type") == "revisit")).select("origin", F.when(whole, F.array(part)).alias("parts"), "total", "page", "refers", "digest")
+    more = parsed.where(F.col("type").isin("response", "continuation") & ~whole).groupBy("origin").agg(F.sort_array(F.collect_list(part)).alias("parts"), F.max("total").alias("total"), F.max(F.when(F.col("type") == "response", F.col("page"))).alias("page"))
+    more = more.select("*", F.lit(None).cast("string").alias("refers"), F.lit(None).cast("string").alias("digest"))
+    kinds_out = [pa.string(), pa.string(), pa.string(), pa.string(), pa.binary()]
+    names = [x.split()[0] for x in _DECODED.split(", ")]
+
+    def payload(origin: str, parts: list[dict], total: int | None) -> bytes:
+        if [p["segment"] for p in parts] != list(range(1, len(parts) + 1)):
+            raise ValueError(f"{origin} lacks segments or has some twice")
+        block = b"".join(p["block"] for p in parts)
+        if (total is None) != (len(parts) == 1) or total is not None and total != len(block):
+            raise ValueError(f"{origin} has {len(block)} bytes in segments of {total}")
+        head, _, body = block.partition(b"\r\n\r\n")
+        return unchunked(body) if b"transfer-encoding: chunked" in head.lower() else body
 
     def run(batches):
         for batch in batches:
             out = []
-            for origin, parts, total, page in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                if [p["segment"] for p in parts] != list(range(1, len(parts) + 1)):
-                    raise ValueError(f"{origin} lacks segments or has some twice")
-                block = b"".join(p["block"] for p in parts)
-                if (total is None) != (len(parts) == 1) or total is not None and total != len(block):
-                    raise ValueError(f"{origin} has {len(block)} bytes in segments of {total}")
-                head, _, body = block.partition(b"\r\n\r\n")
-                chunked = b"transfer-encoding: chunked" in head.lower()
-                out.append((origin, page, unchunked(body) if chunked else body))
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.string()), pa.array([r[1] for r in out], pa.string()), pa.array([r[2] for r in out], pa.binary())], names=["record_id", "page", "payload"])
+            for origin, parts, total, page, refers, digest in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
+                out.append((origin, page, refers, digest, None if parts is None else payload(origin, parts, total)))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds_out)], names=names)
 
-    return one.union(more.select("origin", "parts", "total", "page")).mapInArrow(run, "record_id string, page string, payload binary")
+    return one.union(more).mapInArrow(run, _DECODED)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """page_id, payload_bytes, payload_digest, record_type, refers_to of every capture; a revisit has its response's payload."""
-    parsed = records(spark, path)
-    payloads = reassembled(parsed).select("record_id", F.expr("try_cast(page as long)").alias("page_id"), F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_digest"))
-    own = payloads.select("page_id", "payload_bytes", "payload_digest", F.lit("response").alias("record_type"), F.lit(None).cast("long").alias("refers_to"))
-    target = payloads.select(F.col("record_id").alias("refers"), F.col("page_id").alias("refers_to"), "payload_bytes", "payload_digest")
-    revisits = parsed.where("type = 'revisit'").select("refers", "digest", F.expr("try_cast(page as long)").alias("page_id"))
+    """page_id, payload_bytes, payload_digest, record_type, refers_to of every capture; a revisit has its response's payload.
+
+    What describes a capture is written to the shared folder, without payloads, so that archives aren't parsed again for the responses that revisits name.
+    """
+    decoded = reassembled(records(spark, path))
+    described = decoded.select("record_id", "refers", "digest", F.expr("try_cast(page as long)").alias("page_id"), F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_digest"))
+    described = written(described, "warc-captures")
+    response = F.col("payload_bytes").isNotNull()
+    own = described.where(response).select("page_id", "payload_bytes", "payload_digest", F.lit("response").alias("record_type"), F.lit(None).cast("long").alias("refers_to"))
+    target = described.where(response).select(F.col("record_id").alias("refers"), F.col("page_id").alias("refers_to"), "payload_bytes", "payload_digest")
+    revisits = described.where(~response).select("refers", "digest", "page_id")
     found = revisits.join(target, "refers", "left").select("page_id", "payload_bytes", F.when(F.col("payload_digest") == F.col("digest"), F.col("payload_digest")).otherwise(F.raise_error(F.concat(F.lit("a revisit has no response of its digest: "), "refers"))).alias("payload_digest"), F.lit("revisit").alias("record_type"), "refers_to")
     return own.union(found)
 
