@@ -487,6 +487,8 @@ def deduplicated(df: DataFrame, how: Join = Join()) -> DataFrame:
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")
     best = rooted.where(F.col("root").isNotNull()).groupBy("root").agg(F.min(place).alias("x")).select(F.col("x.doc_id").alias("id"), F.col("x.row").alias("row"))
     stay = best.union(rooted.where(F.col("root").isNull()).select(F.col("doc_id").alias("id"), "row").distinct()).distinct()
-    marked = df.select(F.struct("*").alias("all"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row"))
-    kept = marked.join(stay, (marked["row"] == stay["row"]) & marked["doc_id"].eqNullSafe(stay["id"])).select("all", marked["row"], "doc_id")
-    return kept.dropDuplicates(["row", "doc_id"]).select("all.*")
+    # the join and the removal of repeated rows have the same keys, so that whole rows are shuffled once
+    keys = lambda c: [F.coalesce(c, F.lit(0).cast("long")).alias("known"), c.isNull().alias("none")]
+    marked = df.select(F.struct("*").alias("all"), F.xxhash64("text").alias("row"), *keys(F.col("doc_id").cast("long")))
+    stay = stay.select("row", *keys(F.col("id").cast("long")))
+    return marked.join(stay, ["row", "known", "none"]).dropDuplicates(["row", "known", "none"]).select("all.*")
