@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import string
 
-from tidemark.llm import chat
+from tidemark.llm import chat, conversation_trie, hard_negatives
 from tidemark.llm.quality_rules import Limits
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -56,4 +56,4 @@ SELECT *, n_words < {limits.min_words} OR n_repeat_words > {limits.max_repeat_wo
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_ngram_jaccard_join": NGRAM_JOIN, "op5_quality_rules": quality_rules(), "op6_warc": WARC, "op10_chat_formatting": chat.ORACLE_SQL}
+    return {"op1_ngram_jaccard_join": NGRAM_JOIN, "op5_quality_rules": quality_rules(), "op6_warc": WARC, "op10_chat_formatting": chat.ORACLE_SQL, "op12_hard_negatives": hard_negatives.ORACLE_SQL, "op13_conversation_trie": conversation_trie.ORACLE_SQL}

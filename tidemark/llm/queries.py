@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import bpe, chat, html_extract, media, ngram_join, oracles, packing, quality_rules, secret_scan, url_filter, warc
+from tidemark.llm import bpe, chat, conversation_trie, hard_negatives, html_extract, media, ngram_join, oracles, packing, piece_bpe, quality_rules, secret_scan, url_filter, warc
 from tidemark.llm.shared import table
 
 
@@ -55,8 +56,21 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.render(table(spark, sf_dir, "conversations"))
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_bpe.digest(table(spark, sf_dir, "documents"), piece_bpe.Coding(public_tokenizers.path("piece_bpe_32k.model")))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    relabelled = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", relabelled), F.col("vec_id") % 50 == 0)
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.spliced_trie(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_packing, op3_html_extraction, op4_secret_scans, op5_quality_rules, op6_warc, op7_url_filters, op8_media_columns, op9_bpe, op10_chat_formatting)}
+    found = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_packing, op3_html_extraction, op4_secret_scans, op5_quality_rules, op6_warc, op7_url_filters, op8_media_columns, op9_bpe, op10_chat_formatting, op11_sentencepiece, op12_hard_negatives, op13_conversation_trie)}
     return found | {"pipeline": corpus_pipeline.run}
 
 
