@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import percent_change
+from tidemark.operators.ordering import numbered
 
 
 def keyed_diff(before: DataFrame, after: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
@@ -30,6 +31,76 @@ def field_deltas(diff: DataFrame, keys: list[str], fields: list[str]) -> DataFra
     return rows.withColumn("delta", F.col("after") - F.col("before")).withColumn("percent", percent_change("before", "after"))
 
 
+def row_multiplicities(before: DataFrame, after: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
+    """Each distinct row with how often either side has it. One aggregate over both sides, with partial sums before the shuffle; nulls are values."""
+    side = lambda df, n: df.select(*keys, *fields, F.lit(n).alias("_side"))
+    both = side(before, 0).unionByName(side(after, 1))
+    return both.groupBy(*keys, *fields).agg(F.count_if(F.col("_side") == 0).alias("n_before"), F.count_if(F.col("_side") == 1).alias("n_after"))
+
+
+def multiset_diff(before: DataFrame, after: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
+    """keys, and how many of the key's rows are identical, changed, new and removed. A key may have many rows, or be null.
+
+    Rows of one key are matched as multisets: equal rows are identical, as often as both sides have them. Of what is left over, as many
+    as possible are changed, and the rest of the larger side is new or removed.
+    """
+    same = F.least("n_before", "n_after")
+    sums = row_multiplicities(before, after, keys, fields).groupBy(*keys).agg(F.sum(same).alias("identical"), F.sum(F.col("n_before") - same).alias("b"), F.sum(F.col("n_after") - same).alias("a"))
+    changed = F.least("b", "a")
+    return sums.select(*keys, "identical", changed.alias("changed"), (F.col("a") - changed).alias("new"), (F.col("b") - changed).alias("removed"))
+
+
+def multiset_pairs(before: DataFrame, after: DataFrame, keys: list[str], fields: list[str], path: str) -> DataFrame:
+    """The rows that multiset_diff leaves over, one before and one after in each: keys, position within the key, status, before_* and after_* fields.
+
+    Leftover rows of a key are paired by their rank in the order of the fields. Ranks come from ranges, so a key with very many rows
+    isn't one task's work. `path`: a folder for the ranked rows.
+    """
+    counts = row_multiplicities(before, after, keys, fields)
+    surplus = F.col("n_before") - F.col("n_after")
+    over = counts.where(surplus != 0).select(*keys, *fields, (surplus < 0).cast("int").alias("_side"), F.explode(F.sequence(F.lit(1).cast("long"), F.abs(surplus))).alias("_copy")).drop("_copy")
+    ranked = numbered(over, fields, path, by=[*keys, "_side"])
+    of = lambda n: F.max(F.when(F.col("_side") == n, F.struct(*fields)))
+    pairs = ranked.groupBy(*keys, "position").agg(of(0).alias("b"), of(1).alias("a"))
+    status = F.when(F.col("b").isNull(), "NEW").when(F.col("a").isNull(), "REMOVED").otherwise("CHANGED")
+    return pairs.select(*keys, "position", status.alias("status"), *(F.col(f"{x[0]}.{f}").alias(f"{x}_{f}") for f in fields for x in ("before", "after")))
+
+
+def _shown(column: Column, kind: str) -> Column:
+    """A value as text: exact, without trailing zeros of decimals; an absent one is told from an empty one."""
+    text = column.cast("string")
+    if kind.startswith("decimal") and not kind.endswith(",0)"):
+        text = F.regexp_replace(text, r"\.?0+$", "")
+    return F.coalesce(text, F.lit("(none)"))
+
+
+def ordered_report(blocks: dict[str, tuple[DataFrame, list[str], list[str]]], path: str) -> DataFrame:
+    """The report on several comparisons, name -> (keyed diff or pairs, keys, fields), as numbered lines.
+
+    A block begins with the number of rows of each status; then come new keys, removed keys, and each changed field with both values,
+    delta and percent change. The order depends on contents alone: block, section, key, field, values.
+    """
+    lines = []
+    for name, (diff, keys, fields) in blocks.items():
+        kinds = dict(diff.dtypes)
+        key = F.concat_ws(" | ", *(_shown(F.col(k), kinds[k]) for k in keys))
+        none = F.lit(None).cast("string")
+        number = lambda c, k=kinds: F.col(c).cast("decimal(38,6)") if k[c].startswith(("decimal", "int", "bigint", "smallint", "tinyint", "double", "float")) else F.lit(None).cast("decimal(38,6)")
+
+        def changes(fields=fields, kinds=kinds, number=number) -> Column:
+            each = (F.struct(F.lit(f).alias("field"), _shown(F.col(f"before_{f}"), kinds[f"before_{f}"]).alias("before"), _shown(F.col(f"after_{f}"), kinds[f"after_{f}"]).alias("after"), number(f"before_{f}").alias("x"), number(f"after_{f}").alias("y"), F.col(f"before_{f}").eqNullSafe(F.col(f"after_{f}")).alias("same")) for f in fields)
+            return F.explode(F.filter(F.array(*each), lambda e: ~e["same"])).alias("e")
+
+        block = F.lit(name).alias("block")
+        totals = diff.groupBy("status").agg(F.count("*").alias("n")).select(block, F.lit(0).alias("section"), "status", none.alias("key"), none.alias("field"), none.alias("before"), F.col("n").cast("string").alias("after"), F.lit(None).cast("decimal(38,6)").alias("x"), F.lit(None).cast("decimal(38,6)").alias("y"))
+        whole = diff.where("status IN ('NEW', 'REMOVED')").select(block, F.when(F.col("status") == "NEW", 1).otherwise(2).alias("section"), "status", key.alias("key"), none.alias("field"), none.alias("before"), none.alias("after"), F.lit(None).cast("decimal(38,6)").alias("x"), F.lit(None).cast("decimal(38,6)").alias("y"))
+        changed = diff.where("status = 'CHANGED'").select("status", key.alias("key"), changes()).select(block, F.lit(3).alias("section"), "status", "key", "e.field", "e.before", "e.after", "e.x", "e.y")
+        lines += [totals, whole, changed]
+    delta = F.col("y") - F.col("x")
+    rows = reduce(DataFrame.unionByName, lines).select("block", "section", "status", "key", "field", "before", "after", delta.alias("delta"), percent_change("x", "y").alias("percent"))
+    return numbered(rows, ["block", "section", "key", "field", "before", "after", "status"], path)
+
+
 def diff_report(diff: DataFrame) -> DataFrame:
     """Rows of each status."""
     return diff.groupBy("status").agg(F.count("*").alias("rows"))

@@ -630,3 +630,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
+
+
+from tidemark.plans import change_queries  # noqa: E402, F401  (registers its queries)
