@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import ordering, parity
-from tidemark.plans.queries import _DIFF_KEYS, _DIFF_SQL, _diff, query
-from tidemark.plans.samples import table
+from tidemark.plans import incremental, samples, staging
+from tidemark.plans.queries import _DIFF_KEYS, _DIFF_SQL, M, _diff, query
+from tidemark.plans.samples import STAR_SQL, raw_records, table
 from tidemark.sources import raw
+from tidemark.sources.registry import METRICS
 
 # Two states of `lineitem` by order: keys have many rows and some are null; rows are dropped, repeated and changed.
 
@@ -95,3 +97,29 @@ def order_of_files(spark, sf_dir):
     files = _written_lines(spark, sf_dir, _LINE)
     count = lambda keys, name: ordering.order_problems(files, keys, raw.scratch_path(spark, "files")).agg(F.count("*").alias("falls")).select(F.lit(name).alias("check"), "falls")
     return count(_LINE, "by order and line").unionByName(count(["l_partkey"], "by part"))
+
+
+# Layers that follow late snapshots.
+
+
+def _caught_up(spark, sf_dir) -> dict[str, DataFrame]:
+    """Layers built without the last load of three days of the month, and then refreshed with the days that it revises."""
+    records = raw_records(spark, sf_dir)
+    revised = F.day("reference_date").isin(5, 12, 20)
+    layers = incremental.Layers(spark, raw.scratch_path(spark, "layers"), buckets=8)
+    layers.build(staging.silver(records.where(~revised | (F.datediff("extracted_at", "reference_date") < 3))))
+    days = sorted(r[0] for r in records.where(revised).select("reference_date").distinct().collect())
+    layers.refresh(staging.silver(records.where(F.col("reference_date").isin(days))), days)
+    return layers.tables()
+
+
+@query({"anuncio_sk": "string", "tempo_sk": "string", **M}, f"WITH {STAR_SQL} SELECT anuncio_sk, tempo_sk, {', '.join(METRICS)} FROM fato_metricas")
+def refreshed_facts(spark, sf_dir):
+    """The fact after a refresh of three days; the SQL rebuilds everything."""
+    return _caught_up(spark, sf_dir)["fato_metricas"]
+
+
+@query("level string, sk string, parent string, external_id string, nome string, versao bigint, valido_de date, valido_ate date, is_atual boolean", f"WITH {STAR_SQL} " + " UNION ALL ".join(f"SELECT '{x}' AS level, {x}_sk AS sk, {p} AS parent, external_id, nome, versao, valido_de, valido_ate, is_atual FROM dim_{x}" for x, p in samples._PARENTS))
+def refreshed_dimensions(spark, sf_dir):
+    """All versions after the same refresh."""
+    return incremental.unioned_levels(_caught_up(spark, sf_dir))

@@ -24,10 +24,10 @@ def dim_level(silver: DataFrame, level: str) -> DataFrame:
     return out.select(F.col("sk").alias(f"{level}_sk"), F.col("nk").alias(f"{level}_nk"), F.col("parent").alias(PARENTS[level]), "external_id", F.col("name").alias("nome"), F.col("version").alias("versao"), F.col("valid_from").alias("valido_de"), F.col("valid_to").alias("valido_ate"), F.col("is_current").alias("is_atual"))
 
 
-def fact(silver: DataFrame, dim_ad: DataFrame) -> DataFrame:
-    """One row for each ad and day, on the version of the ad that held on it."""
+def fact(silver: DataFrame, dim_ad: DataFrame, carried: list[str] | None = None) -> DataFrame:
+    """One row for each ad and day, on the version of the ad that held on it; `carried` columns of silver stay."""
     ad = dim_ad.select("anuncio_sk", F.col("anuncio_nk").alias("nk"), "valido_de", "valido_ate")
-    return point_in_time_join(silver, ad, "anuncio_nk", "nk", "data", "valido_de", "valido_ate").select("anuncio_sk", date_key("data").alias("tempo_sk"), *METRICS)
+    return point_in_time_join(silver, ad, "anuncio_nk", "nk", "data", "valido_de", "valido_ate").select("anuncio_sk", date_key("data").alias("tempo_sk"), *METRICS, *(carried or []))
 
 
 def star(silver: DataFrame) -> dict[str, DataFrame]:
