@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators import ordering, parity
+from tidemark.operators import fused, ordering, parity
 from tidemark.plans import incremental, samples, staging
-from tidemark.plans.queries import _DIFF_KEYS, _DIFF_SQL, M, _diff, query
+from tidemark.plans.queries import _DIFF_KEYS, _DIFF_SQL, M, _diff, _star_checks_sql, query
 from tidemark.plans.samples import STAR_SQL, raw_records, table
 from tidemark.sources import raw
+from tidemark.plans.star import checked
 from tidemark.sources.registry import METRICS
 
 # Two states of `lineitem` by order: keys have many rows and some are null; rows are dropped, repeated and changed.
@@ -123,3 +124,31 @@ def refreshed_facts(spark, sf_dir):
 def refreshed_dimensions(spark, sf_dir):
     """All versions after the same refresh."""
     return incremental.unioned_levels(_caught_up(spark, sf_dir))
+
+
+# Checks in one scan of each table.
+
+
+@query("check string, severity string, violations bigint, outcome string", _star_checks_sql())
+def fused_star_checks(spark, sf_dir):
+    """The star's declared checks on its stored tables: rows while they are written, keys in one scan of each."""
+    return checked(staging.silver(raw_records(spark, sf_dir)), raw.scratch_path(spark, "checked"))[1]
+
+
+_SOUND = {"lineitem grain": "SELECT count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)",
+  "lineitem order exists": "SELECT count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 3 > 0)",
+  "lineitem flags accepted": "SELECT count(DISTINCT l_returnflag) FROM lineitem WHERE l_returnflag NOT IN ('N', 'X')",
+  "lineitem quantity small": "SELECT count(*) FROM lineitem WHERE l_quantity > 45",
+  "orders apart": "SELECT count(*) FROM (SELECT CAST(o_orderdate AS DATE) <= max(CAST(o_orderdate AS DATE) + 30) OVER (PARTITION BY o_custkey ORDER BY CAST(o_orderdate AS DATE) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS o FROM orders WHERE o_orderkey % 3 > 0) WHERE o",
+  "orders one large": "SELECT count(*) FROM (SELECT 1 FROM orders WHERE o_orderkey % 3 > 0 GROUP BY o_custkey HAVING count(*) FILTER (WHERE o_totalprice > 200000) <> 1)"}
+
+
+@query("check string, violations bigint", " UNION ALL ".join(f"SELECT '{n}' AS \"check\", ({q}) AS violations" for n, q in _SOUND.items()))
+def fused_checks_that_fail(spark, sf_dir):
+    """Checks of every kind that relational tables violate, in one scan of each."""
+    orders = table(spark, sf_dir, "orders").where("o_orderkey % 3 > 0").withColumns({"day": F.to_date("o_orderdate"), "large": F.col("o_totalprice") > 200000})
+    tables = {"lineitem": table(spark, sf_dir, "lineitem"), "orders": orders.withColumn("until", F.date_add("day", 30))}
+    return fused.violations(tables, [
+        fused.unique("lineitem grain", "lineitem", "l_orderkey", "l_linenumber", nulls=True), fused.relation("lineitem order exists", "lineitem", "l_orderkey", "orders", "o_orderkey"),
+        fused.accepted_values("lineitem flags accepted", "lineitem", "l_returnflag", ["N", "X"]), fused.rows_where("lineitem quantity small", "lineitem", F.col("l_quantity") > 45),
+        fused.apart("orders apart", "orders", "o_custkey", "day", "until"), fused.one_current("orders one large", "orders", "o_custkey", "large")])

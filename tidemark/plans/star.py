@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import date_key
+from tidemark.operators import fused
 from tidemark.operators.dimensional import calendar, point_in_time_join, scd2
 from tidemark.operators.quality import Check, accepted_values, non_negative, not_null, one_current, overlaps, relationships, same_count, unique, unique_grain
 from tidemark.sources.registry import LEVELS, METRICS, SOURCES
@@ -36,13 +39,17 @@ def star(silver: DataFrame) -> dict[str, DataFrame]:
     return {"stg_ads_unified": silver, "dim_plataforma": dim_platform(silver), **dims, "dim_tempo": calendar(silver, "data"), "fato_metricas": fact(silver, dims["dim_anuncio"])}
 
 
-def materialise(silver: DataFrame, folder: str) -> dict[str, DataFrame]:
-    """The star as Parquet tables below a folder, each built once from those stored before it; the fact lies in ranges of its ad."""
-    spark, out = silver.sparkSession, {}
+def materialise(silver: DataFrame, folder: str, counted: dict[str, int] | None = None) -> dict[str, DataFrame]:
+    """The star as Parquet tables below a folder, each built once from those stored before it; the fact lies in ranges of its ad.
+
+    `counted` gets the violations of the row checks, found while the tables are written, and each table's rows.
+    """
+    out: dict[str, DataFrame] = {}
 
     def store(name: str, df: DataFrame) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{folder}/{name}")
-        out[name] = spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+        out[name], found, rows = fused.stored(df, f"{folder}/{name}", [c for c in keyed_checks() if c.table == name])
+        if counted is not None:
+            counted.update(found | {f"rows of {name}": rows})
         return out[name]
 
     stored = store("stg_ads_unified", silver)
@@ -92,3 +99,34 @@ def checks(tables: dict[str, DataFrame]) -> list[Check]:
         Check("traversal keeps rows", same_count(consumption(tables), facts)),
     ]
     return out
+
+
+def keyed_checks() -> list[fused.Keyed]:
+    """The same checks, but for the traversal, in the form that reads each table once."""
+    labels, silver, facts = [s.label for s in SOURCES.values()], "stg_ads_unified", "fato_metricas"
+    null = lambda name, table, column: fused.rows_where(name, table, F.col(column).isNull())
+    out = [null(f"silver.{c} not null", silver, c) for c in ("data", "plataforma", *(f"{level}_nk" for level in LEVELS))]
+    negative = reduce(lambda a, b: a | b, (F.col(m) < 0 for m in METRICS))
+    out += [fused.accepted_values("silver.plataforma accepted", silver, "plataforma", labels), fused.unique("silver grain", silver, "anuncio_nk", "data", nulls=True), fused.rows_where("silver metrics not negative", silver, negative)]
+    for level in LEVELS:
+        dim, parent = f"dim_{level}", PARENTS[level]
+        above = "dim_plataforma" if parent == "plataforma_sk" else f"dim_{LEVELS[LEVELS.index(level) - 1]}"
+        out += [
+            fused.unique(f"{dim} key unique", dim, f"{level}_sk"), null(f"{dim} key not null", dim, f"{level}_sk"), fused.relation(f"{dim} parent exists", dim, parent, above, parent),
+            fused.apart(f"{dim} versions apart", dim, f"{level}_nk", "valido_de", "valido_ate"), fused.one_current(f"{dim} one current version", dim, f"{level}_nk", "is_atual"),
+        ]
+    out += [
+        fused.unique("dim_plataforma unique", "dim_plataforma", "plataforma_sk"), fused.accepted_values("dim_plataforma accepted", "dim_plataforma", "nome", labels), fused.unique("dim_tempo unique", "dim_tempo", "data"),
+        fused.accepted_values("dim_tempo weekdays", "dim_tempo", "dia_semana", list(range(1, 8))), fused.unique("fact grain", facts, "anuncio_sk", "tempo_sk", nulls=True),
+        fused.relation("fact ad exists", facts, "anuncio_sk", "dim_anuncio", "anuncio_sk"), fused.relation("fact day exists", facts, "tempo_sk", "dim_tempo", "tempo_sk"),
+    ]
+    return out
+
+
+def checked(silver: DataFrame, folder: str) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The star and its consumption view, stored, and the report on all checks: row checks and the traversal's rows are counted on the way, keys in one scan of each table."""
+    counted: dict[str, int] = {}
+    tables = materialise(silver, folder, counted)
+    view, _, rows = fused.stored(consumption(tables), f"{folder}/vw_metricas_completas", [])
+    traversal = fused.rows_where("traversal keeps rows", "fato_metricas", F.lit(False))
+    return tables | {"vw_metricas_completas": view}, fused.violations(tables, [*keyed_checks(), traversal], counted | {traversal.name: int(rows != counted["rows of fato_metricas"])})
