@@ -64,21 +64,42 @@ def content_problems(text: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, parts).where("count > 0")
 
 
+def _grams(text: Column | str, length: int) -> Column:
+    """The distinct substrings of a length."""
+    starts = F.sequence(F.lit(1), F.length(text) - (length - 1))
+    return F.array_distinct(F.transform(starts, lambda i: F.substring(text, i, F.lit(length))))
+
+
+def contained(cells: DataFrame, cell: str, values: DataFrame, value: str, length: int = LEAST_SEARCHED) -> DataFrame:
+    """The pairs of distinct cells and distinct values, of `length` characters or more, where the cell holds the value as a part.
+
+    Many patterns at once by an index of rarest grams: every gram of the cells is counted; a value waits at that of its grams which the
+    fewest cells have, and not at all if some gram is in no cell. Cells meet the values that wait at their grams and are then compared.
+    A gram that most cells have is therefore met only by values that have no rarer one; it spreads over tasks by cell.
+    """
+    texts = cells.select(F.col(cell).alias("cell")).where(F.length("cell") >= length).distinct()
+    wanted = values.select(F.col(value).alias("value")).where(F.length("value") >= length).distinct()
+    pieces = texts.select("cell", F.explode(_grams("cell", length)).alias("gram"))
+    # only grams that some value has are counted and met
+    asked = wanted.select("value", F.explode(_grams("value", length)).alias("gram"))
+    counted = pieces.join(asked.select("gram").distinct(), "gram", "left_semi").groupBy("gram").agg(F.count("*").alias("n"))
+    found = asked.join(counted, "gram", "left").groupBy("value").agg(F.min(F.struct("n", "gram")).alias("rarest"), F.count_if(F.col("n").isNull()).alias("absent")).where("absent = 0")
+    waiting = found.select("value", F.col("rarest.gram").alias("gram"))
+    return pieces.join(waiting, "gram").where(F.contains("cell", "value")).select("cell", "value")
+
+
 def leaks(text: DataFrame, real: DataFrame, value: str) -> DataFrame:
-    """cell column and number of real values found: by equality in cells of an identifier's shape, as a part of others.
+    """cell column and number of cells that give away real values: by equality in cells of an identifier's shape, as a part of others.
 
     Equality is a hash join of distinct values. Only distinct cells without that shape are searched for parts, and such cells don't
-    exist in a sound artifact. They meet the values that end with one of their substrings of LEAST_SEARCHED characters.
+    exist in a sound artifact.
     """
     cells = text.select(F.explode(F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("cell")) for c in text.columns))).alias("x")).select("x.*").where("cell is not null").distinct()
     values = real.select(F.col(value).alias("value")).where(F.length("value") > 0).distinct()
     equal = cells.join(values, F.col("cell") == F.col("value"), "left_semi")
     shaped = reduce(lambda a, b: a | b, (F.col("cell").rlike(p) for p in ID_SHAPES.values())) | F.col("cell").rlike(r"^-?[0-9.]+$") | F.col("cell").rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$") | F.col("cell").isin(PLATFORMS)
     free = cells.where(~shaped)
-    starts = F.sequence(F.lit(1), F.length("cell") - (LEAST_SEARCHED - 1))
-    pieces = free.where(F.length("cell") >= LEAST_SEARCHED).select("column", "cell", F.explode(F.array_distinct(F.transform(starts, lambda i: F.substring("cell", i, F.lit(LEAST_SEARCHED))))).alias("piece"))
-    ends = values.where(F.length("value") >= LEAST_SEARCHED).withColumn("end", F.right("value", F.lit(LEAST_SEARCHED)))
-    parts = pieces.join(ends, (F.col("piece") == F.col("end")) & F.contains("cell", "value"), "left_semi").select("column", "cell")
+    parts = free.join(contained(free, "cell", values, "value").select("cell").distinct(), "cell", "left_semi").select("column", "cell")
     return equal.unionByName(parts).distinct().groupBy("column").agg(F.count("*").alias("leaks"))
 
 

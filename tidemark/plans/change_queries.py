@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators import fused, ordering, parity
-from tidemark.plans import incremental, samples, staging
+from tidemark.operators import audit, fused, ordering, parity, sketches
+from tidemark.plans import incremental, reports, samples, staging
 from tidemark.plans.queries import _DIFF_KEYS, _DIFF_SQL, M, _diff, _star_checks_sql, query
-from tidemark.plans.samples import STAR_SQL, raw_records, table
+from tidemark.plans.samples import FLAT_SQL, RAW_SQL, STAR_SQL, flat_fact, raw_records, table
 from tidemark.sources import raw
+from tidemark.sources.clustered import ClusteredFact
+from tidemark.sources.commits import CommittedBatches
 from tidemark.plans.star import checked
 from tidemark.sources.registry import METRICS
 
@@ -152,3 +154,72 @@ def fused_checks_that_fail(spark, sf_dir):
         fused.unique("lineitem grain", "lineitem", "l_orderkey", "l_linenumber", nulls=True), fused.relation("lineitem order exists", "lineitem", "l_orderkey", "orders", "o_orderkey"),
         fused.accepted_values("lineitem flags accepted", "lineitem", "l_returnflag", ["N", "X"]), fused.rows_where("lineitem quantity small", "lineitem", F.col("l_quantity") > 45),
         fused.apart("orders apart", "orders", "o_custkey", "day", "until"), fused.one_current("orders one large", "orders", "o_custkey", "large")])
+
+
+# Many values searched in many texts.
+
+_PLANTED_SQL = """x AS (SELECT DISTINCT o_orderpriority || ' wrote ' || CASE WHEN o_orderkey % 4 = 0 THEN c_name WHEN o_orderkey % 4 = 1 THEN lower(c_name) WHEN o_orderkey % 4 = 2 THEN substr(c_name, 2, 12) ELSE c_mktsegment || '-' || c_custkey END || ', order ' || o_orderkey AS cell FROM orders JOIN customer ON c_custkey = o_custkey),
+v AS (SELECT DISTINCT c_name AS value FROM customer WHERE c_custkey % 3 = 0 UNION SELECT DISTINCT c_mktsegment || '-' || c_custkey FROM customer WHERE c_custkey % 5 = 0)"""
+
+
+@query("cell string, value string", f"WITH {_PLANTED_SQL} SELECT cell, value FROM x JOIN v ON contains(cell, value)")
+def planted_values(spark, sf_dir):
+    """Names and numbers planted whole, in part or in other letters in texts that share all of their common words."""
+    o, c = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    k, segment = F.col("o_orderkey") % 4, F.concat("c_mktsegment", F.lit("-"), F.col("c_custkey").cast("string"))
+    planted = F.when(k == 0, F.col("c_name")).when(k == 1, F.lower("c_name")).when(k == 2, F.substring("c_name", 2, 12)).otherwise(segment)
+    cells = o.join(c, F.col("c_custkey") == F.col("o_custkey")).select(F.concat("o_orderpriority", F.lit(" wrote "), planted, F.lit(", order "), F.col("o_orderkey").cast("string")).alias("cell"))
+    values = c.where("c_custkey % 3 = 0").select(F.col("c_name").alias("value")).union(c.where("c_custkey % 5 = 0").select(segment))
+    return audit.contained(cells, "cell", values, "value")
+
+
+# Loads that are repeated, compete or die.
+
+
+@query("batch_id string, source string, start_date date, end_date date, row_count bigint", f"WITH {RAW_SQL} SELECT CASE extracted_day - reference_date WHEN 1 THEN 'first' ELSE 'second' END batch_id, source, min(reference_date) start_date, max(reference_date) end_date, count(*) row_count FROM raw WHERE extracted_day - reference_date < 3 GROUP BY 1, 2")
+def committed_batches(spark, sf_dir):
+    """The log of a raw table after two loads, a repetition of the second, and an attempt at a third that died before its commit."""
+    records = raw_records(spark, sf_dir)
+    of = lambda lag: records.where(F.datediff("extracted_at", "reference_date") == lag)
+    batches = CommittedBatches(spark, raw.scratch_path(spark, "commits"))
+    batches.load([of(1)], "first")
+    batches.load([of(2)], "second")
+    batches.load([of(2)], "second")
+    batches.write_attempt(of(3), "third")
+    return raw.ingestion_log(batches.rows())
+
+
+# Distinct values of any range of days from stored sketches.
+
+
+@query("flag string, exact bigint, rows bigint, close boolean", "SELECT l_returnflag AS flag, count(DISTINCT l_partkey) AS exact, count(*) AS rows, TRUE AS close FROM lineitem WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '1994-03-10' AND DATE '1996-11-20' GROUP BY 1")
+def distinct_by_day_range(spark, sf_dir):
+    """Parts shipped in a range of days: from sketches stored by day, within four standard errors of the exact number."""
+    rows = table(spark, sf_dir, "lineitem").withColumn("day", F.to_date("l_shipdate"))
+    path = raw.scratch_path(spark, "sketches")
+    sketches.daily(rows, "day", ["l_returnflag"], "l_partkey").write.parquet(path)
+    estimated = sketches.merged(spark.read.parquet(path), "day", "1994-03-10", "1996-11-20", ["l_returnflag"])
+    exact = rows.where("day BETWEEN '1994-03-10' AND '1996-11-20'").groupBy("l_returnflag").agg(F.count_distinct("l_partkey").alias("exact"))
+    near = F.abs(F.col("distinct") - F.col("exact")) <= 4 * sketches.standard_error() * F.col("exact") + 1
+    return exact.join(estimated, "l_returnflag").select(F.col("l_returnflag").alias("flag"), "exact", "rows", near.alias("close"))
+
+
+# A stored fact that is asked through its statistics.
+
+
+def _clustered(spark, sf_dir) -> ClusteredFact:
+    stored = ClusteredFact(spark, raw.scratch_path(spark, "clustered"))
+    stored.write(flat_fact(spark, sf_dir))
+    return stored
+
+
+@query("plataforma_id bigint, investimento money, cliques bigint", f"WITH {FLAT_SQL} SELECT plataforma_id, sum(spend) investimento, sum(link_clicks) cliques FROM fact WHERE data BETWEEN (SELECT max(data) FROM fact) - 6 AND (SELECT max(data) FROM fact) GROUP BY 1")
+def clustered_last_days(spark, sf_dir):
+    """Last seven days of a clustered fact, read from the files that hold them."""
+    return reports.last_days(_clustered(spark, sf_dir).last_days(7))
+
+
+@query("data date, spend money, impressions bigint, link_clicks bigint, conversions money", f"WITH {FLAT_SQL} SELECT data, spend, impressions, link_clicks, conversions FROM fact WHERE anuncio_id = 42")
+def clustered_history(spark, sf_dir):
+    """One key's rows of a clustered fact, read from the files that can hold them."""
+    return reports.history_of(_clustered(spark, sf_dir).history(42), 42)
