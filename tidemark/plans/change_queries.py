@@ -216,7 +216,7 @@ def _clustered(spark, sf_dir) -> ClusteredFact:
 @query("plataforma_id bigint, investimento money, cliques bigint", f"WITH {FLAT_SQL} SELECT plataforma_id, sum(spend) investimento, sum(link_clicks) cliques FROM fact WHERE data BETWEEN (SELECT max(data) FROM fact) - 6 AND (SELECT max(data) FROM fact) GROUP BY 1")
 def clustered_last_days(spark, sf_dir):
     """Last seven days of a clustered fact, read from the files that hold them."""
-    return reports.last_days(_clustered(spark, sf_dir).last_days(7))
+    return reports.platform_sums(_clustered(spark, sf_dir).last_days(7))
 
 
 @query("data date, spend money, impressions bigint, link_clicks bigint, conversions money", f"WITH {FLAT_SQL} SELECT data, spend, impressions, link_clicks, conversions FROM fact WHERE anuncio_id = 42")

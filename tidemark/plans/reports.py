@@ -106,7 +106,11 @@ def last_days(fact: DataFrame, days: int = 7, last: Column | None = None) -> Dat
     """The last days that the table holds; the newest day is found from the table's statistics unless it is given."""
     newest = fact.agg(F.max("data")).first()[0] if last is None else last
     end = F.lit(newest) if last is None else newest
-    return fact.where(F.col("data").between(F.date_sub(end, days - 1), end)).groupBy("plataforma_id").agg(F.sum("spend").alias("investimento"), F.sum("link_clicks").alias("cliques"))
+    return platform_sums(fact.where(F.col("data").between(F.date_sub(end, days - 1), end)))
+
+
+def platform_sums(fact: DataFrame) -> DataFrame:
+    return fact.groupBy("plataforma_id").agg(F.sum("spend").alias("investimento"), F.sum("link_clicks").alias("cliques"))
 
 
 def history_of(fact: DataFrame, ad: int) -> DataFrame:
