@@ -477,18 +477,42 @@ def components(df: DataFrame, how: Join = Join()) -> DataFrame:
     return rows.join(named, "cid", "left").select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
+def _sieved(df: DataFrame, keys: DataFrame, place, name: str) -> DataFrame:
+    """Adds whether the hash of a row's key is that of one of the keys, or shares its bit. The table of bits has 2^18 rows of two longs at most, whatever the input, so it is broadcast."""
+    bit = place.bitwiseAND((1 << _FILTER_BITS) - 1)
+    word, bit = F.shiftright(bit, 6), bit.bitwiseAND(63).cast("int")
+    bits = keys.select(word.alias("_word"), bit.alias("_bit")).groupBy("_word").agg(F.bit_or(F.expr("shiftleft(1L, _bit)")).alias("_bits"))
+    met = df.withColumns({"_word": word, "_bit": bit}).join(F.broadcast(bits), "_word", "left")
+    return met.withColumn(name, F.coalesce(F.expr("shiftrightunsigned(_bits, _bit) & 1 = 1"), F.lit(False))).drop("_word", "_bit", "_bits")
+
+
+def _row_hash(df: DataFrame):
+    """A hash of all columns; nulls count, and maps and variants as their contents."""
+    contents = [F.array_sort(F.map_entries(f"`{c}`")) if kind.startswith("map") else F.to_json(f"`{c}`") if kind == "variant" else F.col(f"`{c}`") for c, kind in df.dtypes]
+    return F.xxhash64(*contents, *(F.col(f"`{c}`").isNull() for c in df.columns))
+
+
 def deduplicated(df: DataFrame, how: Join = Join()) -> DataFrame:
-    """The rows of df without those that others of their component stand for: of each component the row with the smallest doc_id (nulls last), then text hash, stays.
+    """The rows of df without those that others of their component stand for: of each component the row with the smallest doc_id (nulls last), then text hash, then hash of the whole row, stays.
 
-    Rows without words all stay, but for repetitions of one id and text. All columns of df are returned as they are.
+    Rows without words all stay, but for repetitions of one id and text, of which the row of the smallest hash stays. All columns of df
+    are returned as they are. Who stays is settled on keys and hashes alone. A table of bits keeps most other rows from the shuffle, and
+    rows that are repeated exactly are merged before they meet, so whole rows are shuffled once and no task gets all copies of one.
     """
     rows, roots = classes(df, how)
+    scratch = Scratch(df.sparkSession)
     rooted = rows.join(roots, rows["cid"] == roots["node"], "left").select("doc_id", "row", F.coalesce("root", "cid").alias("root"))
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")
     best = rooted.where(F.col("root").isNotNull()).groupBy("root").agg(F.min(place).alias("x")).select(F.col("x.doc_id").alias("id"), F.col("x.row").alias("row"))
     stay = best.union(rooted.where(F.col("root").isNull()).select(F.col("doc_id").alias("id"), "row").distinct()).distinct()
-    # the join and the removal of repeated rows have the same keys, so that whole rows are shuffled once
     keys = lambda c: [F.coalesce(c, F.lit(0).cast("long")).alias("known"), c.isNull().alias("none")]
-    marked = df.select(F.struct("*").alias("all"), F.xxhash64("text").alias("row"), *keys(F.col("doc_id").cast("long")))
-    stay = stay.select("row", *keys(F.col("id").cast("long")))
-    return marked.join(stay, ["row", "known", "none"]).dropDuplicates(["row", "known", "none"]).select("all.*")
+    marked = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("all"), F.xxhash64("text").alias("row"), *keys(F.col("doc_id").cast("long")), _row_hash(df).alias("mark"))
+    key = ["row", "known", "none"]
+    counted = marked.groupBy(*key, "mark").agg(F.count("*").alias("n"))
+    chosen = counted.groupBy(*key).agg(F.min(F.struct("mark", "n")).alias("x")).select(*key, "x.mark", "x.n")
+    stay = scratch.write(stay.select("row", *keys(F.col("id").cast("long"))).join(chosen, key), "stay")
+    key = [*key, "mark"]
+    hashed = F.xxhash64(*key)
+    sieved = _sieved(_sieved(marked, stay, hashed, "stays").where("stays"), stay.where("n > 1"), hashed, "several")
+    merged = sieved.where("several").groupBy(*key).agg(F.first("all").alias("all"))
+    return sieved.where("not several").select("all", *key).unionByName(merged).join(stay.select(*key), key).select("all.*")

@@ -139,11 +139,11 @@ def train(df: DataFrame, text: str = "text", options: Training = Training()) ->
     return [round(log(True, a, b) - log(False, a, b), 3) for a in range(size) for b in range(size)]
 
 
-def scan(df: DataFrame, text: str = "text", model: list[float] | None = None, options: Training = Training()) -> DataFrame:
-    """Adds `_spans`: array of (start, kind as index into KINDS, stop), ordered. A model that isn't given is trained on df."""
+def scan(df: DataFrame, text: str = "text", model: list[float] | None = None, options: Training = Training(), spans: str = "_spans") -> DataFrame:
+    """Adds the spans, in place of a column of their name: array of (start, kind as index into KINDS, stop), ordered. A model that isn't given is trained on df."""
     model = train(df, text, options) if model is None else model
     # the row stands apart, so that no name of the work clashes with one of its columns
-    names = [F.col("_row").getField(c).alias(c) for c in df.columns if c != "_spans"]
+    names = [F.col("_row").getField(c).alias(c) for c in df.columns if c != spans]
     out = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("_row"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
     for name, pattern in (("assign", ASSIGN), ("access", ACCESS), ("hex", HEX), ("other", f"{_RUN}{{{options.least_length},}}")):
         out = _matches(out, name, pattern)
@@ -154,7 +154,7 @@ def scan(df: DataFrame, text: str = "text", model: list[float] | None = None, op
     secret = lambda w: w.rlike("[0-9]") & w.rlike("[A-Za-z]") & (_ratio(w, table) >= F.greatest(F.lit(least), options.least_nats_a_pair * (F.char_length(w) - 1)))
     out = out.withColumn("_other", _spans("other", 3, F.when(F.size("other_is") > 0, F.transform("other_is", secret))))
     both = _free(F.array_sort(F.concat("_base", "_other")))
-    return out.select(*names, F.when(F.size("_other") > 0, both).otherwise(F.col("_base")).alias("_spans"))
+    return out.select(*names, F.when(F.size("_other") > 0, both).otherwise(F.col("_base")).alias(spans))
 
 
 def described(spans: Column) -> Column:
@@ -172,7 +172,8 @@ def digest(df: DataFrame, text: str = "text", **options) -> DataFrame:
 
 def redact(df: DataFrame, text: str = "text", **options) -> DataFrame:
     """The rows with each secret, or run of overlapping secrets, replaced by MARK; null texts stay null."""
-    scanned = scan(df, text, **options)
+    spans = next(n for n in ("_" * k + "spans" for k in range(1, len(df.columns) + 2)) if n not in df.columns)
+    scanned = scan(df, text, **options, spans=spans)
     width = 4_096
     body = F.col(f"`{text}`")
 
@@ -190,7 +191,7 @@ def redact(df: DataFrame, text: str = "text", **options) -> DataFrame:
             end = F.array_max(F.transform(v, lambda s: s["stop"]))
             return F.array_join(F.concat(kept, F.array(cut(blocks, end, F.char_length(body).cast("long")))), MARK)
 
-        return _bound(F.col("_spans"), each)
+        return _bound(F.col(spans), each)
 
     new = _bound(F.regexp_extract_all(body, F.lit(f"(?s).{{1,{width}}}"), F.lit(0)), marked)
-    return scanned.withColumn(text, F.when(F.size("_spans") > 0, new).otherwise(body)).drop("_spans")
+    return scanned.withColumn(text, F.when(F.size(spans) > 0, new).otherwise(body)).drop(spans)
