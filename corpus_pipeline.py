@@ -41,7 +41,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality rules", keep_good), ("n-gram Jaccard join", drop_near_copies), ("secret scans", redact_secrets), ("packing", pack)]
 
-#: Packing has no form in SQL; a test holds the pipeline against a brute-force version.
+#: Packing has no form in SQL; tests/llm/test_pipeline.py holds each stage against a brute-force version.
 ORACLE_SQL = None
 
 
