@@ -4,6 +4,7 @@ import hashlib
 import html
 import random
 import re
+import time
 import zlib
 
 import duckdb
@@ -96,6 +97,31 @@ def test_pages_without_articles_and_odd_markup():
     assert text("<p>" + "word " * 200_000 + "</p>") == " ".join(["word"] * 200_000)
 
 
+def test_scores_alone_find_the_article_of_real_pages(spark, data):
+    pages = spark.read.parquet(f"{data}/pages.parquet")
+    trained, free = html_extract.train(pages), html_extract.Weights(1.0, 0.0, tags={})
+    rows = [r["html"] for r in pages.select("html").collect()]
+    texts = [html_extract.extract(x, trained) for x in rows]
+    assert texts == [html_extract.extract(x, html_extract.Weights()) for x in rows]
+    assert not any(html_extract.extract(x, free) == t for x, t in zip(rows, texts, strict=True))
+    assert trained.tags["nav"] < -10 and trained.tags["in nav"] < -0.5
+
+
+def test_a_part_amid_the_article_does_not_cut_it():
+    advert = f"<div class='ad'>{'buy ' * 300}</div>"
+    for w in (html_extract.Weights(), html_extract.Weights(tags=html_extract.Weights().tags | {"nav": -20.0, "/nav": -20.0})):
+        page = f"<nav>{'menu ' * 90}</nav><article><p>{'one ' * 40}</p>{advert}<p>{'two ' * 40}</p></article><form>{'field ' * 70}</form>"
+        assert html_extract.extract(page, w) == " ".join(["one"] * 40) + "\n" + " ".join(["two"] * 40)
+
+
+@pytest.mark.parametrize("odd", ["text <", "<a ", '<a b="', "<!", "</", "<!--", "<p class='", "<a b='>' c", '<a b=">" c<', "<div>", "<div class=ad>", "<script>", "&#"])
+def test_odd_markup_takes_time_near_its_length(odd):
+    began = time.process_time()
+    for page in (odd * (1_000_000 // len(odd)), odd * (1_000_000 // len(odd)) + ">"):
+        html_extract.extract(page, html_extract.Weights())
+    assert time.process_time() - began < 20
+
+
 def test_samples_hold_different_contents(spark):
     urls = [(f"http://h{i}.s{i % 3}/{i}", i % 2) for i in range(30)]
     trees = url_filter.Trees(max_labelled=20, rounds=1, leaf=1)
