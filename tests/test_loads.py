@@ -97,3 +97,12 @@ def test_sketches_of_any_range_stay_within_their_error(spark):
         assert got.keys() == exact.keys() and all(abs(got[g] - n) <= 4 * sketches.standard_error() * n for g, n in exact.items())
     stored.unpersist()
     assert sketches.merged(sketches.daily(rows, "day", [], "v", 16), "day", "2026-01-01", "2026-01-30", []).first()["distinct"] == pytest.approx(70_001, rel=4 * sketches.standard_error(16))
+
+
+def test_missing_and_empty_sources_have_no_records(spark, tmp_path):
+    with pytest.warns(UserWarning, match="no file"):
+        assert raw.read_json_array(spark, str(tmp_path / "none.json")).count() == 0
+    (tmp_path / "empty.json").write_text("[]")
+    (tmp_path / "some.json").write_text('[{"a": 1}, {"a": 2}]')
+    assert raw.read_json_array(spark, str(tmp_path / "empty.json")).count() == 0
+    assert raw.read_json_array(spark, str(tmp_path / "*.json")).count() == 2

@@ -632,4 +632,4 @@ def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
 
 
-from tidemark.plans import change_queries  # noqa: E402, F401  (registers its queries)
+from tidemark.plans import change_queries, source_queries  # noqa: E402, F401  (they register their queries)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.plans.staging import silver
 from tidemark.plans.star import star
+from tidemark.sources.raw import scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,8 +43,11 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The star; its seven tables share the staging, which is therefore kept."""
-    return star(silver(raw_records(spark, sf_dir)).persist())
+    """The star; its seven tables share the staging, which is therefore stored."""
+    path = scratch_path(spark, "silver")
+    rows = silver(raw_records(spark, sf_dir))
+    rows.write.parquet(path)
+    return star(spark.read.schema(rows.schema).parquet(path))
 
 
 def flat_fact(spark: SparkSession, sf_dir: str) -> DataFrame:

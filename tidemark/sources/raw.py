@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import tempfile
 import uuid
+import warnings
 from collections.abc import Mapping
 from functools import reduce
 
@@ -22,7 +23,11 @@ LOG = "batch_id string, source string, start_date date, end_date date, row_count
 
 
 def read_json_array(spark: SparkSession, path: str) -> DataFrame:
-    """One row a record, as VARIANT column `payload`, of files that hold one JSON array each."""
+    """One row a record, as VARIANT column `payload`, of files that hold one JSON array each. No file, or an empty one, has no records; a missing file is warned of."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(where):
+        warnings.warn(f"there is no file at {path}", stacklevel=2)
+        return spark.createDataFrame([], "payload variant")
     docs = spark.read.format("json").option("multiLine", True).option("singleVariantColumn", "doc").load(path)
     return docs.select(F.explode(F.variant_get("doc", "$", "array<variant>")).alias("payload"))
 
@@ -79,7 +84,7 @@ def load_sources(parts: list[DataFrame], bronze: str, log: str) -> DataFrame:
 def read_bronze(spark: SparkSession, bronze: str, log: str | None = None) -> DataFrame:
     """The raw table; with a log, only batches that were committed."""
     rows = spark.read.parquet(bronze)
-    return rows if log is None else rows.join(F.broadcast(spark.read.parquet(log).select("batch_id")), "batch_id", "left_semi")
+    return rows if log is None else rows.join(spark.read.parquet(log).select("batch_id"), "batch_id", "left_semi")
 
 
 def file_hashes(spark: SparkSession, path: str) -> DataFrame:
