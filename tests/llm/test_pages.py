@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidemark.llm import chat, html_extract, media, ngram_join, quality_rules, secret_scan, url_filter, warc, webp
+from tidemark.llm.shared import Scratch
 
 
 def _pages(spark, rows):
@@ -415,11 +416,29 @@ def test_chat_equals_sql(spark):
     con = duckdb.connect()
     con.register("conversations", conversations)
     key = lambda rs: sorted(map(tuple, rs), key=repr)
-    got = chat.render(df, chat.Format(bucket_turns=100)).collect()
+    got = chat.render(df).collect()
     assert key(got) == key(con.execute(chat.ORACLE_SQL).fetchall()) and {r["conv_id"] for r in got} & {900, 901} == {900}
     assert chat.render(df.where("false")).count() == 0
 
 
+def test_a_hot_conversation_is_dealt_to_many_tasks_and_null_stays_apart(spark):
+    rows = [(None, 3, "user", f"text {i:05d}") for i in range(4000)] + [("none", 1, "user", "a"), ("none", 2, "user", "b")] + [(f"c{i}", j, "user", f"{i} {j}") for i in range(2000) for j in range(2)]
+    df = spark.createDataFrame(rows, "conv_id string, turn long, role string, text string").repartition(8)
+    scratch = Scratch(spark)
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parts = [r["count"] for r in chat.sorted_turns(df, scratch).where("conv_id is null").groupBy("range").count().collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(parts) >= 5 and max(parts) < 1200
+    out = {(r["conv_id"], r["part"]): r for r in chat.render(df, chat.Format("<", ":", ">")).collect()}
+    assert out["none", 0]["text"] == "<user:a><user:b>" and out["none", 0]["n_turns"] == 2
+    whole = "".join(out[None, p]["text"] for p in range(63))
+    assert whole == "".join(f"<user:text {i:05d}>" for i in range(4000)) and len(out) == 63 + 1 + 2000
+
+
 # Pipeline
 
 
