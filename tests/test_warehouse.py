@@ -1,12 +1,14 @@
-"""The warehouse on the two fixture files, against numbers computed by hand, with negative controls."""
+"""The warehouse on the records of tests/fixtures, against plain arithmetic on them, with negative controls."""
 
 import datetime as dt
+import json
 from decimal import Decimal
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from tests import records
 from tidemark.operators import audit, exposure, parity, quality, snapshots
 from tidemark.operators.dimensional import scd2
 from tidemark.plans import publish, reports, staging
@@ -41,16 +43,33 @@ def view(spark, tables, tmp_path_factory):
     return spark.read.parquet(path)
 
 
+def _expected():
+    """(platform, day, campaign, metrics in their order) of every record, by plain arithmetic on the files."""
+    out = []
+    for r in json.loads((FIXTURES / "meta.json").read_text()):
+        total = lambda field, *types, r=r: sum((Decimal(x["value"]) for x in r.get(field, []) if x["action_type"] in types), Decimal(0))
+        views, visits = total("actions", "video_view"), total("actions", "onsite_conversion.ig_profile_view")
+        out.append(("Meta Ads", r["date_start"], r["campaign_id"], (Decimal(r["spend"]), int(r["impressions"]), int(r["inline_link_clicks"]), total("actions", "lead"), total("action_values", "lead"), views, int(r["reach"]), visits, total("actions", "purchase", "omni_purchase"))))
+    for r in json.loads((FIXTURES / "google.json").read_text(), parse_float=Decimal):
+        out.append(("Google Ads", r["date"], r["campaign_id"], (r["cost"], r["impressions"], r["clicks"], r["conversions"], r["conversions_value"], r.get("video_trueview_views", 0), 0, 0, 0)))
+    return out
+
+
+def _sums(rows):
+    return tuple(sum((Decimal(x[i]) for x in rows), Decimal(0)) for i in range(len(METRICS)))
+
+
 def test_sums_by_platform_and_day(view):
     rows = {(r["plataforma"], str(r["data"])): r for r in view.groupBy("plataforma", "data").agg(F.count("*").alias("n"), *(F.sum(m).alias(m) for m in METRICS)).collect()}
-    want = {
-        ("Google Ads", "2026-01-01"): (12, "2489.158760", 34591, 2050, "53.50", "4350.77", 0, 0, 0, 0),
-        ("Google Ads", "2026-01-03"): (10, "1918.472144", 20113, 978, "47.07", "3764.64", 1771, 0, 0, 0),
-        ("Meta Ads", "2026-01-01"): (12, "5244.32", 106880, 1740, "47", "8958.74", 11854, 91129, 256, 18),
-        ("Meta Ads", "2026-01-02"): (10, "5468.86", 102054, 1555, "62", "8112.46", 22383, 69644, 194, 17),
-    }
-    for key, values in want.items():
-        assert tuple(Decimal(str(rows[key][c])) for c in ("n", *METRICS)) == tuple(Decimal(str(v)) for v in values)
+    expected = _expected()
+    assert rows.keys() == {x[:2] for x in expected} and len(rows) == 6
+    for key, row in rows.items():
+        mine = [x[3] for x in expected if x[:2] == key]
+        assert row["n"] == len(mine) and tuple(Decimal(row[m]) for m in METRICS) == _sums(mine)
+
+
+def test_records_of_the_fixtures_are_those_of_the_rule():
+    assert [json.loads((FIXTURES / f"{n}.json").read_text()) for n in ("meta", "google")] == [records.meta(), records.google()]
 
 
 def test_structure_and_versions(tables):
@@ -62,16 +81,18 @@ def test_structure_and_versions(tables):
 
 def test_traversal_needs_validity(tables, view):
     assert view.count() == 64
-    assert view.agg(F.sum("spend")).first()[0] == Decimal("21825.918365")
+    spend, renamed = (sum(x[3][0] for x in _expected() if pick(x)) for pick in (lambda x: True, lambda x: x[2] in ("7212", "7222")))
+    assert view.agg(F.sum("spend")).first()[0] == spend
     wrong = consumption(tables, validity=False)
-    assert wrong.count() == 80 and wrong.agg(F.sum("spend")).first()[0] == Decimal("28295.848365")
+    assert wrong.count() == 80 and wrong.agg(F.sum("spend")).first()[0] == spend + renamed
     assert quality.same_count(wrong, tables["fato_metricas"]).count() == 1
 
 
 def test_platform_comparison(view):
     rows = {r["plataforma"]: r for r in reports.platform_comparison(view).collect()}
-    assert (rows["Meta Ads"]["linhas"], rows["Meta Ads"]["impressoes"], rows["Meta Ads"]["cliques"]) == (32, 324003, 4433)
-    assert rows["Google Ads"]["conversoes"] == Decimal("135.17") and rows["Google Ads"]["investimento"] == Decimal("6307.00")
+    meta, google = (_sums([x[3] for x in _expected() if x[0] == p]) for p in ("Meta Ads", "Google Ads"))
+    assert (rows["Meta Ads"]["linhas"], rows["Meta Ads"]["impressoes"], rows["Meta Ads"]["cliques"]) == (32, *meta[1:3])
+    assert rows["Google Ads"]["conversoes"] == google[3] and rows["Google Ads"]["investimento"] == google[0].quantize(Decimal("0.01"))
 
 
 def test_all_checks_pass_and_a_broken_star_fails(spark, tables):
@@ -137,7 +158,7 @@ def test_export_and_audit(spark, view):
     text = raw.as_text(artifact).persist()
     real = view.select(F.explode(F.array("conta_nome", "campanha_nome", "anuncio_nome", "conta_nk")).alias("value"))
     assert audit.audited(text, view, real=real).count() == 0
-    tampered = text.withColumn("conta_id", F.when(F.col("data") == "2026-01-01", F.lit("Conta Demo 1")).otherwise(F.col("conta_id")))
+    tampered = text.withColumn("conta_id", F.when(F.col("data") == "2026-01-01", F.lit("Demo account 1")).otherwise(F.col("conta_id")))
     found = {r["problem"] for r in audit.audited(tampered, view, real=real).collect()}
     assert "conta_id out of shape" in found and "leak in conta_id" in found
     assert audit.schema_problems([*text.columns, "conta_nk"]) != []
