@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators import audit, fused, ordering, parity, sketches
+from tidemark.operators import audit, borders, fused, ordering, parity, sketches
 from tidemark.plans import incremental, reports, samples, staging
 from tidemark.plans.queries import _DIFF_KEYS, _DIFF_SQL, M, _diff, _star_checks_sql, query
 from tidemark.plans.samples import FLAT_SQL, RAW_SQL, STAR_SQL, flat_fact, raw_records, table
@@ -223,3 +223,19 @@ def clustered_last_days(spark, sf_dir):
 def clustered_history(spark, sf_dir):
     """One key's rows of a clustered fact, read from the files that can hold them."""
     return reports.history_of(_clustered(spark, sf_dir).history(42), 42)
+
+
+# Patterns over the borders of rows.
+
+_SPOKEN_SQL = "s AS (SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN 'call (11)' WHEN 1 THEN '9' || lpad(CAST(o_custkey AS VARCHAR), 4, '0') || '-1234' WHEN 2 THEN 'see the Dr' WHEN 3 THEN 'Silva 21' ELSE '12345678 x' END AS t FROM orders), j AS (SELECT string_agg(t, chr(10) ORDER BY o_orderkey) AS w FROM s)"
+
+
+@query("pattern string, matches bigint", f"WITH {_SPOKEN_SQL} " + " UNION ALL ".join("SELECT '{}' AS pattern, len(regexp_extract_all(w, '{}')) AS matches FROM j".format(n, p.replace("(?iU)", "(?i)").replace("(?U)", "").replace("'", "''")) for n, p in audit.FORBIDDEN_PATTERNS.items()))
+def personal_data_over_rows(spark, sf_dir):
+    """Personal data in rows that form one text: numbers and titles whose halves stand in two rows count, each once."""
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey") % 5
+    number = F.concat(F.lit("9"), F.lpad(F.col("o_custkey").cast("string"), 4, "0"), F.lit("-1234"))
+    spoken = o.select("o_orderkey", F.when(k == 0, "call (11)").when(k == 1, number).when(k == 2, "see the Dr").when(k == 3, "Silva 21").otherwise("12345678 x").alias("text"))
+    rows = ordering.numbered(spoken, ["o_orderkey"], raw.scratch_path(spark, "spoken"))
+    return borders.pattern_counts(rows, audit.FORBIDDEN_PATTERNS, raw.scratch_path(spark, "borders"))
