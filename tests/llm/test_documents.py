@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemark.llm import bpe, components, ngram_join, packing, quality_rules, secret_scan
-from tidemark.llm.shared import Scratch
+from tidemark.llm.shared import Scratch, repeated
 
 WORD_BPE, BYTE_BPE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
 ODD = ["", None, " \n\t ", "one", "five words are in here", "é" * 40, "a\x1cb\x85c\xa0d", "x " * 3000, "<|endoftext|> and <|startoftext|>", "漢字 two"]
@@ -165,6 +166,36 @@ def test_packing_is_exact_and_full(spark):
     assert packing.pack(_docs(spark, []), how).count() == 0
 
 
+@pytest.mark.parametrize("block", [7, 1 << 16])
+def test_packing_of_many_repetitions(spark, block):
+    """Every token of a document is packed as often as the document stands in the table, with the ids' checksums."""
+    rng = random.Random(4)
+    words = lambda n: " ".join(rng.choices(["alpha", "beta", "gamma,", "Delta9", "école"], k=n))
+    rows = [(i, words(rng.randrange(1, 3000))) for i in range(40)] + [(100, words(700))] * 90 + [(None, words(900))] * 60 + [(101, words(5000))] * 20 + [(102, None)] * 30
+    packed = packing.pack(_docs(spark, [t for _, t in rows], [i for i, _ in rows]), packing.Packing(WORD_BPE, buckets=8, repeat_block=block)).collect()
+    t = Tokenizer.from_file(WORD_BPE)
+    ids = {i: np.array([*t.encode(text or "", add_special_tokens=False).ids, 2], "<u4") for i, text in rows}
+    times = {i: np.zeros(len(x), int) for i, x in ids.items()}
+    ends = {}
+    for r in sorted(packed, key=lambda r: (r["sequence_id"], r["offset"])):
+        part = slice(r["start"], r["start"] + r["length"])
+        times[r["doc_id"]][part] += 1
+        assert zlib.crc32(ids[r["doc_id"]][part].tobytes()) == r["ids_crc32"] and r["doc_tokens"] == len(ids[r["doc_id"]])
+        assert r["offset"] == ends.get(r["sequence_id"], 0)
+        ends[r["sequence_id"]] = r["offset"] + r["length"]
+    assert all((times[i] == sum(j == i for j, _ in rows)).all() for i in ids)
+    assert all(e <= 4096 and e & (e - 1) == 0 for e in ends.values())
+
+
+def test_repetitions_come_from_many_tasks(spark):
+    df = spark.createDataFrame([("hot", 1000), ("warm", 10), ("cold", 1), ("none", 0), ("null", None)], "name string, n long")
+    made = repeated(df, "n", ["name"], block=10, parts=16).withColumn("task", F.spark_partition_id()).collect()
+    for name, n in (("hot", 1000), ("warm", 10), ("cold", 1), ("none", 0), ("null", 0)):
+        assert sorted(r["copy"] for r in made if r["name"] == name) == list(range(n))
+    tasks = Counter(r["task"] for r in made if r["name"] == "hot")
+    assert len(tasks) >= 12 and max(tasks.values()) < 250
+
+
 def test_patterns_hold_the_demand_nearly_without_waste():
     demand = {40: 97, 25: 301, 11: 550, 3: 120, 64: 2}
     found = packing.patterns(demand, 64)

@@ -166,6 +166,16 @@ def test_copies_of_a_payload_do_not_meet_with_it(spark, capfd):
     assert sorted((tuple(r) for r in read), key=repr) == sorted([("response", None, 500, 2), ("response", None, 0, 40), ("revisit", 0, 500, 599)], key=repr)
 
 
+def test_warc_repetitions_are_made_in_blocks(spark):
+    rows = [(1, "u", "c" * 500)] * 200 + [(2, "u", "c" * 500)] * 30 + [(3, "v", "short")] * 100
+    how = warc.Archive(repeat_block=9)
+    keys = [r["key"] for r in warc.captures(_pages(spark, rows), how).select("key").collect()]
+    assert len(set(keys)) == len(keys) == len(rows)
+    assert set(keys) == {r["key"] for r in warc.captures(_pages(spark, rows)).select("key").collect()}
+    read = warc.round_trip(_pages(spark, rows), how).groupBy("page_id", "record_type", "refers_to", "payload_bytes").count().collect()
+    assert sorted((tuple(r) for r in read), key=repr) == sorted([(1, "response", None, 500, 1), (1, "revisit", 1, 500, 199), (2, "revisit", 1, 500, 30), (3, "response", None, 5, 100)], key=repr)
+
+
 def test_warc_segments_are_checked(spark, tmp_path):
     warc.write(_pages(spark, [(1, "u", "q" * 60_000)]), f"{tmp_path}/w")
     parsed = warc.records(spark, f"{tmp_path}/w")

@@ -34,7 +34,7 @@ from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
 from tidemark.llm.bpe import Merges, byte_letters
-from tidemark.llm.shared import bounded_batches, pieces, utf8, written
+from tidemark.llm.shared import bounded_batches, pieces, repeated, utf8, written
 
 
 @dataclass(frozen=True)
@@ -45,6 +45,8 @@ class Packing:
     classes: int = 64
     #: Hash buckets for ranks and fillers, and ranges of sequences for running sums.
     buckets: int = 512
+    #: More repetitions of a row than this are made in several tasks.
+    repeat_block: int = 1 << 16
     #: Words whose ids a worker remembers, twice at most.
     cached_words: int = 120_000
 
@@ -258,10 +260,15 @@ def pack(df: DataFrame, how: Packing) -> DataFrame:
     kept = np.where(np.arange(buckets)[:, None] >= fillers, count, 0)
     rank_at = np.cumsum(kept, axis=0) - kept
     bases = spark.createDataFrame([(b, c, full_at[b, c], filler_at[b, c], int(rank_at[b, c])) for b, c in cell if count[b, c] or full[b, c]], "bucket int, class int, full_at long, filler_at long, rank_at long")
-    inside = Window.partitionBy("bucket", "class").orderBy("h", "doc_id")
-    earlier = inside.rowsBetween(Window.unboundedPreceding, -1)
-    ranked = rows.withColumn("rank", F.row_number().over(inside) - 1).withColumn("full_before", F.coalesce(F.sum("full").over(earlier), F.lit(0))).withColumn("rest_before", F.coalesce(F.sum("rest").over(earlier), F.lit(0)))
-    ranked = written(ranked.join(F.broadcast(bases), ["bucket", "class"]).select("doc_id", "h", "n", "crcs", "rest", "full", "class", "bucket", (F.col("full_before") + F.col("full_at")).alias("first_full"), (F.col("rest_before") + F.col("filler_at")).alias("line"), (F.col("rank") + F.col("rank_at")).alias("rank")), "ranked")
+    # repeated rows are one row with a count while the others are ranked; their copies are numbered from its place on
+    kept_columns = ["doc_id", "h", "n", "crcs", "rest", "full", "class", "bucket"]
+    rows = rows.groupBy(*kept_columns).agg(F.count("*").alias("copies"))
+    earlier = Window.partitionBy("bucket", "class").orderBy("h", "doc_id", "n", "crcs").rowsBetween(Window.unboundedPreceding, -1)
+    before_it = lambda c: F.coalesce(F.sum(c).over(earlier), F.lit(0))
+    ranked = rows.withColumns({"rank_before": before_it(F.col("copies")), "full_before": before_it(F.col("full") * F.col("copies")), "rest_before": before_it(F.col("rest") * F.col("copies"))})
+    ranked = repeated(ranked.join(F.broadcast(bases), ["bucket", "class"]), "copies", ["h"], how.repeat_block)
+    place = lambda at, before, each: (F.col(at) + F.col(before) + F.col("copy") * each)
+    ranked = written(ranked.select(*kept_columns, place("full_at", "full_before", F.col("full")).alias("first_full"), place("filler_at", "rest_before", F.col("rest")).alias("line"), place("rank_at", "rank_before", 1).alias("rank")), "ranked")
 
     doc = ["doc_id", "n"]
     result = lambda d: d.select("doc_id", F.col("start").cast("long"), F.col("length").cast("long"), F.col("crc").alias("ids_crc32"), F.col("n").alias("doc_tokens"), F.col("sequence_id").cast("long"), F.col("offset").cast("long"))
@@ -322,6 +329,8 @@ def pack(df: DataFrame, how: Packing) -> DataFrame:
             keep = [i for i, c in enumerate(batch.schema.names) if c != "ids"]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in keep), pa.array(crc, pa.int64())], names=[*(batch.schema.names[i] for i in keep), "crc"])
 
-    fills = fills.withColumn("key", F.coalesce("doc_id", F.lit(-1))).join(chosen, ["h", "key"]).drop("h", "key")
-    fills = fills.mapInArrow(checksums, "doc_id long, n long, start long, length long, sequence_id long, offset long, crc long")
+    # copies that are cut alike need one checksum, so a document of many copies doesn't meet its ids once a copy
+    fills, cut_of = fills.withColumn("key", F.coalesce("doc_id", F.lit(-1))), ["h", "key", "start", "length"]
+    sums_of = fills.select(*cut_of).distinct().join(chosen, ["h", "key"]).select(*cut_of, "ids").mapInArrow(checksums, "h long, key long, start long, length long, crc long")
+    fills = fills.join(sums_of, cut_of)
     return result(whole).union(result(packed)).union(result(fills))

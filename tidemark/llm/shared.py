@@ -70,6 +70,19 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def repeated(df: DataFrame, count: str, by: list[str], block: int = 1 << 16, parts: int = 64) -> DataFrame:
+    """Each row as often as `count` says, `copy` numbering its copies from 0; rows with a count of 0 or null go.
+
+    Rows that stand for more than `block` copies are cut into blocks, which are dealt by the columns `by` and their number to
+    `parts` partitions before any copy is made. So copies of one row don't come from one task, nor from one long array.
+    """
+    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1)).alias("copy")
+    few = df.where(F.col(count).between(1, block)).select("*", upto(F.col(count).cast("long")))
+    blocks = df.where(F.col(count) > block).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(count) - 1) / block))).alias("block")).repartition(parts, *by, "block")
+    many = blocks.select("*", upto(F.least(F.lit(block), F.col(count) - block * F.col("block")).cast("long")))
+    return few.union(many.withColumn("copy", F.col("copy") + block * F.col("block")).drop("block"))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

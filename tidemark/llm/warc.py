@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import PIECE_BYTES, bounded_batches, new_path, utf8, written
+from tidemark.llm.shared import PIECE_BYTES, bounded_batches, new_path, repeated, utf8, written
 
 _END = "\r\n\r\n"
 
@@ -39,6 +39,8 @@ class Archive:
     least_revisit: int = 100
     #: The captures of one payload are dealt to so many groups.
     salts: int = 32
+    #: More exact repetitions than this are made in several tasks.
+    repeat_block: int = 1 << 16
     compression: str = "gzip"
 
 
@@ -57,19 +59,19 @@ def captures(df: DataFrame, how: Archive = Archive()) -> DataFrame:
     rows = rows.withColumn("digest", F.sha2("payload", 256)).withColumn("bytes", F.octet_length("payload").cast("long"))
     rows = rows.withColumn("key", F.concat_ws("-", F.coalesce(F.col("id").cast("string"), F.lit("none")), F.substring("digest", 1, 16), F.lower(F.hex(F.xxhash64("url")))))
     place = F.struct(F.col("id").isNull().alias("last"), "id", "key")
-    numbered = lambda c, start, end: c.select("*", F.explode(F.sequence(start, end)).alias("copy")).withColumn("key", F.concat_ws("-", "key", F.col("copy").cast("string")))
+    numbered = lambda c: repeated(c, "n", ["key", "url"], how.repeat_block).withColumn("key", F.concat_ws("-", "key", (F.col("copy") + F.col("start")).cast("string")))
     names = ["id", "url", "payload", "digest", "key"]
     # equal rows are told apart by a number within their key; of a long payload one capture is the response
     small = F.col("bytes") < how.least_revisit
     one = rows.withColumn("own", F.when(small, F.struct("key", "url"))).groupBy("digest", "own").agg(F.min_by(F.struct("id", "url", "payload", "key"), place).alias("x"), F.count("*").alias("n"))
-    one = one.select("x.id", "x.url", "x.payload", "digest", "x.key", F.when(F.col("own").isNull(), 0).otherwise(F.col("n") - 1).cast("long").alias("end"))
-    one = numbered(one, F.lit(0).cast("long"), F.col("end")).select(*names, F.lit(None).cast("string").alias("revisits"))
+    one = one.select("x.id", "x.url", "x.payload", "digest", "x.key", F.lit(0).alias("start"), F.when(F.col("own").isNull(), 1).otherwise(F.col("n")).cast("long").alias("n"))
+    one = numbered(one).select(*names, F.lit(None).cast("string").alias("revisits"))
     groups = rows.where(~small).groupBy("digest", "key", "id", "url").agg(F.count("*").alias("n"))
     first = groups.groupBy("digest").agg(F.sum("n").alias("n"), F.min(place).alias("first")).where("n > 1").select("digest", F.col("first.key").alias("first_key"), F.explode(F.sequence(F.lit(0), F.lit(how.salts - 1))).alias("salt"))
     groups = groups.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(how.salts)).cast("int"))
     is_first = F.col("key") == F.col("first_key")
-    others = groups.join(first, ["digest", "salt"]).where(~is_first | (F.col("n") > 1)).withColumn("revisits", F.concat("first_key", F.lit("-0")))
-    others = numbered(others, F.when(is_first, 1).otherwise(0).cast("long"), F.col("n") - 1).select("id", "url", F.lit(None).cast("binary").alias("payload"), "digest", "key", "revisits")
+    others = groups.join(first.drop("n"), ["digest", "salt"]).withColumns({"revisits": F.concat("first_key", F.lit("-0")), "start": F.when(is_first, 1).otherwise(0)})
+    others = numbered(others.withColumn("n", F.col("n") - F.col("start"))).select("id", "url", F.lit(None).cast("binary").alias("payload"), "digest", "key", "revisits")
     return one.union(others)
 
 
