@@ -414,6 +414,51 @@ def test_the_cache_is_used_where_it_saves(data):
 # Conversations
 
 
+def _as_stored(payload: bytes, width: int = 16) -> tuple[bytes, tuple]:
+    """A payload's file and the kinds of its transforms; what is read from it is the payload."""
+    (file,) = webp.encode([payload], [width])
+    assert webp.decode([file])[0].tobytes() == payload
+    return file, tuple(t[0] for t in webp.parse(file).transforms)
+
+
+def test_forms_are_chosen_by_payload():
+    rng = np.random.default_rng(3)
+    noise = rng.integers(0, 256, (512, 1), dtype=np.uint8)
+    near_grey = (rng.integers(0, 256, (16_384, 1)) + np.array([0, 0, 0, 1]) * 7 + rng.integers(0, 3, (16_384, 4))).astype(np.uint8)  # more colours than a palette holds
+    row = np.tile(rng.integers(0, 256, 64, dtype=np.uint8), (1024, 1)) + np.arange(1024, dtype=np.uint8)[:, None]
+    slope = (rng.integers(0, 256, (1024, 1, 4)) + 5 * np.arange(16)[None, :, None]).astype(np.uint8)
+    assert _as_stored(near_grey.tobytes())[1] == (webp._SUBTRACT,)
+    assert _as_stored(row.tobytes())[1] == (webp._PREDICTOR,)
+    assert _as_stored(slope.tobytes())[1] == (webp._PREDICTOR,)
+    for colours in (2, 3, 5, 17, 200):
+        table = rng.integers(0, 1 << 32, colours, dtype=np.uint32)
+        assert _as_stored(table[rng.integers(0, colours, 16 * 400)].tobytes())[1] == (webp._PALETTE,)
+    assert len(_as_stored(bytes(64))[0]) < 60 and _as_stored(noise.tobytes())[1] == ()
+
+
+def test_forms_of_real_and_odd_payloads(data):
+    texts = [(t or "").encode() for t in pd.read_parquet(f"{data}/documents.parquet")["text"]]
+    assert any(t[0] == webp._PALETTE for f in media.stored(texts, media.Store()) for t in webp.parse(f).transforms)
+    rng = np.random.default_rng(8)
+    for k in range(60):
+        pixels, width = 16 * int(rng.integers(1, 90)), int(rng.choice([16, 32, 48]))
+        values = rng.integers(0, int(rng.integers(1, 257)), 4 * pixels * width // 16, dtype=np.uint16).astype(np.uint8)
+        shaped = [values, np.cumsum(values % 3, dtype=np.uint8), np.repeat(values[::4] % 7, 4), np.tile(values[: 4 * width], len(values) // (4 * width))][k % 4]
+        _as_stored(shaped.tobytes(), width)
+
+
+def test_code_lengths_are_read_as_written():
+    rng = np.random.default_rng(5)
+    for k in range(400):
+        counts = np.zeros(280 if k % 2 else 256, np.int64)
+        counts[rng.integers(0, 256, int(rng.integers(1, 4 if k % 3 else 200)))] = rng.integers(1, 10 ** int(rng.integers(1, 9)))
+        counts[int(rng.integers(0, 256))] = 10**9 if k % 5 else 1
+        lengths, w = webp._own_lengths(counts), webp.Writer()
+        w.lengths(lengths)
+        bits = webp.Bits(w.value.to_bytes(w.size // 8 + 1, "little"))
+        assert list(webp._read_lengths(bits, len(counts))) == lengths and bits.at == w.size and max(lengths) <= 15
+
+
 def test_chat_equals_sql(spark):
     rng = random.Random(9)
     rows = []

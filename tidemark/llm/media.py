@@ -2,7 +2,8 @@
 
 A payload is a text's UTF-8, filled up with zero bytes to a positive multiple of 64: rows of 16 pixels. It is stored as one
 image. An image has 16384 rows at most, so only what is longer than 1 MiB gets wider rows, of the least multiple of 16 pixels
-that holds it; the last row is filled up with zeros, which reading cuts off. Reading decodes many images side by side, in
+that holds it; the last row is filled up with zeros, which reading cuts off. An image's form (prefix codes, palette, predictor,
+subtract-green) is chosen by its payload alone. Reading decodes many images side by side, in
 bounded groups.
 
 Defined cases: a null or empty text is one row of zeros; equal texts have equal media; repeated rows are stored each for

@@ -2,8 +2,9 @@
 
 Decoding takes one pixel of every image at a time: prefix codes, back-references, colour cache and entropy groups are looked
 up for all images at once. Then the transforms are undone: predictor, cross-colour, subtract-green and palette. The
-encoder writes literals, back-references for runs and, where that makes an image smaller, a colour cache; its prefix codes
-are one of two fixed sets.
+encoder writes literals, back-references for runs and, where that makes an image smaller, a colour cache, with one of two fixed
+sets of prefix codes. Large images and those of few colours are also tried with prefix codes of their own and a transform: palette
+with packed indices, subtract-green, or one predictor for the whole image. The smallest form is kept.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ _NEAR = [
     (-7, 4), (8, 1), (8, 2), (6, 6), (-6, 6), (8, 3), (5, 7), (-5, 7), (7, 5), (-7, 5), (8, 4), (6, 7), (-6, 7), (7, 6), (-7, 6), (8, 5), (7, 7), (-7, 7), (8, 6), (8, 7),
 ]
 _PREDICTOR, _CROSS, _SUBTRACT, _PALETTE = range(4)
+#: Predictor modes that take the pixel to the left, and the one above.
+_LEFT, _TOP = 1, 2
 _GREEN = 256 + 24
 
 
@@ -152,9 +155,10 @@ def parse(data: bytes) -> Coded:
     if size >> 29:
         raise ValueError("unknown version")
     # codes that many images share are read once
-    for start, (ends, like) in _seen.items():
+    for start, (ends, like) in list(_seen.items())[::-1]:
         n = len(start)
         if stream[5 : 5 + n] == start and (stream + b"\0")[5 + n] & ((1 << (ends & 7)) - 1) == like.data[5 + n] & ((1 << (ends & 7)) - 1):
+            _seen[start] = _seen.pop(start)
             return Coded(stream, ends, width, height, like.groups, like.cache_bits, full_width=width)
     bits, transforms, inner_width = Bits(stream, 40), [], width
     while bits.read(1):
@@ -172,7 +176,9 @@ def parse(data: bytes) -> Coded:
             transforms.append((kind, 0, inner_width, None))
     image = _coded(bits, inner_width, height, True)
     image.transforms, image.full_width = transforms, width
-    if not transforms and image.block_groups is None and len(_seen) < 8:
+    if not transforms and image.block_groups is None:
+        if len(_seen) >= 8:  # those that came up last stay
+            del _seen[next(iter(_seen))]
         _seen[stream[5 : image.at >> 3]] = (image.at, image)
     return image
 
@@ -297,6 +303,12 @@ def _unpredicted(pixels: np.ndarray, width: int, bits: int, modes: np.ndarray) -
     height = len(pixels) // width
     px = pixels.view(np.uint8).reshape(-1, 4).astype(np.int64)
     mode = (modes >> np.uint32(8) & np.uint32(15)).astype(np.int64)
+    if (mode == mode[0]).all() and mode[0] in (_LEFT, _TOP):  # then sums along rows and columns
+        sums = pixels.view(np.uint8).reshape(height, width, 4).copy()
+        sums[:1, :1, 3] += np.uint8(255)
+        first, rest = (sums[:, :1], (0, 1)) if mode[0] == _LEFT else (sums[:1], (1, 0))
+        first[:] = np.cumsum(first, axis=rest[0], dtype=np.uint8)
+        return np.cumsum(sums, axis=rest[1], dtype=np.uint8).reshape(-1).view(np.uint32)
     for wave in range(width + 2 * (height - 1)):
         y = np.arange(max(0, -(-(wave - width + 1) // 2)), min(height - 1, wave // 2) + 1)
         x = wave - 2 * y
@@ -387,16 +399,23 @@ class Writer:
             self.write(1, 1)
             self.write(used[0], 8)
             return
+        if len(used) == 2 and used[1] < 256:
+            self.write(0b111, 3)
+            self.write(used[0], 8)
+            self.write(used[1], 8)
+            return
         tokens, i = [], 0
         while i < len(lengths):
-            n = 1
-            while i + n < len(lengths) and lengths[i + n] == lengths[i] and n < 7:
+            zero, n = lengths[i] == 0, 1
+            while i + n < len(lengths) and lengths[i + n] == lengths[i] and n < (138 if zero else 7):
                 n += 1
-            tokens.append((lengths[i], 0, 0))
-            if n > 3:
-                tokens.append((16, n - 4, 2))
+            if zero and n >= 3:
+                tokens.append((18, n - 11, 7) if n >= 11 else (17, n - 3, 3))
+            elif not zero and n > 3:
+                tokens += [(lengths[i], 0, 0), (16, n - 4, 2)]
             else:
                 n = 1
+                tokens.append((lengths[i], 0, 0))
             i += n
         counts = [sum(t[0] == s for t in tokens) for s in range(19)]
         some = [s for s in range(19) if counts[s]]
@@ -467,6 +486,135 @@ def _cached(argb: np.ndarray, image: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return slot, hit
 
 
+def _laid(out: np.ndarray, place: np.ndarray, code: np.ndarray) -> None:
+    """Sets codes, in order, at their bits of an array of words."""
+    word, shift = place >> 6, (place & 63).astype(np.uint64)
+    at = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+    out[word[at]] |= np.bitwise_or.reduceat(code << shift, at)
+    out[word[at] + 1] |= np.bitwise_or.reduceat(np.where(shift > 0, code >> (np.uint64(64) - np.maximum(shift, np.uint64(1))), np.uint64(0)), at)
+
+
+def _prefix(run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Prefixes of lengths, and their numbers of extra bits."""
+    extra = np.where(run > 4, np.maximum(np.log2(np.maximum(run - 1, 1)).astype(np.int64) - 1, 0), 0)
+    return np.where(run <= 4, run - 1, 2 * extra + 2 + ((run - 1) >> extra & 1)), extra
+
+
+def _own_lengths(counts: np.ndarray) -> list[int]:
+    """Code lengths for counts. Rare symbols count for a 1,024th at least, which keeps codes below 16 bits."""
+    used = np.flatnonzero(counts)
+    lengths = [0] * len(counts)
+    floor = counts.sum() / 1024
+    for s, n in zip(used.tolist(), limited_lengths([max(float(counts[s]), floor) for s in used]), strict=True):
+        lengths[s] = max(n, 1)
+    if not len(used):
+        lengths[0] = 1
+    return lengths
+
+
+def _write_own(w: Writer, argb: np.ndarray, main: bool) -> None:
+    """An entropy-coded image of literals and runs under codes from its own counts."""
+    channels = argb.view(np.uint8).reshape(-1, 4)
+    start, run = _with_runs(argb, np.arange(len(argb)) == 0)
+    prefix, extra = _prefix(run)
+    inside = np.zeros(len(argb) + 1, np.int64)
+    np.add.at(inside, start, 1)
+    np.add.at(inside, start + run, -1)
+    literal = np.cumsum(inside[:-1]) == 0
+    lengths = [_own_lengths(np.bincount(channels[literal, c], minlength=256)) for c in range(4)]
+    lengths[1] = _own_lengths(np.bincount(np.concatenate([channels[literal, 1], 256 + prefix]), minlength=_GREEN))
+    w.write(0, 2 if main else 1)  # no cache; one group
+    for c in (1, 2, 0, 3):
+        w.lengths(lengths[c])
+    w.lengths([0, 1] + [0] * 38)
+    codes, sizes = [_codes(x) for x in lengths], [np.array(x, np.int64) * (np.count_nonzero(x) > 1) for x in lengths]
+    code, size = np.zeros(len(argb), np.uint64), np.zeros(len(argb), np.int64)
+    for c in (1, 2, 0, 3):
+        bits = sizes[c][channels[:, c]] * literal
+        code |= np.where(bits > 0, codes[c][channels[:, c]], np.uint64(0)) << size.astype(np.uint64)
+        size += bits
+    bits = sizes[1][256 + prefix]
+    code[start] = codes[1][256 + prefix] | ((run - 1) & ((1 << extra) - 1)).astype(np.uint64) << bits.astype(np.uint64)
+    size[start] = bits + extra
+    token = np.flatnonzero(size)
+    if len(token):
+        total = int(size.sum())
+        out = np.zeros(total // 64 + 2, np.uint64)
+        _laid(out, (np.cumsum(size) - size)[token], code[token])
+        w.write(int.from_bytes(out.tobytes(), "little"), total)
+
+
+def _residuals(argb: np.ndarray, width: int, mode: int) -> np.ndarray:
+    """What is left of pixels after the pixel to the left, or the one above, has been taken off."""
+    px = argb.view(np.uint8).reshape(-1, width, 4)
+    out = px.copy()
+    if mode == _TOP:
+        out[1:] -= px[:-1]
+        out[0, 1:] -= px[0, :-1]
+    else:
+        out[:, 1:] -= px[:, :-1]
+        out[1:, 0] -= px[:-1, 0]
+    out[:1, :1, 3] -= np.uint8(255)
+    return out.reshape(-1).view(np.uint32)
+
+
+def _less_green(argb: np.ndarray) -> np.ndarray:
+    px = argb.view(np.uint8).reshape(-1, 4).copy()
+    px[:, 0] -= px[:, 1]
+    px[:, 2] -= px[:, 1]
+    return px.reshape(-1).view(np.uint32)
+
+
+def _indexed(index: np.ndarray, width: int, bits: int) -> np.ndarray:
+    """Indices in green, several in one pixel where there are few colours."""
+    rows = index.reshape(-1, width)
+    rows = np.pad(rows, ((0, 0), (0, -width % (1 << bits)))).reshape(len(rows), -1, 1 << bits)
+    return np.bitwise_or.reduce(rows << (8 >> bits) * np.arange(1 << bits), axis=2).reshape(-1).astype(np.uint32) << np.uint32(8)
+
+
+def _estimate(argb: np.ndarray) -> float:
+    """About how many bits an image takes under codes of its own."""
+    new = np.concatenate([[True], argb[1:] != argb[:-1]])
+    total = 12.0 * np.count_nonzero(new[:-1] & ~new[1:])
+    for c in argb[new].view(np.uint8).reshape(-1, 4).T:
+        counts = np.bincount(c)
+        counts = counts[counts > 0]
+        total += 5 * len(counts) - float((counts * np.log2(counts / counts.sum())).sum())
+    return total
+
+
+def _own_form(argb: np.ndarray, width: int) -> tuple[int, int]:
+    """The image's bits and their number, under codes of its own and the transform that seems to make it smallest."""
+    height = len(argb) // width
+    forms = {"plain": argb, "green": _less_green(argb), _LEFT: _residuals(argb, width, _LEFT), _TOP: _residuals(argb, width, _TOP)}
+    cost = {k: _estimate(x) for k, x in forms.items()}
+    colours, index = np.unique(argb, return_inverse=True)
+    if len(colours) <= 256:
+        bits = 3 if len(colours) <= 2 else 2 if len(colours) <= 4 else 1 if len(colours) <= 16 else 0
+        deltas = np.diff(colours.view(np.uint8).reshape(-1, 4), axis=0, prepend=np.zeros((1, 4), np.uint8)).reshape(-1).view(np.uint32)
+        forms["palette"] = _indexed(index, width, bits)
+        cost["palette"] = _estimate(forms["palette"]) + _estimate(deltas)
+    best = min(cost, key=cost.get)
+    w = Writer()
+    if best != "plain":
+        w.write(1, 1)
+        w.write({"green": _SUBTRACT, "palette": _PALETTE}.get(best, _PREDICTOR), 2)
+    if best == "palette":
+        w.write(len(colours) - 1, 8)
+        _write_own(w, deltas, False)
+    elif best in (_LEFT, _TOP):
+        w.write(7, 3)  # one mode for blocks of 512 by 512
+        _write_own(w, np.full(_up(width, 9) * _up(height, 9), best << 8, np.uint32), False)
+    w.write(0, 1)
+    _write_own(w, forms[best], True)
+    return w.value, w.size
+
+
+#: Images of so many pixels, or where the colour cache finds so large a share of them, are tried with codes of their own. Others
+#: gain less than the codes' own size, or too little for the time that codes take.
+_OWN_PIXELS, _OWN_SHARE = 8192, 0.5
+
+
 def encode(payloads: list[bytes], widths: list[int]) -> list[bytes]:
     """A WebP file for each payload of samples, red, green, blue and alpha in turn; each is a whole number of rows of its width."""
     if not payloads:
@@ -484,8 +632,7 @@ def encode(payloads: list[bytes], widths: list[int]) -> list[bytes]:
     np.add.at(inside, start, 1)
     np.add.at(inside, start + run, -1)
     in_run = np.cumsum(inside[:-1]) > 0
-    extra = np.where(run > 4, np.maximum(np.log2(np.maximum(run - 1, 1)).astype(np.int64) - 1, 0), 0)
-    prefix = np.where(run <= 4, run - 1, 2 * extra + 2 + ((run - 1) >> extra & 1))
+    prefix, extra = _prefix(run)
 
     def coded(cached: bool) -> tuple[np.ndarray, np.ndarray]:
         """Code and number of bits of each pixel; 0 bits inside runs."""
@@ -513,19 +660,22 @@ def encode(payloads: list[bytes], widths: list[int]) -> list[bytes]:
     token = np.flatnonzero(size)
     image = image_of[token]
     place = 64 * base[image] + head_n[image] + bits[token] - bits[first[image]]
-    word, shift = place >> 6, (place & 63).astype(np.uint64)
     out = np.zeros(int(base[-1]) + 1, np.uint64)
-    at = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
-    out[word[at]] |= np.bitwise_or.reduceat(code[token] << shift, at)
-    out[word[at] + 1] |= np.bitwise_or.reduceat(np.where(shift > 0, code[token] >> (np.uint64(64) - np.maximum(shift, np.uint64(1))), np.uint64(0)), at)
+    _laid(out, place, code[token])
     for k, (value, n) in enumerate(heads):
         where = base[:-1][smaller == bool(k)]
         for i, w in enumerate(np.frombuffer(value.to_bytes((n + 63) // 64 * 8, "little"), np.uint64)):
             out[where + i] |= w
     raw, files = out.tobytes(), []
     length = ((head_n + np.diff(bits[first]) + 7) // 8).tolist()
-    for b, n, pixels, width in zip((8 * base[:-1]).tolist(), length, count.tolist(), widths, strict=True):
-        stream = b"\x2f" + ((width - 1) | (pixels // width - 1) << 14 | 1 << 28).to_bytes(4, "little") + raw[b : b + n]
+    found = np.add.reduceat(hit.astype(np.int64), first[:-1])
+    tried = ((count >= _OWN_PIXELS) | (found >= _OWN_SHARE * count)).tolist()
+    for i, (b, n, pixels, width) in enumerate(zip((8 * base[:-1]).tolist(), length, count.tolist(), widths, strict=True)):
+        body = raw[b : b + n]
+        if tried[i]:
+            value, size = _own_form(argb[first[i] : first[i + 1]], width)
+            body = min(body, value.to_bytes((size + 7) // 8, "little"), key=len)
+        stream = b"\x2f" + ((width - 1) | (pixels // width - 1) << 14 | 1 << 28).to_bytes(4, "little") + body
         padded = stream + b"\0" * (len(stream) & 1)
         files.append(b"RIFF" + struct.pack("<I", 12 + len(padded)) + b"WEBPVP8L" + struct.pack("<I", len(stream)) + padded)
     return files
