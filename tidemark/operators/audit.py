@@ -43,24 +43,28 @@ def pattern_counts(df: DataFrame, text: Column | str) -> DataFrame:
     return sums.select(F.expr("stack({}, {}) AS (pattern, x)".format(len(FORBIDDEN_PATTERNS), ", ".join(f"'{n}', {n}" for n in FORBIDDEN_PATTERNS)))).select("pattern", "x.matches", "x.rows")
 
 
-def content_problems(text: DataFrame) -> DataFrame:
-    """problem and count of an artifact whose cells are text: identifiers, domains, grain, hierarchy, versions, days, numbers."""
+def id_shapes(blocks: int = 1) -> dict[str, str]:
+    """The identifiers' shapes with so many blocks of eight digits."""
+    return {c: p.removesuffix("$") + "_[0-9A-F]{8}" * (blocks - 1) + "$" for c, p in ID_SHAPES.items()}
+
+
+def content_problems(text: DataFrame, blocks: int = 1) -> DataFrame:
+    """problem and count of an artifact whose cells are text: identifiers, domains, grain, hierarchy, versions, days, numbers. Rows are read three times: for cells, grain, and all levels' parents."""
     number = lambda c: F.expr(f"try_cast({c} as decimal(38,12))")
-    single = {f"{c} out of shape": ~F.coalesce(F.col(c).rlike(p), F.lit(False)) for c, p in ID_SHAPES.items()}
+    single = {f"{c} out of shape": ~F.coalesce(F.col(c).rlike(p), F.lit(False)) for c, p in id_shapes(blocks).items()}
     single["platform out of domain"] = ~F.coalesce(F.col("plataforma").isin(PLATFORMS), F.lit(False))
     single |= {f"{level}_versao isn't a whole number of 1 or more": ~F.coalesce(F.col(f"{level}_versao").rlike("^0*[1-9][0-9]*$"), F.lit(False)) for level in AUDITED_LEVELS}
     single["bad day"] = ~F.coalesce(F.col("data").rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$") & F.try_to_date("data", "yyyy-MM-dd").isNotNull(), F.lit(False))
     single |= {f"{m} isn't a number": number(m).isNull() for m in AUDITED_METRICS}
-    names = list(single)
-    counts = text.agg(*(F.count_if(c).alias(f"c{i}") for i, c in enumerate(single.values())))
-    parts = [counts.select(F.explode(F.array(*(F.struct(F.lit(n).alias("problem"), F.col(f"c{i}").alias("count")) for i, n in enumerate(names)))).alias("x")).select("x.*")]
-    count = lambda df, name: df.agg(F.count("*").alias("count")).select(F.lit(name).alias("problem"), "count")
-    parts.append(count(text.groupBy("anuncio_id", "data").count().where("count > 1"), "the grain isn't unique"))
-    for parent, child in zip(AUDITED_LEVELS, AUDITED_LEVELS[1:], strict=False):
-        parts.append(count(text.groupBy(f"{child}_id").agg(F.min(f"{parent}_id").alias("a"), F.max(f"{parent}_id").alias("b")).where("a <> b"), f"a {child} has more than one {parent}"))
-    fractions = text.agg(F.count("*").alias("n"), F.count_if(number("conversions") != F.floor(number("conversions"))).alias("f"))
-    parts.append(fractions.select(F.lit("all conversions are whole").alias("problem"), F.when((F.col("n") > 0) & (F.col("f") == 0), F.col("n")).otherwise(F.lit(0)).alias("count")))
-    parts.append(text.agg(F.count("*").alias("n")).select(F.lit("no rows").alias("problem"), F.when(F.col("n") == 0, 1).otherwise(0).cast("long").alias("count")))
+    counts = text.agg(F.count("*").alias("n"), F.count_if(number("conversions") != F.floor(number("conversions"))).alias("f"), *(F.count_if(c).alias(f"c{i}") for i, c in enumerate(single.values())))
+    found = {n: F.col(f"c{i}") for i, n in enumerate(single)}
+    found["all conversions are whole"] = F.when((F.col("n") > 0) & (F.col("f") == 0), F.col("n")).otherwise(F.lit(0).cast("long"))
+    found["no rows"] = F.when(F.col("n") == 0, F.lit(1).cast("long")).otherwise(F.lit(0).cast("long"))
+    parts = [counts.select(F.explode(F.array(*(F.struct(F.lit(n).alias("problem"), c.alias("count")) for n, c in found.items()))).alias("x")).select("x.*")]
+    parts.append(text.groupBy("anuncio_id", "data").count().where("count > 1").agg(F.count("*").alias("count")).select(F.lit("the grain isn't unique").alias("problem"), "count"))
+    above = F.array(*(F.struct(F.lit(f"a {child} has more than one {parent}").alias("problem"), F.col(f"{child}_id").alias("child"), F.col(f"{parent}_id").alias("parent")) for parent, child in zip(AUDITED_LEVELS, AUDITED_LEVELS[1:], strict=False)))
+    parents = text.select(F.explode(above).alias("x")).groupBy("x.problem", "x.child").agg(F.min("x.parent").alias("a"), F.max("x.parent").alias("b"))
+    parts.append(parents.where("a <> b").groupBy("problem").agg(F.count("*").alias("count")))
     return reduce(DataFrame.unionByName, parts).where("count > 0")
 
 
@@ -88,7 +92,7 @@ def contained(cells: DataFrame, cell: str, values: DataFrame, value: str, length
     return pieces.join(waiting, "gram").where(F.contains("cell", "value")).select("cell", "value")
 
 
-def leaks(text: DataFrame, real: DataFrame, value: str) -> DataFrame:
+def leaks(text: DataFrame, real: DataFrame, value: str, blocks: int = 1) -> DataFrame:
     """cell column and number of cells that give away real values: by equality in cells of an identifier's shape, as a part of others.
 
     Equality is a hash join of distinct values. Only distinct cells without that shape are searched for parts, and such cells don't
@@ -97,7 +101,7 @@ def leaks(text: DataFrame, real: DataFrame, value: str) -> DataFrame:
     cells = text.select(F.explode(F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("cell")) for c in text.columns))).alias("x")).select("x.*").where("cell is not null").distinct()
     values = real.select(F.col(value).alias("value")).where(F.length("value") > 0).distinct()
     equal = cells.join(values, F.col("cell") == F.col("value"), "left_semi")
-    shaped = reduce(lambda a, b: a | b, (F.col("cell").rlike(p) for p in ID_SHAPES.values())) | F.col("cell").rlike(r"^-?[0-9.]+$") | F.col("cell").rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$") | F.col("cell").isin(PLATFORMS)
+    shaped = reduce(lambda a, b: a | b, (F.col("cell").rlike(p) for p in id_shapes(blocks).values())) | F.col("cell").rlike(r"^-?[0-9.]+$") | F.col("cell").rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$") | F.col("cell").isin(PLATFORMS)
     free = cells.where(~shaped)
     parts = free.join(contained(free, "cell", values, "value").select("cell").distinct(), "cell", "left_semi").select("column", "cell")
     return equal.unionByName(parts).distinct().groupBy("column").agg(F.count("*").alias("leaks"))
@@ -111,12 +115,15 @@ def invariant_problems(text: DataFrame, view: DataFrame) -> DataFrame:
     both = a.join(b.select("plataforma", "data", *(F.col(c).alias(f"b_{c}") for c in names)), ["plataforma", "data"], "full_outer")
     differ = reduce(lambda x, y: x | y, (~F.col(c).eqNullSafe(F.col(f"b_{c}")) for c in names))
     parts = [both.where(differ).agg(F.count("*").alias("count")).select(F.lit("sums by platform and day differ").alias("problem"), "count")]
-    for level in AUDITED_LEVELS:
-        n = text.agg(F.count_distinct(f"{level}_id").alias("a")).join(view.agg(F.count_distinct(f"{level}_nk").alias("b")), F.lit(True))
-        parts.append(n.select(F.lit(f"the number of {level} differs").alias("problem"), F.abs(F.col("a") - F.col("b")).alias("count")))
-        versions = lambda df: df.groupBy(F.col(f"{level}_versao").cast("int").alias("v")).agg(F.count("*").alias("n"))  # noqa: E731, B023
-        x, y = versions(text), versions(view).withColumnsRenamed({"v": "w", "n": "m"})
-        parts.append(x.join(y, F.col("v").eqNullSafe(F.col("w")), "full_outer").where(~F.col("n").eqNullSafe(F.col("m"))).agg(F.count("*").alias("count")).select(F.lit(f"versions of {level} differ").alias("problem"), "count"))
+    # each side's rows of every level, identifier and version are counted once, and give both the identifiers and the versions
+    of = lambda df, key: df.select(F.explode(F.array(*(F.struct(F.lit(x).alias("level"), F.col(f"{x}_{key}").alias("id"), F.col(f"{x}_versao").cast("int").alias("v")) for x in AUDITED_LEVELS))).alias("x")).groupBy("x.level", "x.id", "x.v").agg(F.count("*").alias("n"))
+    ids = lambda df, name: df.groupBy("level").agg(F.count_distinct("id").alias(name))
+    versions = lambda df, *names: df.groupBy("level", "v").agg(F.sum("n").alias("n")).toDF(*names)
+    x, y = of(text, "id"), of(view, "nk")
+    n = ids(x, "a").join(ids(y, "b"), "level", "full_outer")
+    parts.append(n.select(F.concat(F.lit("the number of "), "level", F.lit(" differs")).alias("problem"), F.abs(F.coalesce("a", F.lit(0)) - F.coalesce("b", F.lit(0))).alias("count")))
+    both = versions(x, "level", "v", "n").join(versions(y, "l", "w", "m"), (F.col("level") == F.col("l")) & F.col("v").eqNullSafe(F.col("w")), "full_outer")
+    parts.append(both.where(~F.col("n").eqNullSafe(F.col("m"))).groupBy(F.concat(F.lit("versions of "), F.coalesce("level", "l"), F.lit(" differ")).alias("problem")).agg(F.count("*").alias("count")))
     return reduce(DataFrame.unionByName, parts).where("count > 0")
 
 
@@ -138,19 +145,19 @@ def manifest_problems(text: DataFrame, manifest: DataFrame, sha256: DataFrame |
     return both.select(F.explode(F.array_compact(F.array(*(F.when(c, F.lit(f"manifest: {n}")) for n, c in wrong.items())))).alias("problem"))
 
 
-def audited(text: DataFrame, view: DataFrame | None = None, manifest: DataFrame | None = None, real: DataFrame | None = None, without_warehouse: bool = False, sha256: DataFrame | None = None) -> DataFrame:
-    """problem and count of everything. A wrong schema ends the audit; a missing warehouse is a failure unless it was waived."""
+def audited(text: DataFrame, view: DataFrame | None = None, manifest: DataFrame | None = None, real: DataFrame | None = None, without_warehouse: bool = False, sha256: DataFrame | None = None, blocks: int = 1) -> DataFrame:
+    """problem and count of everything. A wrong schema ends the audit; a missing warehouse is a failure unless it was waived. Text and view are read several times, so pass stored ones."""
     spark = text.sparkSession
     if found := schema_problems(text.columns):
         return spark.createDataFrame([(p, 1) for p in found], "problem string, count long")
     row = F.concat_ws(",", *text.columns)
-    parts = [content_problems(text), pattern_counts(text, row).where("matches > 0").select(F.concat(F.lit("pattern: "), "pattern").alias("problem"), F.col("matches").alias("count"))]
+    parts = [content_problems(text, blocks), pattern_counts(text, row).where("matches > 0").select(F.concat(F.lit("pattern: "), "pattern").alias("problem"), F.col("matches").alias("count"))]
     if manifest is not None:
         parts.append(manifest_problems(text, manifest, sha256).select("problem", F.lit(1).cast("long").alias("count")))
     if view is not None:
         parts.append(invariant_problems(text, view))
         if real is not None:
-            parts.append(leaks(text, real, real.columns[0]).select(F.concat(F.lit("leak in "), "column").alias("problem"), F.col("leaks").alias("count")))
+            parts.append(leaks(text, real, real.columns[0], blocks).select(F.concat(F.lit("leak in "), "column").alias("problem"), F.col("leaks").alias("count")))
     elif not without_warehouse:
         parts.append(spark.createDataFrame([("the warehouse wasn't compared", 1)], "problem string, count long"))
     return reduce(DataFrame.unionByName, parts)
