@@ -18,6 +18,8 @@ from tidemark.sources.registry import LEVELS, METRICS
 #: The labels' prefixes.
 PREFIXES = {"conta": "Cliente", "campanha": "Campanha", "adset": "AdSet", "anuncio": "Anuncio"}
 DIGITS = 8
+#: Blocks of eight digits that tell all entities apart: one block (32 bits) is shared by two of some 65,000 already, two are by none of millions.
+WIDE = 2
 #: Fixed value: what the key signs for its fingerprint.
 FINGERPRINTED = b"fingerprint-da-chave-de-pseudonimizacao"
 LEAST_KEY = 32
@@ -49,13 +51,24 @@ def key_fingerprint(key: bytes) -> str:
     return hmac.new(key, FINGERPRINTED, hashlib.sha256).hexdigest()[:16].upper()
 
 
-def public_id(level: str, key: Column | str) -> Column:
+def _label(level: str, message: Column, blocks: int) -> Column:
+    """Prefix and the first blocks of eight digits of a message's keyed hash; what divides blocks keeps digits from looking like a telephone's."""
+    digest = hmac_sha256(message)
+    return F.concat(F.lit(f"{PREFIXES[level]}-"), F.concat_ws("_", *(F.substring(digest, 1 + DIGITS * i, DIGITS) for i in range(blocks))))
+
+
+def first_block(label: Column | str) -> Column:
+    """A label cut to its first block, as it is with one block alone."""
+    return F.substring_index(label, "_", 1)
+
+
+def public_id(level: str, key: Column | str, blocks: int = 1) -> Column:
     """Prefix and first digits of the keyed hash of level and key, on a table with pads; a null or empty key raises."""
     if level not in PREFIXES:
         raise ValueError(f"unknown level {level!r}")
     k = F.col(key) if isinstance(key, str) else key
     known = F.when(F.length(k) > 0, k).otherwise(F.raise_error(F.lit(f"a {level} has no key")).cast("string"))
-    return F.concat(F.lit(f"{PREFIXES[level]}-"), F.substring(hmac_sha256(F.concat(F.lit(f"{level}|"), known)), 1, DIGITS))
+    return _label(level, F.concat(F.lit(f"{level}|"), known), blocks)
 
 
 def contract_problems(columns: list[str], classes: dict[str, str] = CLASSES) -> list[str]:
@@ -63,12 +76,12 @@ def contract_problems(columns: list[str], classes: dict[str, str] = CLASSES) ->
     return [f"not classified: {c}" for c in columns if c not in classes] + [f"missing: {c}" for c, use in classes.items() if use == USED and c not in columns]
 
 
-def exposed(view: DataFrame, key: bytes) -> DataFrame:
-    """The 19 exported columns, natural keys replaced by pseudonyms."""
+def exposed(view: DataFrame, key: bytes, blocks: int = 1) -> DataFrame:
+    """The 19 exported columns, natural keys replaced by pseudonyms of so many blocks of eight digits."""
     if problems := contract_problems(view.columns):
         raise ValueError("; ".join(problems))
     rows = hmac_pads(view, key)
-    ids = {f"{level}_id": public_id(level, f"{level}_nk") for level in LEVELS}
+    ids = {f"{level}_id": public_id(level, f"{level}_nk", blocks) for level in LEVELS}
     return rows.withColumns(ids).select(*EXPORTED)
 
 
@@ -233,7 +246,7 @@ def nested_violations(raw: DataFrame, keys: list[str], allowed: list[str]) -> Da
     return reduce(DataFrame.unionByName, parts)
 
 
-def anonymised_raw(raw: DataFrame, source: str, platform: str, key: bytes) -> DataFrame:
+def anonymised_raw(raw: DataFrame, source: str, platform: str, key: bytes, blocks: int = 1) -> DataFrame:
     """row_id and the record as JSON: identifiers and names become one label each, days and metrics stay as they are."""
     rows = hmac_pads(raw, key)
     text = lambda k: F.variant_get("payload", f"$.{k}", "string")
@@ -241,7 +254,7 @@ def anonymised_raw(raw: DataFrame, source: str, platform: str, key: bytes) -> Da
     for k, f in CONTRACTS[source].items():
         if f.use in (ID, NAME):
             own = text(k.rsplit("_", 1)[0] + "_id")
-            fields.append(F.concat(F.lit(f"{PREFIXES[f.level]}-"), F.substring(hmac_sha256(F.concat(F.lit(f"bruto:v1|{platform}|"), own)), 1, DIGITS)).alias(k))
+            fields.append(_label(f.level, F.concat(F.lit(f"bruto:v1|{platform}|"), own), blocks).alias(k))
         else:
             fields.append(F.variant_get("payload", f"$.{k}", "variant").alias(k))
     return rows.select("row_id", F.to_json(F.struct(*fields)).alias("record"))

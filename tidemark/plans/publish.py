@@ -57,16 +57,17 @@ def _text_map(values: dict[str, str]):
     return F.create_map(*(F.lit(x) for pair in values.items() for x in pair))
 
 
-def export(view: DataFrame, key: str | None, target: str, published: str, allow: bool = False, parts: int = 8) -> DataFrame:
+def export(view: DataFrame, key: str | None, target: str, published: str, allow: bool = False, parts: int | None = None, blocks: int = 1) -> DataFrame:
     """Exports a view as sorted CSV with a manifest beside it, and returns the manifest.
 
     Refused are the publication folder (unless allowed), a bad key, columns that nobody classified, an empty view, and an artifact that
     fails any post-check. The checks read what was written. Several jobs read the view, so pass a stored one. A part file must stay
-    below 2 GB, which `parts` sees to.
+    below 2 GB; without `parts` their number follows the size. Labels of one block of digits are shared, and so refused, from some
+    65,000 entities on: take `blocks` = exposure.WIDE for more.
     """
     target = exposure.guard_target(target.rstrip("/"), published, allow)
     secret = exposure.checked_key(key)
-    artifact = exposure.exposed(view, secret)
+    artifact = exposure.exposed(view, secret, blocks)
     spark, partial = view.sparkSession, f"{target}.partial"
     if view.limit(1).count() == 0:
         raise ValueError("the view has no rows")
@@ -80,7 +81,7 @@ def export(view: DataFrame, key: str | None, target: str, published: str, allow:
         entities = back.agg(F.struct(*(F.count_distinct(f"{level}_id").alias(level) for level in LEVELS)).alias("cardinalidades"))
         fields = {
             "versao_contrato": F.lit(CONTRACT_VERSION), "artefato": F.lit(DATA_NAME), "colunas": F.array(*(F.lit(c) for c in exposure.EXPORTED)), "tipos": _text_map(TYPES),
-            "grao": F.lit(GRAIN), "fingerprint_chave": F.lit(exposure.key_fingerprint(secret)), "avisos": _text_map(WARNINGS),
+            "grao": F.lit(GRAIN), "fingerprint_chave": F.lit(exposure.key_fingerprint(secret)), "avisos": _text_map(WARNINGS), "blocos_rotulo": F.lit(blocks),
         }
         _described(back, "data", fields, data).join(entities, F.lit(True)).coalesce(1).write.mode("overwrite").json(f"{partial}/{MANIFEST_NAME}")
         swap(spark, partial, target)

@@ -477,10 +477,10 @@ def chained_keys(spark, sf_dir):
 # Exposure and audit.
 
 
-def _exposed(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    """The view, and its artifact, both stored, as their checks read them many times."""
+def _exposed(spark, sf_dir, blocks: int = exposure.WIDE) -> tuple[DataFrame, DataFrame]:
+    """The view, and its artifact, both stored, as their checks read them many times. Labels are wide, so that no two entities share one, however many there are."""
     view = _stored(_view(spark, sf_dir), "view")
-    return view, _stored(exposure.exposed(view, exposure.checked_key(DEMO_KEY.decode())), "artifact")
+    return view, _stored(exposure.exposed(view, exposure.checked_key(DEMO_KEY.decode()), blocks), "artifact")
 
 
 def _stored(df: DataFrame, label: str) -> DataFrame:
@@ -508,7 +508,7 @@ _IDS_SQL = ", ".join(_label(x, f"'{x}|' || {x}_nk") + f" {x}_id" for x in LEVELS
 
 @query(_EXPOSED, f"WITH {view_sql()} SELECT *, {_IDS_SQL} FROM vw")
 def exposed_artifact(spark, sf_dir):
-    return _exposed(spark, sf_dir)[1]
+    return _exposed(spark, sf_dir, blocks=1)[1]
 
 
 @query("problem string")
@@ -541,9 +541,14 @@ def export_manifest(spark, sf_dir):
 @query("problem string, count bigint")
 def audit_findings(spark, sf_dir):
     """An audit of the exported artifact as text against the view and the real names: a sound artifact gives no rows."""
-    view, artifact = _exposed(spark, sf_dir)
+    view = _stored(_view(spark, sf_dir), "view")
+    return _audited(exposure.exposed(view, DEMO_KEY, exposure.WIDE), view)
+
+
+def _audited(artifact: DataFrame, view: DataFrame) -> DataFrame:
+    """The audit of an artifact, whose text is stored first: every check reads it, and none makes it anew."""
     real = view.select(F.explode(F.array(*(f"{x}_nome" for x in LEVELS), *(f"{x}_nk" for x in LEVELS))).alias("value"))
-    return audit.audited(raw.as_text(artifact), view, real=real)
+    return audit.audited(_stored(raw.as_text(artifact), "text"), view, real=real, blocks=exposure.WIDE)
 
 
 def _tampered_sql() -> str:
@@ -561,20 +566,20 @@ def _tampered_sql() -> str:
 @query("problem string, count bigint", _tampered_sql())
 def audit_of_a_tampered_artifact(spark, sf_dir):
     """The audit of an artifact whose accounts bear their real names on the last day."""
-    view, artifact = _exposed(spark, sf_dir)
-    accounts = exposure.hmac_pads(view.select("conta_nk", "conta_nome").distinct(), DEMO_KEY).select(exposure.public_id("conta", "conta_nk").alias("conta_id"), "conta_nome")
+    view = _stored(_view(spark, sf_dir), "view")
+    artifact = exposure.exposed(view, DEMO_KEY, exposure.WIDE)
+    accounts = exposure.hmac_pads(view.select("conta_nk", "conta_nome").distinct(), DEMO_KEY).select(exposure.public_id("conta", "conta_nk", exposure.WIDE).alias("conta_id"), "conta_nome")
     rows = artifact.join(accounts, "conta_id").join(F.broadcast(view.agg(F.max("data").alias("last_day"))), F.lit(True))
     tampered = rows.withColumn("conta_id", F.when(F.col("data") == F.col("last_day"), F.col("conta_nome")).otherwise(F.col("conta_id"))).select(*artifact.columns)
-    real = view.select(F.explode(F.array(*(f"{x}_nome" for x in LEVELS), *(f"{x}_nk" for x in LEVELS))).alias("value"))
-    return audit.audited(raw.as_text(tampered), view, real=real)
+    return _audited(tampered, view)
 
 
 @query(_EXPOSED, f"WITH {view_sql()} SELECT *, {_IDS_SQL} FROM vw")
 def exported_csv(spark, sf_dir):
-    """The view through the export with its checks and manifest, as read back from the published CSV."""
+    """The view through the export with its checks and manifest, as read back from the published CSV. Its labels are wide; here their first block is shown."""
     target = raw.scratch_path(spark, "export")
-    export(_exposed(spark, sf_dir)[0], DEMO_KEY.decode(), target, "/published")
-    return raw.read_text_csv(spark, f"{target}/{DATA_NAME}")
+    export(_stored(_view(spark, sf_dir), "view"), DEMO_KEY.decode(), target, "/published", blocks=exposure.WIDE)
+    return raw.read_text_csv(spark, f"{target}/{DATA_NAME}").withColumns({f"{x}_id": exposure.first_block(f"{x}_id") for x in LEVELS})
 
 
 @query("account_id string, ad_id string, rows bigint, spend money", f"WITH {RAW_SQL} SELECT {_label('conta', "'bruto:v1|meta_ads|A' || (u % 4)")} account_id, {_label('anuncio', "'bruto:v1|meta_ads|U' || u")} ad_id, count(*) AS rows, sum(v) spend FROM g WHERE u % 2 = 0 GROUP BY 1, 2")

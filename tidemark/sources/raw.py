@@ -149,15 +149,21 @@ def as_text(df: DataFrame) -> DataFrame:
     return df.select(*(text(c, kind).alias(c) for c, kind in df.dtypes))
 
 
-def write_sorted_csv(df: DataFrame, path: str, keys: list[str], parts: int = 8) -> None:
+def ranged(df: DataFrame, keys: list[str], parts: int | None = None) -> DataFrame:
+    """Rows dealt to sorted ranges of the keys; without `parts` there are as many as their size asks for, so that no task's sort grows with the table."""
+    dealt = df.repartitionByRange(*keys) if parts is None else df.repartitionByRange(parts, *keys)
+    return dealt.sortWithinPartitions(*keys)
+
+
+def write_sorted_csv(df: DataFrame, path: str, keys: list[str], parts: int | None = None) -> None:
     """CSV parts in the order of the keys, with exact decimals as text; Spark's job commit publishes them together."""
-    as_text(df).repartitionByRange(parts, *keys).sortWithinPartitions(*keys).write.mode("overwrite").csv(path, header=True)
+    ranged(as_text(df), keys, parts).write.mode("overwrite").csv(path, header=True)
 
 
-def write_sorted_json(df: DataFrame, path: str, parts: int = 8) -> None:
+def write_sorted_json(df: DataFrame, path: str, parts: int | None = None) -> None:
     """JSON lines in the order of their text."""
     lines = df.select(F.to_json(F.struct(*sorted(df.columns))).alias("value"))
-    lines.repartitionByRange(parts, "value").sortWithinPartitions("value").write.mode("overwrite").text(path)
+    ranged(lines, ["value"], parts).write.mode("overwrite").text(path)
 
 
 def write_fact(df: DataFrame, path: str, key: str = "anuncio_id", day: str = "data") -> None:
