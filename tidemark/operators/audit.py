@@ -26,6 +26,8 @@ FORBIDDEN_PATTERNS = {
     "arroba": r"(?U)@[\w.]+",
 }
 LEAST_SEARCHED = 4
+#: How many hashes of grams there are: the bound of a table that every task holds.
+_SIEVE = 1 << 18
 #: What a manifest must hold.
 MANIFEST_FIELDS = ["versao_contrato", "gerado_em", "artefato", "sha256", "linhas", "data_min", "data_max", "colunas", "tipos", "grao", "fingerprint_chave", "avisos"]
 
@@ -80,16 +82,20 @@ def contained(cells: DataFrame, cell: str, values: DataFrame, value: str, length
     Many patterns at once by an index of rarest grams: every gram of the cells is counted; a value waits at that of its grams which the
     fewest cells have, and not at all if some gram is in no cell. Cells meet the values that wait at their grams and are then compared.
     A gram that most cells have is therefore met only by values that have no rarer one; it spreads over tasks by cell.
+
+    Cells are shuffled only under grams at which some value may wait: grams are counted in each task first, and a table of at most
+    `_SIEVE` hashes of the grams waited at, which every task holds, keeps the others back.
     """
     texts = cells.select(F.col(cell).alias("cell")).where(F.length("cell") >= length).distinct()
     wanted = values.select(F.col(value).alias("value")).where(F.length("value") >= length).distinct()
     pieces = texts.select("cell", F.explode(_grams("cell", length)).alias("gram"))
-    # only grams that some value has are counted and met
     asked = wanted.select("value", F.explode(_grams("value", length)).alias("gram"))
-    counted = pieces.join(asked.select("gram").distinct(), "gram", "left_semi").groupBy("gram").agg(F.count("*").alias("n"))
+    counted = pieces.groupBy("gram").agg(F.count("*").alias("n"))
     found = asked.join(counted, "gram", "left").groupBy("value").agg(F.min(F.struct("n", "gram")).alias("rarest"), F.count_if(F.col("n").isNull()).alias("absent")).where("absent = 0")
     waiting = found.select("value", F.col("rarest.gram").alias("gram"))
-    return pieces.join(waiting, "gram").where(F.contains("cell", "value")).select("cell", "value")
+    sieve = F.pmod(F.xxhash64("gram"), F.lit(_SIEVE))
+    met = pieces.withColumn("_hash", sieve).join(F.broadcast(waiting.select(sieve.alias("_hash")).distinct()), "_hash", "left_semi").drop("_hash")
+    return met.join(waiting, "gram").where(F.contains("cell", "value")).select("cell", "value")
 
 
 def leaks(text: DataFrame, real: DataFrame, value: str, blocks: int = 1) -> DataFrame:
