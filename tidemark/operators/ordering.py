@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+#: Rows of a run: two to the power of this.
+_RUN = 18
 _UNORDERED = ("map", "variant", "interval")
 
 
@@ -58,12 +60,15 @@ def restored(files: DataFrame, path: str, name: str = "position") -> DataFrame:
 
 
 def order_problems(files: DataFrame, keys: list[str], path: str) -> DataFrame:
-    """`position`, `previous` and `current` keys where the files' rows aren't in ascending order of the keys: inside a block or at the border of two."""
-    stored = _placed_files(files.sparkSession, files, path)
+    """`position`, `previous` and `current` keys where the files' rows aren't in ascending order of the keys: inside a run of rows or at the border of two.
+
+    A block is cut into runs of at most 2 ** _RUN rows, so a task holds one run of it, however large blocks are; of each run, one row meets the others.
+    """
+    stored = _placed_files(files.sparkSession, files, path).withColumn("_run", F.shiftright("_place", _RUN))
     key = F.struct(*keys)
-    inside = Window.partitionBy("_file", "_block").orderBy("_place")
+    inside = Window.partitionBy("_file", "_block", "_run").orderBy("_place")
     falls = stored.select("_file", "_block", "_place", F.lag(key).over(inside).alias("previous"), key.alias("current")).where(F.col("previous") > F.col("current"))
-    blocks = stored.groupBy("_file", "_block").agg(F.min("_place").alias("_place"), F.min_by(key, "_place").alias("current"), F.max_by(key, "_place").alias("last"))
-    across = blocks.select("_file", "_block", "_place", F.lag("last").over(Window.orderBy("_file", "_block")).alias("previous"), "current").where(F.col("previous") > F.col("current"))
+    runs = stored.groupBy("_file", "_block", "_run").agg(F.min("_place").alias("_place"), F.min_by(key, "_place").alias("current"), F.max_by(key, "_place").alias("last"))
+    across = runs.select("_file", "_block", "_place", F.lag("last").over(Window.orderBy("_file", "_block", "_run")).alias("previous"), "current").where(F.col("previous") > F.col("current"))
     numbers = _shifted(stored.select("_file", "_block", "_place"), [], ["_file", "_block"], ["_file", "_block", "_place"], "position")
     return falls.unionByName(across).join(numbers, ["_file", "_block", "_place"]).select("position", "previous", "current")
