@@ -78,27 +78,29 @@ def ordered_report(blocks: dict[str, tuple[DataFrame, list[str], list[str]]], pa
     """The report on several comparisons, name -> (keyed diff or pairs, keys, fields), as numbered lines.
 
     A block begins with the number of rows of each status; then come new keys, removed keys, and each changed field with both values,
-    delta and percent change. The order depends on contents alone: block, section, key, field, values.
+    delta and percent change. The order depends on contents alone: block, section, key, field, values. Each comparison is stored below
+    `path`, as its rows and their totals are read more than once.
     """
     lines = []
-    for name, (diff, keys, fields) in blocks.items():
+    for i, (name, (compared, keys, fields)) in enumerate(blocks.items()):
+        compared.write.parquet(f"{path}/block-{i}")
+        diff = compared.sparkSession.read.schema(compared.schema).parquet(f"{path}/block-{i}")
         kinds = dict(diff.dtypes)
         key = F.concat_ws(" | ", *(_shown(F.col(k), kinds[k]) for k in keys))
-        none = F.lit(None).cast("string")
+        none, number_of_none = F.lit(None).cast("string"), F.lit(None).cast("decimal(38,6)")
         number = lambda c, k=kinds: F.col(c).cast("decimal(38,6)") if k[c].startswith(("decimal", "int", "bigint", "smallint", "tinyint", "double", "float")) else F.lit(None).cast("decimal(38,6)")
 
-        def changes(fields=fields, kinds=kinds, number=number) -> Column:
-            each = (F.struct(F.lit(f).alias("field"), _shown(F.col(f"before_{f}"), kinds[f"before_{f}"]).alias("before"), _shown(F.col(f"after_{f}"), kinds[f"after_{f}"]).alias("after"), number(f"before_{f}").alias("x"), number(f"after_{f}").alias("y"), F.col(f"before_{f}").eqNullSafe(F.col(f"after_{f}")).alias("same")) for f in fields)
-            return F.explode(F.filter(F.array(*each), lambda e: ~e["same"])).alias("e")
+        def line(section, field=none, before=none, after=none, x=number_of_none, y=number_of_none) -> Column:
+            return F.struct(F.lit(section).alias("section"), field.alias("field"), before.alias("before"), after.alias("after"), x.alias("x"), y.alias("y"))
 
+        changed = F.array_compact(F.array(*(F.when(~F.col(f"before_{f}").eqNullSafe(F.col(f"after_{f}")), line(3, F.lit(f), _shown(F.col(f"before_{f}"), kinds[f"before_{f}"]), _shown(F.col(f"after_{f}"), kinds[f"after_{f}"]), number(f"before_{f}"), number(f"after_{f}"))) for f in fields)))
+        of_row = F.when(F.col("status") == "NEW", F.array(line(1))).when(F.col("status") == "REMOVED", F.array(line(2))).when(F.col("status") == "CHANGED", changed)
         block = F.lit(name).alias("block")
-        totals = diff.groupBy("status").agg(F.count("*").alias("n")).select(block, F.lit(0).alias("section"), "status", none.alias("key"), none.alias("field"), none.alias("before"), F.col("n").cast("string").alias("after"), F.lit(None).cast("decimal(38,6)").alias("x"), F.lit(None).cast("decimal(38,6)").alias("y"))
-        whole = diff.where("status IN ('NEW', 'REMOVED')").select(block, F.when(F.col("status") == "NEW", 1).otherwise(2).alias("section"), "status", key.alias("key"), none.alias("field"), none.alias("before"), none.alias("after"), F.lit(None).cast("decimal(38,6)").alias("x"), F.lit(None).cast("decimal(38,6)").alias("y"))
-        changed = diff.where("status = 'CHANGED'").select("status", key.alias("key"), changes()).select(block, F.lit(3).alias("section"), "status", "key", "e.field", "e.before", "e.after", "e.x", "e.y")
-        lines += [totals, whole, changed]
+        totals = diff.groupBy("status").agg(F.count("*").alias("n")).select(block, F.lit(0).alias("section"), "status", none.alias("key"), none.alias("field"), none.alias("before"), F.col("n").cast("string").alias("after"), number_of_none.alias("x"), number_of_none.alias("y"))
+        lines += [totals, diff.select(block, "status", key.alias("key"), F.explode(of_row).alias("e")).select("block", "e.section", "status", "key", "e.field", "e.before", "e.after", "e.x", "e.y")]
     delta = F.col("y") - F.col("x")
     rows = reduce(DataFrame.unionByName, lines).select("block", "section", "status", "key", "field", "before", "after", delta.alias("delta"), percent_change("x", "y").alias("percent"))
-    return numbered(rows, ["block", "section", "key", "field", "before", "after", "status"], path)
+    return numbered(rows, ["block", "section", "key", "field", "before", "after", "status"], f"{path}/lines")
 
 
 def diff_report(diff: DataFrame) -> DataFrame:
