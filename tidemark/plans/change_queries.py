@@ -106,8 +106,8 @@ def order_of_files(spark, sf_dir):
 
 
 def _caught_up(spark, sf_dir) -> dict[str, DataFrame]:
-    """Layers built without the last load of three days of the month, and then refreshed with the days that it revises."""
-    records = raw_records(spark, sf_dir)
+    """Layers built without the last load of three days of the month, and then refreshed with the days that it revises. Both read stored records."""
+    records = incremental.aside(raw_records(spark, sf_dir), "records")
     revised = F.day("reference_date").isin(5, 12, 20)
     layers = incremental.Layers(spark, raw.scratch_path(spark, "layers"), buckets=8)
     layers.build(staging.silver(records.where(~revised | (F.datediff("extracted_at", "reference_date") < 3))))

@@ -59,7 +59,8 @@ def _replace(df: DataFrame, path: str, column: str, values: list) -> None:
         gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
 
 
-def _aside(df: DataFrame, label: str) -> DataFrame:
+def aside(df: DataFrame, label: str) -> DataFrame:
+    """The rows as stored, for what is read more than once."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -92,12 +93,12 @@ class Layers:
         if days is None:
             _store(rows, self._path("fato_metricas"), "_day")
         else:
-            _replace(_aside(rows, "facts"), self._path("fato_metricas"), "_day", days)
+            _replace(aside(rows, "facts"), self._path("fato_metricas"), "_day", days)
 
     def _store_small(self, days: DataFrame, platforms: DataFrame) -> None:
         """Calendar and platforms, one file each, if they differ from what is stored."""
         for name, df in (("dim_tempo", calendar(days, "data")), ("dim_plataforma", platforms)):
-            new = _aside(df.coalesce(1), name)
+            new = aside(df.coalesce(1), name)
             try:
                 stored = self._read(name)
             except Exception as missing:  # noqa: BLE001
@@ -117,30 +118,30 @@ class Layers:
         """Takes over all of silver's rows of some days, and tells which partitions of each table were replaced."""
         replaced: dict[str, list] = {}
         old_silver = self._read("silver")
-        new = _aside(silver_of_days.where(F.col("data").isin(days)).select(*old_silver.columns), "days")
+        new = aside(silver_of_days.where(F.col("data").isin(days)).select(*old_silver.columns), "days")
         old = old_silver.where(F.col("data").isin(days))
         changed_days = {r[0] for r in _differing(new, old).select("data").distinct().collect()}
         ads, fact_days = self._read("dim_anuncio"), set(changed_days)
         later = []
         for level in LEVELS:
             seen, dim = self._read(f"seen_{level}"), self._read(f"dim_{level}")
-            mine = _aside(_observations(new, level, self.buckets), "seen")
+            mine = aside(_observations(new, level, self.buckets), "seen")
             stored_days = seen.where(F.col("day").isin(days))
-            touched = _aside(_differing(mine.select(*_OBSERVED, "bucket"), stored_days.select(*_OBSERVED, "bucket")).select("nk", "bucket").distinct(), "touched")
+            touched = aside(_differing(mine.select(*_OBSERVED, "bucket"), stored_days.select(*_OBSERVED, "bucket")).select("nk", "bucket").distinct(), "touched")
             buckets = sorted(r[0] for r in touched.select("bucket").distinct().collect())
             if not buckets:
                 continue
-            seen_now = _aside(seen.where(F.col("bucket").isin(buckets) & ~F.col("day").isin(days)).unionByName(mine.where(F.col("bucket").isin(buckets))), "seen")
+            seen_now = aside(seen.where(F.col("bucket").isin(buckets) & ~F.col("day").isin(days)).unionByName(mine.where(F.col("bucket").isin(buckets))), "seen")
             of = lambda df, key, t=touched: df.join(t.select(F.col("nk").alias("_nk")), F.col(key).eqNullSafe(F.col("_nk")), "left_semi")
             without = lambda df, key, t=touched: df.join(t.select(F.col("nk").alias("_nk")), F.col(key).eqNullSafe(F.col("_nk")), "left_anti")
             there = dim.where(F.col("bucket").isin(buckets))
-            versions = _aside(_versions(of(seen_now, "nk"), level, self.buckets).select(*dim.columns), "versions")
-            moved = _aside(_differing(versions, of(there, f"{level}_nk")).select(F.col(f"{level}_nk").alias("nk"), "bucket").distinct(), "moved")
+            versions = aside(_versions(of(seen_now, "nk"), level, self.buckets).select(*dim.columns), "versions")
+            moved = aside(_differing(versions, of(there, f"{level}_nk")).select(F.col(f"{level}_nk").alias("nk"), "bucket").distinct(), "moved")
             dim_buckets = sorted(r[0] for r in moved.select("bucket").distinct().collect())
             later.append((f"seen_{level}", seen_now, buckets))
             if dim_buckets:
                 here = F.col("bucket").isin(dim_buckets)
-                dim_now = _aside(without(there.where(here), f"{level}_nk").unionByName(versions.where(here)), "dim")
+                dim_now = aside(without(there.where(here), f"{level}_nk").unionByName(versions.where(here)), "dim")
                 later.insert(0, (f"dim_{level}", dim_now, dim_buckets))
                 if level == LEVELS[-1]:
                     fact_days |= {r[0] for r in seen_now.join(moved.select(F.col("nk").alias("_nk")), F.col("nk").eqNullSafe(F.col("_nk")), "left_semi").select("day").distinct().collect()}
