@@ -246,8 +246,8 @@ def nested_violations(raw: DataFrame, keys: list[str], allowed: list[str]) -> Da
     return reduce(DataFrame.unionByName, parts)
 
 
-def anonymised_raw(raw: DataFrame, source: str, platform: str, key: bytes, blocks: int = 1) -> DataFrame:
-    """row_id and the record as JSON: identifiers and names become one label each, days and metrics stay as they are."""
+def anonymised_raw(raw: DataFrame, source: str, platform: str, key: bytes, blocks: int = 1, carried: list[str] | None = None) -> DataFrame:
+    """row_id and the record as JSON: identifiers and names become one label each, days and metrics stay as they are. `carried` columns stay."""
     rows = hmac_pads(raw, key)
     text = lambda k: F.variant_get("payload", f"$.{k}", "string")
     fields = []
@@ -257,7 +257,7 @@ def anonymised_raw(raw: DataFrame, source: str, platform: str, key: bytes, block
             fields.append(_label(f.level, F.concat(F.lit(f"bruto:v1|{platform}|"), own), blocks).alias(k))
         else:
             fields.append(F.variant_get("payload", f"$.{k}", "variant").alias(k))
-    return rows.select("row_id", F.to_json(F.struct(*fields)).alias("record"))
+    return rows.select("row_id", *(carried or []), F.to_json(F.struct(*fields)).alias("record"))
 
 
 def label_collisions(labels: DataFrame, group: list[str], label: str, identity: str) -> DataFrame:
@@ -269,6 +269,11 @@ def preservation_violations(before: DataFrame, after: DataFrame, kept: list[str]
     """Rows where a value that must stay differs, one that must change doesn't, or two columns of `same` have different labels afterwards. Rows that one side lacks differ. A null or empty value has nothing to change."""
     b = after.select(F.col(key), *(F.col(c).alias(f"_{c}") for c in (*kept, *changed)))
     rows = before.join(b, key, "full_outer")
+    return rows.select(key, F.explode(preservation_problems(kept, changed, same)).alias("problem"))
+
+
+def preservation_problems(kept: list[str], changed: list[str], same: Mapping[str, str] | None = None) -> Column:
+    """The same as an array of a row's problems, where the row has its columns before, and with a leading _ those after."""
     bad = [F.when(~F.col(c).eqNullSafe(F.col(f"_{c}")), F.lit(f"changed: {c}")) for c in kept] + [F.when((F.length(c) > 0) & F.col(c).eqNullSafe(F.col(f"_{c}")), F.lit(f"kept: {c}")) for c in changed]
     bad += [F.when(~F.col(f"_{x}").eqNullSafe(F.col(f"_{y}")), F.lit(f"{x} isn't {y}")) for x, y in (same or {}).items()]
-    return rows.select(key, F.explode(F.array_compact(F.array(*bad))).alias("problem"))
+    return F.array_compact(F.array(*bad))

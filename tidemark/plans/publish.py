@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import exposure
+from tidemark.plans.incremental import aside
 from tidemark.sources import raw
 from tidemark.sources.registry import LEVELS, METRICS
 
@@ -90,11 +91,12 @@ def export(view: DataFrame, key: str | None, target: str, published: str, allow:
     return spark.read.json(f"{target}/{MANIFEST_NAME}")
 
 
-def publish_anonymised(rows: DataFrame, source: str, platform: str, key: str | None, target: str, allowed: list[str] = exposure.ALLOWED_LABELS, parts: int = 8) -> DataFrame:
+def publish_anonymised(rows: DataFrame, source: str, platform: str, key: str | None, target: str, allowed: list[str] = exposure.ALLOWED_LABELS, parts: int | None = None, blocks: int = 1) -> DataFrame:
     """Writes the anonymised records of a source (`row_id`, VARIANT `payload`) as sorted JSON lines with a manifest, which is returned.
 
     Refused are records that break the contract or hold labels that aren't allowed, labels of two identities, values that changed or
-    identifiers that didn't, and files that read back differently.
+    identifiers that didn't, and files that read back differently. Several jobs read the rows, so pass stored ones. Records are made once
+    and stored beside their payloads, so that both are compared in a row. `blocks` of digits as in export.
     """
     secret, contract = exposure.checked_key(key), exposure.CONTRACTS[source]
     spark, target = rows.sparkSession, target.rstrip("/")
@@ -103,26 +105,27 @@ def publish_anonymised(rows: DataFrame, source: str, platform: str, key: str | N
     if nested := of(exposure.NESTED):
         found = found.unionByName(exposure.nested_violations(rows, nested, allowed).select("problem"))
     _refuse(found)
-    records = exposure.anonymised_raw(rows, source, platform, secret)
-    text = lambda df, payload: df.select("row_id", *(F.variant_get(payload, f"$.{k}", "string").alias(k) for k in contract))
-    before, after = text(rows, F.col("payload")), text(records, F.parse_json("record"))
+    records = aside(exposure.anonymised_raw(rows, source, platform, secret, blocks, carried=["payload"]), "records")
+    if records.count() != rows.count():
+        raise ValueError("records were lost")
+    text = lambda payload, prefix: [F.variant_get(payload, f"$.{k}", "string").alias(f"{prefix}{k}") for k in contract]
+    both = records.withColumn("after", F.parse_json("record")).select(*text("payload", ""), *text("after", "_"))
     names = {k: k.rsplit("_", 1)[0] + "_id" for k in of(exposure.NAME)}
-    _refuse(exposure.preservation_violations(before, after, of(exposure.DAY, exposure.METRIC_FIELD, exposure.NESTED), of(exposure.ID, exposure.NAME), same=names).select("problem"))
-    pairs = before.join(after.select("row_id", *(F.col(k).alias(f"_{k}") for k in names.values())), "row_id")
-    labels = pairs.select(F.explode(F.array(*(F.struct(F.lit(k).alias("level"), F.col(k).alias("identity"), F.col(f"_{k}").alias("label")) for k in names.values()))).alias("x")).select("x.*")
+    _refuse(both.select(F.explode(exposure.preservation_problems(of(exposure.DAY, exposure.METRIC_FIELD, exposure.NESTED), of(exposure.ID, exposure.NAME), names)).alias("problem")))
+    labels = both.select(F.explode(F.array(*(F.struct(F.lit(k).alias("level"), F.col(k).alias("identity"), F.col(f"_{k}").alias("label")) for k in names.values()))).alias("x")).select("x.*")
     _refuse(exposure.label_collisions(labels, ["level"], "label", "identity").select(F.concat(F.lit("one label for two of "), "level").alias("problem")))
     partial = f"{target}.partial"
     try:
         data = f"{partial}/records.json"
         lines = records.select(F.col("record").alias("value"))
-        lines.repartitionByRange(parts, "value").sortWithinPartitions("value").write.mode("overwrite").text(data)
+        raw.ranged(lines, ["value"], parts).write.mode("overwrite").text(data)
         back = spark.read.text(data)
         if raw.fingerprint(back).first() != raw.fingerprint(lines).first():
             raise ValueError("the records read back differently")
         day = of(exposure.DAY)[0]
         fields = {
             "versao": F.lit(CONTRACT_VERSION), "fonte": F.lit(source), "arquivo": F.lit("records.json"), "campos_esperados": F.array(*(F.lit(k) for k in contract)),
-            "classificacao": _text_map({k: f.use for k, f in contract.items()}), "fingerprint_chave": F.lit(exposure.key_fingerprint(secret)),
+            "classificacao": _text_map({k: f.use for k, f in contract.items()}), "fingerprint_chave": F.lit(exposure.key_fingerprint(secret)), "blocos_rotulo": F.lit(blocks),
         }
         _described(back.select(F.variant_get(F.parse_json("value"), f"$.{day}", "string").alias(day)), day, fields, data).coalesce(1).write.mode("overwrite").json(f"{partial}/{MANIFEST_NAME}")
         swap(spark, partial, target)

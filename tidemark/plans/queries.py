@@ -584,12 +584,13 @@ def exported_csv(spark, sf_dir):
 
 @query("account_id string, ad_id string, rows bigint, spend money", f"WITH {RAW_SQL} SELECT {_label('conta', "'bruto:v1|meta_ads|A' || (u % 4)")} account_id, {_label('anuncio', "'bruto:v1|meta_ads|U' || u")} ad_id, count(*) AS rows, sum(v) spend FROM g WHERE u % 2 = 0 GROUP BY 1, 2")
 def anonymised_files(spark, sf_dir):
-    """The anonymised records through the writer with its checks and manifest, as read back from the published files."""
+    """The anonymised records through the writer with its checks and manifest, as read back from the published files. Their labels are wide; here their first block is shown."""
     target = raw.scratch_path(spark, "anonymised")
     allowed = [*exposure.ALLOWED_LABELS, "onsite_conversion.ig_profile_view", "purchase", "omni_purchase"]
-    publish_anonymised(raw_records(spark, sf_dir).where("source = 'meta_ads'"), "meta_ads", "meta_ads", DEMO_KEY.decode(), target, allowed)
+    records = _stored(raw_records(spark, sf_dir).where("source = 'meta_ads'"), "records")
+    publish_anonymised(records, "meta_ads", "meta_ads", DEMO_KEY.decode(), target, allowed, blocks=exposure.WIDE)
     v = F.parse_json("value")
-    rows = spark.read.text(f"{target}/records.json").select(*(F.variant_get(v, f"$.{c}", "string").alias(c) for c in ("account_id", "ad_id")), F.variant_get(v, "$.spend", MONEY).alias("spend"))
+    rows = spark.read.text(f"{target}/records.json").select(*(exposure.first_block(F.variant_get(v, f"$.{c}", "string")).alias(c) for c in ("account_id", "ad_id")), F.variant_get(v, "$.spend", MONEY).alias("spend"))
     return rows.groupBy("account_id", "ad_id").agg(F.count("*").alias("rows"), F.sum("spend").alias("spend"))
 
 
