@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -216,6 +217,35 @@ def test_word_encoder_equals_library():
     assert [np.array(e.ids, "<u4").tobytes() for e in t.encode_batch(texts, add_special_tokens=False)] == got
 
 
+def test_word_encoder_merges_each_pretoken_of_a_batch_once():
+    encoder, merged = packing.WordEncoder(WORD_BPE, 1000), []
+    packed = encoder.merges.packed
+    encoder.merges.packed = lambda ids, lengths: merged.append(len(ids)) or packed(ids, lengths)
+    texts = ["Hand hand, hand. (hand) HAND! hand", "hand; hAND? \"hand\" " * 50]
+    got = encoder.encode([x.encode() for x in texts])
+    assert sum(merged) == len('hand,.()!;?"')
+    assert got == [np.array(e.ids, "<u4").tobytes() for e in Tokenizer.from_file(WORD_BPE).encode_batch(texts, add_special_tokens=False)]
+
+
+@pytest.mark.parametrize("text", ["a" * 300, "a" * 300 + " " + "b" * 300, " ", "", "\n漢 漢\t", "a " + "b" * 300 + " 漢 '", "é É"])
+def test_word_encoder_of_single_texts(text):
+    want = np.array(Tokenizer.from_file(WORD_BPE).encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    assert packing.WordEncoder(WORD_BPE, 10).encode([text.encode()]) == [want]
+
+
+@pytest.mark.parametrize("most", [1, 20, 1000])
+def test_word_encoder_forgets_without_a_trace(most):
+    """Batches of many and few words, with more words than are remembered: ids stay the library's, and frequent words stay known."""
+    rng, encoder, t = random.Random(5), packing.WordEncoder(WORD_BPE, most), Tokenizer.from_file(WORD_BPE)
+    for size in (0, 40, 1, 40, 2, 0, 1, 40, 40):
+        texts = [None, *(" ".join(rng.choice(["the", "The,", "漢字", "É", "", f"w{rng.randrange(500)}", "x" * 400]) for _ in range(rng.randrange(30))) for _ in range(size))][:size]
+        want = [np.array([*t.encode(x or "", add_special_tokens=False).ids, 2], "<u4").tobytes() for x in texts]
+        assert encoder.ids(pa.array(texts, pa.string()), np.array([2], "<u4").tobytes()).to_pylist() == want
+        assert len(encoder.words) == len(encoder.known) == len(encoder.counts) <= 2 * most + 1
+        assert encoder.words[0].as_py() == "" and "x" * 400 not in encoder.words.to_pylist()
+    assert {"the", "The,"} <= set(encoder.words.to_pylist()) or most == 1
+
+
 def test_bpe_equals_library(spark):
     rng = random.Random(3)
     parts = ["a", "b", " ", "  ", "\n", "\t", "\x1c", "\x85", "\xa0", "é", "漢", "1", "２", "'s", "'", "!", "<|endoftext|>", "\0", "ſ", "It's", "\r\n", " \n", "\n "]

@@ -24,17 +24,18 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain, filterfalse
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
 from tidemark.llm.bpe import Merges, byte_letters
-from tidemark.llm.shared import bounded_batches, pieces, repeated, utf8, written
+from tidemark.llm.shared import bounded_batches, repeated, written
 
 
 @dataclass(frozen=True)
@@ -47,22 +48,26 @@ class Packing:
     buckets: int = 512
     #: More repetitions of a row than this are made in several tasks.
     repeat_block: int = 1 << 16
-    #: Words whose ids a worker remembers, twice at most.
+    #: A worker remembers the ids of twice as many words.
     cached_words: int = 120_000
 
 
 class WordEncoder:
     """Ids of whole texts from ids of their words, for tokenizers that drop white space between words; words are remembered.
 
-    New words of plain Western letters, digits and marks are cut into the tokenizer's own pre-tokens, all at once, and
-    these are merged all at once too; other words go through the tokenizer itself. Words that recur are carried over
-    when there are too many, others are forgotten.
+    The words of a batch get numbers next to the remembered ones, so only different words are worked on, and the batch's ids are
+    theirs, taken by number. New words of plain Western letters, digits and marks are cut into the tokenizer's own pre-tokens,
+    and the different ones among these are merged all at once; other words go through the tokenizer itself. When there are too
+    many, the words that occurred most stay; their counts are halved then, so that those of long ago make room. A batch of few
+    words meets only some four times as many remembered ones, and adds none where there are more.
     """
 
     #: What isn't printing ASCII or a letter of Latin-1, which normalisation leaves as they are, and the start of added tokens; fixed values.
     _odd = re.compile("[^ -~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]|<\\|")
     #: Pre-tokens of what is left, in UTF-8: all bytes beyond ASCII are letters there.
     _parts = re.compile(rb"'(?:s|t|re|ve|m|ll|d)|[a-z\x80-\xff]+|[0-9]| |[^ a-z0-9\x80-\xff]+")
+    #: Words of more bytes aren't remembered.
+    long_word = 256
 
     def __init__(self, path: str, most: int) -> None:
         self.tokenizer = Tokenizer.from_file(path)
@@ -73,53 +78,92 @@ class WordEncoder:
         vocab, letters, end = model["vocab"], byte_letters(), model["end_of_word_suffix"]
         self.merges = Merges(vocab, model["merges"])
         self.inner, self.last = (np.array([vocab[c + suffix] for c in letters], np.int64) for suffix in ("", end))
-        self.most = most
-        self.words: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
+        self.most = 2 * most + 1
+        # the empty word, which stands where a text begins or ends with white space, is always known
+        self.words, self.known, self.counts = pa.array([""], pa.large_string()), pa.array([b""], pa.large_binary()), np.array([np.inf])
 
-    def _learn(self, words: list[bytes], text: str) -> None:
+    def _learn(self, words: list[bytes], text: str) -> pa.Array:
         """Ids of new plain words, which `text` has in the same order with a space between them."""
-        raw = text.lower().encode()
-        found = self._parts.findall(raw)
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        letters, ends = np.frombuffer(raw, np.uint8), np.cumsum(sizes) - 1
-        gap = letters[ends] == 32
+        parts = pa.array(self._parts.findall(text.lower().encode()), pa.large_binary()).dictionary_encode()
+        found, at = parts.dictionary, parts.indices.to_numpy()
+        sizes = pc.binary_length(found).to_numpy().astype(np.int64)
+        letters, ends = np.frombuffer(found.buffers()[2], np.uint8, sizes.sum()), np.cumsum(sizes) - 1
         ids = self.inner[letters]
         ids[ends] = self.last[letters[ends]]
-        packed, stops = self.merges.packed(ids[letters != 32], sizes[~gap])
-        # the last pre-token of each word
-        last = np.append(np.flatnonzero(gap) - np.arange(1, len(words)), len(stops) - 1)
-        at = stops[last].tolist()
-        self.words.update(zip(words, map(packed.__getitem__, map(slice, [0, *at], at)), strict=False))
-
-    def _know(self, new: set[bytes]) -> None:
-        """Ids of words that aren't known: carried over, or formed anew."""
-        known, older = self.words, self.older
-        carried = new.intersection(older)
-        known.update((w, older[w]) for w in carried)
-        plain = list(new.difference(carried))
-        text = b" ".join(plain).decode()
+        gaps, space = np.zeros(0, np.int64), 0
+        if len(words) > 1:  # a space, which is never the first, has no ids
+            space = pc.index(found, b" ").as_py()
+            gaps = np.flatnonzero(at == space)
+            ids, sizes = np.delete(ids, ends[space]), np.delete(sizes, space)
+        packed, stops = self.merges.packed(ids, sizes)
+        if space:
+            stops = np.insert(stops, space, stops[space - 1])
+        return _joined(_binary(packed, np.append(0, stops)), at, np.concatenate([[0], gaps, [len(at)]]))
+
+    def _formed(self, fresh: pa.Array) -> pa.Array:
+        """Ids of words that aren't known."""
+        words = fresh.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
+        text = b" ".join(words).decode()
         odd, at, k = set(), 0, 0
         for m in self._odd.finditer(text):
             k += text.count(" ", at, m.start())
             at = m.start()
             odd.add(k)
-        for k in odd:
-            known[plain[k]] = array("I", self.tokenizer.encode(plain[k].decode(), add_special_tokens=False).ids).tobytes()
-        if odd:
-            plain = [w for k, w in enumerate(plain) if k not in odd]
-            text = b" ".join(plain).decode()
-        if plain:
-            self._learn(plain, text)
+        if not odd:
+            return self._learn(words, text)
+        plain = [w for k, w in enumerate(words) if k not in odd]
+        others = pa.array([array("I", self.tokenizer.encode(words[k].decode(), add_special_tokens=False).ids).tobytes() for k in sorted(odd)], pa.large_binary())
+        if not plain:
+            return others
+        is_odd = np.zeros(len(words), bool)
+        is_odd[list(odd)] = True
+        order = np.where(is_odd, len(plain) + np.cumsum(is_odd), np.cumsum(~is_odd)) - 1
+        return pa.concat_arrays([self._learn(plain, b" ".join(plain).decode()), others]).take(pa.array(order))
+
+    def _remember(self, words: pa.Array, ids: pa.Array, counts: np.ndarray) -> None:
+        """All words, or those that occurred most, by their counts; the empty one stays first."""
+        keep = np.flatnonzero(pc.binary_length(words).to_numpy() <= self.long_word)
+        if len(keep) > self.most:
+            keep, counts = keep[np.argsort(-counts[keep], kind="stable")[: self.most]], counts / 2
+        if len(keep) < len(words):
+            words, ids, counts = words.take(pa.array(keep)), ids.take(pa.array(keep)), counts[keep]
+        self.words, self.known, self.counts = words, ids, counts
+
+    def ids(self, texts: pa.Array, end: bytes = b"") -> pa.Array:
+        """Little-endian unsigned 32-bit ids of each text of a string column, with `end` behind them; null is an empty text."""
+        split = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
+        found = split.flatten()
+        k = min(len(self.words), 4 * len(found) + 1)
+        coded = pa.concat_arrays([self.words[:k], found]).dictionary_encode()
+        words, at = coded.dictionary, coded.indices.to_numpy()[k:]
+        ids = pa.concat_arrays([self.known[:k], self._formed(words[k:])]) if len(words) > k else self.known[:k]
+        # the end's number stands behind those of each text's words
+        bounds = np.append(0, np.cumsum(split.value_lengths().to_numpy().astype(np.int64) + 1))
+        order = np.full(bounds[-1], len(words), np.int64)
+        inner = np.ones(len(order), bool)
+        inner[bounds[1:] - 1] = False
+        order[inner] = at
+        out = _joined(pa.concat_arrays([ids, pa.array([end], pa.large_binary())]), order, bounds)
+        if k == len(self.words):
+            counts = np.bincount(at, minlength=len(words)).astype(float)
+            counts[:k] += self.counts
+            self._remember(words, ids, counts)
+        return out
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        if len(self.words) > self.most:
-            self.words, self.older = {}, self.words
-        split = [t.split() for t in texts]
-        if new := set(filterfalse(self.words.__contains__, chain.from_iterable(split))):
-            self._know(new)
-        return [b"".join(map(self.words.__getitem__, x)) for x in split]
+        return self.ids(pa.array(texts, pa.large_binary()).cast(pa.large_string())).to_pylist()
+
+
+def _binary(data: bytes | pa.Buffer | None, offsets: np.ndarray) -> pa.Array:
+    """Values that lie one after the other in `data`."""
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(b"" if data is None else data)])
+
+
+def _joined(values: pa.Array, order: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """The values of the numbers `order`, joined from each of the bounds to the next."""
+    _, offsets, data = (laid := values.take(pa.array(order))).buffers()
+    return _binary(data, np.frombuffer(offsets, np.int64)[laid.offset : laid.offset + len(laid) + 1][bounds]) if len(order) else _binary(None, np.zeros(len(bounds)))
 
 
 _encoders: dict[tuple, WordEncoder] = {}
@@ -133,12 +177,10 @@ def encoder(how: Packing) -> WordEncoder:
     return _encoders[key]
 
 
-def _encoded(batches: Iterator[pa.RecordBatch], how: Packing) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+def _encoded(batches: Iterator[pa.RecordBatch], how: Packing) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
     end = np.array([how.end_id], "<u4").tobytes()
     for batch in batches:
-        texts = utf8(batch.column(batch.schema.get_field_index("text")))
-        for part in pieces(texts):
-            yield batch.slice(part.start, part.stop - part.start), [ids + end for ids in encoder(how).encode(texts[part])]
+        yield batch, encoder(how).ids(batch.column(batch.schema.get_field_index("text")), end)
 
 
 def measured(docs: DataFrame, how: Packing) -> DataFrame:
@@ -147,8 +189,10 @@ def measured(docs: DataFrame, how: Packing) -> DataFrame:
     def run(batches):
         step = 4 * how.capacity
         for batch, ids in _encoded(batches, how):
-            crcs = [[zlib.crc32(x[i : i + step]) for i in range(0, len(x), step)] for x in ids]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(crcs, pa.list_(pa.int64()))], names=["doc_id", "h", "n", "crcs"])
+            _, offsets, data = ids.buffers()
+            raw, ends = memoryview(data), np.frombuffer(offsets, np.int64).tolist()
+            crcs = [[zlib.crc32(raw[i : min(i + step, stop)]) for i in range(start, stop, step)] for start, stop in pairwise(ends)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pc.divide(pc.binary_length(ids), 4), pa.array(crcs, pa.list_(pa.int64()))], names=["doc_id", "h", "n", "crcs"])
 
     return docs.mapInArrow(run, "doc_id long, h long, n long, crcs array<long>")
 
@@ -318,7 +362,7 @@ def pack(df: DataFrame, how: Packing) -> DataFrame:
 
     def ids_of(batches):
         for batch, ids in _encoded(batches, how):
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.binary())], names=["doc_id", "h", "ids"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), ids.cast(pa.binary())], names=["doc_id", "h", "ids"])
 
     chosen = docs.where(bucket < fillers).mapInArrow(ids_of, "doc_id long, h long, ids binary").groupBy("h", F.coalesce("doc_id", F.lit(-1)).alias("key")).agg(F.first("ids").alias("ids"))
 
